@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import content_sort, decontaminate, mixing, secrets, shard_pack
+from . import content_sort, decontaminate, langid, licenses, mixing, passages, secrets, shard_pack, simhash_bk, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,14 +25,46 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.grade(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_pack.shard(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator with all its evidence: markup language, address suffix and host of web pages."""
+    return langid.identify(langid.pages(spark, sf_dir), key="page_id", declared="declared", host="host", suffix="suffix")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.classes(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bk.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontaminate, op2_exact_dedup, op3_mix_sources, op6_shard, op10_secret_scan)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_exact_dedup, op3_mix_sources, op4_license_scan, op5_toxicity, op6_shard, op7_language_id, language_id_pages,
+        op8_substring_dedup, op9_simhash_near_dedup, op10_secret_scan,
+    )
+}
 
 ORACLES: dict[str, str] = {"op1_decontaminate": decontaminate.SQL, "op2_exact_dedup": content_sort.SQL, "op3_mix_sources": mixing.SQL}
