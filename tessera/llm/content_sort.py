@@ -18,6 +18,8 @@ from .common import SPACE_CLASS, materialise
 SALTS = 64
 #: A text is hot when it has over 1 / (HOT_SHARE * partitions) of all rows.
 HOT_SHARE = 4
+#: Characters of a text that its splitter sample carries; the hash behind them orders longer ties.
+PREFIX = 64
 
 
 def normalised(text):
@@ -43,12 +45,14 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", partition
         .join(F.broadcast(hot), "h", "left")
         .withColumn("hot", F.coalesce("hot", F.lit(False)))
         .withColumn("salt", F.when(F.col("hot"), F.pmod(F.hash("id"), F.lit(SALTS))).otherwise(F.lit(0)))
-        .drop("h")
+        .withColumn("prefix", F.substring("norm", 1, PREFIX))
     )
-    runs = Window.partitionBy("norm", "salt").orderBy(F.col("id").asc_nulls_last())
+    # Equal texts agree in prefix and hash, so these only order the runs that the full text delimits;
+    # the sample that the splitters come from stays small however long the texts are.
+    runs = Window.partitionBy("prefix", "h", "norm", "salt").orderBy(F.col("id").asc_nulls_last())
     whole = runs.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = (
-        salted.repartitionByRange(n, "norm", "salt")
+        salted.repartitionByRange(n, "prefix", "h", "salt")
         .select(
             "id", "hot", F.row_number().over(runs).alias("rank"), F.min("id").over(whole).alias("head"), F.count(F.lit(1)).over(whole).alias("size"),
             F.sha2("norm", 256).alias("sha"), "norm", "salt",
