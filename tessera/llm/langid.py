@@ -8,6 +8,7 @@ smoothed towards its parent's and that towards the whole corpus's, all by groupe
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -29,10 +30,13 @@ LEAST_CONFIDENCE = 0.5
 MISFIT = 3.0
 LEAST_FIT_TRIGRAMS = 60
 BROADCAST_HOSTS = 100_000
+_DIGIT = re.compile(rb"[0-9]")
 
 
 def trigrams(text: bytes | None) -> np.ndarray:
-    words = [w for w in alnum_words(text) if not w.isdigit()]
+    words = alnum_words(text)
+    if text and _DIGIT.search(text):  # numbers, codes and keys are of no language
+        words = [w for w in words if not _DIGIT.search(w)]
     if not words:
         return np.zeros(0, dtype=np.int64)
     b = np.frombuffer(b" " + b" ".join(words) + b" ", dtype=np.uint8).astype(np.int64)
