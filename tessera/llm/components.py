@@ -24,7 +24,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, root): root is the least node reachable, for every node with an edge (columns a, b).
+    """(node, root): root is the least node reachable, for every node with an edge (columns a, b) but the roots themselves.
 
     Rounds are logarithmic in the longest path; each is written to the shared folder. Minima are
     partly aggregated before the shuffle and the star of a hot node is joined by its neighbours'
