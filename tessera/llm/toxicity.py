@@ -1,7 +1,8 @@
 """Toxicity: cumulative-link ordinal regression on sparse text features.
 
 One weight vector is shared by all thresholds: P(grade <= k) = sigmoid(theta_k - w.x), with ordered
-thetas. Features are the set of a text's words and of their first four and five bytes. The labels are
+thetas. Features are the set of a text's words, of their first four and five bytes, and of such
+beginnings that two or three different words of the text share (inflected families). The labels are
 binary, so grades are 0 for harmless, and for toxic ones 1 or 2 by whether their evidence (summed
 positive log-odds of their features in the labelled sample) reaches the toxic median.
 """
@@ -25,11 +26,15 @@ LEAST_ROWS = 4
 #: Chi-square of a feature against the label from which it is kept: about one in ten thousand by chance.
 LEAST_CHI2 = 15.0
 PREFIXES = (4, 5)
+#: Numbers of different words with one beginning that are features of their own.
+FAMILIES = (2, 3)
 
 
 def features(text: bytes | None) -> set[bytes]:
     words = set(alnum_words(text))
-    return words.union(*({b"^" + w[:n] for w in words if len(w) > n} for n in PREFIXES))
+    family = Counter(w[:n] for w in words for n in PREFIXES if len(w) > n)
+    shared = ({b"^%d" % least + p for p, n in family.items() if n >= least} for least in FAMILIES)
+    return words.union((b"^" + p for p in family), *shared)
 
 
 class OrdinalModel:
