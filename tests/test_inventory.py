@@ -4,10 +4,10 @@ import duckdb
 import pytest
 
 from tessera import catalog
-from tessera.plans import inventory
+from tessera.plans import inventory, matching
 
 SF = "/root/testdata/sf0.001"
-NAMES = [n for n, f in catalog.QUERIES.items() if f.__module__ == inventory.__name__]
+NAMES = [n for n, f in catalog.QUERIES.items() if f.__module__ in (inventory.__name__, matching.__name__)]
 
 
 @pytest.fixture(scope="module")
