@@ -1,9 +1,10 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly.
 
-Equal texts form a group. Large groups are items of their own, a group too large for an even split is
-dealt over several items by its ids' hash, and the small groups are pooled by hash into a fixed number
+Equal texts form a group. Large groups are items of their own, a group over a whole shard is dealt over
+as few items as that takes by its ids' hash, and the small groups are pooled by hash into a fixed number
 of bundles, so what the driver packs has a bound that no input exceeds. Each item goes to the shard
-where the dot product of its vector with the residual capacity is highest.
+where the dot product of its vector with the residual capacity is highest. Slots are numbered in pieces
+of an item, so that no task has to sort a whole shard.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def pack(items: Sequence[tuple[int, int, int, int]], shards: int = SHARDS, weigh
 
 
 def place(docs: DataFrame, *, shards: int = SHARDS, bundles: int = BUNDLES, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(rows with __item, items with shard and first slot); the second is at most a few times shards * bundles rows."""
+    """(rows with __item, pieces of items with shard and first slot); the second is at most a few times shards * bundles rows."""
     spark = docs.sparkSession
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
@@ -59,26 +60,39 @@ def place(docs: DataFrame, *, shards: int = SHARDS, bundles: int = BUNDLES, text
     n = shards * bundles
     total = rows.agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).first()
     part = [max(1, int(x or 0) // n) for x in total]
+    share = [max(1.0, (x or 0) / shards) for x in total]
     sums = rows.groupBy("g").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("r"))
-    # At most n groups can exceed one n-th of each measure: 3 n rows and, cut into pieces, 6 n items.
-    pieces = F.greatest(*[F.ceil(F.col(c) / p) for c, p in zip("btr", part)])
-    large = sums.where(F.greatest(*[F.col(c) / p for c, p in zip("btr", part)]) > 1).select("g", F.least("r", pieces).cast("int").alias("pieces"))
-    large = spark.createDataFrame(large.orderBy("g").collect(), "g long, pieces int")
-    firsts = large.select("g", "pieces", (F.lit(n) + F.coalesce(F.sum("pieces").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).cast("long").alias("first"))
-    itemed = rows.join(F.broadcast(firsts), "g", "left").select(
+    # At most n groups can exceed one n-th of each measure: 3 n groups with, in all, 6 n pieces.
+    most = lambda parts: F.greatest(*[F.col(c) / p for c, p in zip("btr", parts)])
+    large = sums.where(most(part) > 1).select("g", *[F.least("r", F.ceil(most(p))).cast("int").alias(c) for c, p in (("pieces", part), ("lots", share))])
+    firsts, lot_of, at = [], {}, n
+    for g, pieces, lots in large.orderBy("g").collect():
+        firsts.append((g, pieces, at))
+        lot_of.update((at + i, at + i % lots) for i in range(pieces))
+        at += pieces
+    itemed = rows.join(F.broadcast(spark.createDataFrame(firsts, "g long, pieces int, first long")), "g", "left").select(
         "doc_id", "size", "tokens", "text_crc32",
         F.when(F.col("first").isNotNull(), F.col("first") + F.pmod(F.hash("doc_id"), F.col("pieces"))).otherwise(F.pmod(F.col("g"), F.lit(n))).alias("__item"),
     )
-    loads = itemed.groupBy("__item").agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).collect()
-    placed = pack([tuple(r) for r in loads], shards)
-    return itemed, spark.createDataFrame([(i, k, at) for i, (k, at) in sorted(placed.items())], "__item long, shard int, first_slot long")
+    loads = sorted(itemed.groupBy("__item").agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).collect())
+    items: dict[int, list[int]] = {}
+    for i, *load in loads:
+        lot = items.setdefault(lot_of.get(i, i), [0, 0, 0])
+        lot[:] = [x + y for x, y in zip(lot, load)]
+    placed = pack([(i, *load) for i, load in items.items()], shards)
+    slots, out = {i: at for i, (_, at) in placed.items()}, []
+    for i, *_, r in loads:
+        lot = lot_of.get(i, i)
+        out.append((i, placed[lot][0], slots[lot]))
+        slots[lot] += r
+    return itemed, spark.createDataFrame(out, "__item long, shard int, first_slot long")
 
 
 def shard(docs: DataFrame, *, shards: int = SHARDS, bundles: int = BUNDLES, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
-    Slots number a shard's rows from 0 without gaps: each item owns a range and numbers only its own
-    rows. Null text counts as empty (16 bytes); null ids share a piece; repeated rows get slots of
+    Slots number a shard's rows from 0 without gaps: each piece owns a range and numbers only its own
+    rows. Equal texts share a shard unless together they exceed an even shard's bytes, tokens or rows. Null text counts as empty (16 bytes); null ids share a piece; repeated rows get slots of
     their own; an empty table gives an empty result; further columns are ignored.
     """
     itemed, placed = place(docs, shards=shards, bundles=bundles, text=text, key=key)

@@ -195,6 +195,23 @@ def test_sharding(docs, rows, empty):
     assert shard_pack.shard(empty).count() == 0
 
 
+def test_equal_texts_share_a_shard(spark):
+    rng = random.Random(8)
+    made = [prose(rng, 40) for _ in range(400)]
+    made += [x for x in made[:60] for _ in range(2)] + [prose(rng, 40)] * 9 + [prose(rng, 40)] * 50  # 0.6 of a shard, and over 3
+    rows = list(enumerate(made))
+    got = {r.doc_id: r for r in shard_pack.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    held = {}
+    for i, t in rows:
+        held.setdefault(t, set()).add(got[i].shard)
+    assert {len(held[t]) for t in made[:60]} == {1} and len(held[made[520]]) == 1
+    assert 3 <= len(held[made[-1]]) <= 4
+    by = {}
+    for r in got.values():
+        by.setdefault(r.shard, []).append(r.slot)
+    assert len(by) == 40 and all(sorted(s) == list(range(len(s))) for s in by.values())
+
+
 def test_language_id(spark, docs, rows, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(d)
