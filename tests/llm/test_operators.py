@@ -247,6 +247,35 @@ def test_substring_dedup(docs, rows, empty):
     assert len(got) == len(rows) and passages.classes(empty).count() == 0
 
 
+def test_run_hashes_know_no_position():
+    s = np.random.default_rng(2).integers(0, 2**63, 300).astype(np.uint64)
+    at = passages.run_hashes(np.concatenate((s[200:], s)), 46)
+    assert len(np.unique(at)) == 300 - 45 + 100 - 55 and (at[:55] == at[-55:]).all()
+
+
+def test_passages_without_the_least_document(spark):
+    """Sentences that recur everywhere put unrelated documents first in the signatures of a passage."""
+    rng = random.Random(12)
+    phrases = [prose(rng, 12, "p") for _ in range(12)]
+    first = [" ".join(prose(rng, 40) + " " + p for p in rng.sample(phrases, 12)) for _ in range(12)]
+    passages_ = [" ".join(rng.sample(phrases, 5)) for _ in range(8)]
+    texts_ = first + [prose(rng, 60) + " " + x + " " + prose(rng, 60) for x in passages_ for _ in range(3)]
+    far = [prose(rng, 60), prose(rng, 60)]  # neighbours in one document, far apart in another
+    texts_ += [far[0] + " " + prose(rng, 900) + " " + far[1], far[1] + " " + far[0]]
+    grams = {}
+    for i, x in enumerate(map(words, texts_)):
+        for j in range(len(x) - 49):
+            grams.setdefault(tuple(x[j : j + 50]), set()).add(i)
+    pairs = {(a, b) for s in grams.values() for a in s for b in s if a < b}
+    got = {r.doc_id: r for r in passages.classes(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")).collect()}
+    assert pairs and all(got[a].class_id == got[b].class_id for a, b in pairs)
+    for i, x in enumerate(map(words, texts_)):
+        told = [tuple(map(int, re.findall(r"[0-9]+", y))) for y in got[i].spans.split(",") if y]
+        for j in range(len(x) - 49):
+            if min(grams[tuple(x[j : j + 50])]) < i:
+                assert any(a <= j and j + 49 <= b for a, b, _ in told)
+
+
 def brute_fingerprint(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
     if not w:
