@@ -1,8 +1,8 @@
 """Exact dedup by content sort, in DataFrame operations only.
 
-Sampled splitters range-partition the normalised text (``repartitionByRange``), each partition is
-sorted externally by it, and the window operator compares neighbouring rows in full to delimit runs
-of equals. A text whose copies would overfill a partition is dealt over sub-runs by a salt, so no
+Sampled splitters range-partition the normalised text by its first characters (``repartitionByRange``),
+each partition is sorted externally by the whole text, and the window operator compares neighbouring
+rows in full to delimit runs of equals. A text whose copies would overfill a partition is dealt over sub-runs by a salt, so no
 task holds a group that grows with the data; the sub-runs' heads are then joined by full text again.
 """
 
@@ -18,8 +18,11 @@ from .common import SPACE_CLASS, materialise
 SALTS = 64
 #: A text is hot when it has over 1 / (HOT_SHARE * partitions) of all rows.
 HOT_SHARE = 4
-#: Characters of a text that its splitter sample carries; the hash behind them orders longer ties.
+#: Characters of a text that its splitter carries; texts that agree in all of them are dealt over ranges
+#: by their hash, so that a common head fills no task. Within a range the whole text is sorted.
 PREFIX = 64
+#: Bytes of normalised text a range should hold, where that asks for more ranges than the session's partitions.
+RANGE_BYTES = 64 << 20
 
 
 def normalised(text):
@@ -30,26 +33,24 @@ def dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", partition
     """One row per row of ``docs``: key, keep_id, group_size, kept, text_sha256.
 
     Null text counts as empty; of equal texts the smallest non-null key stays, of rows that also share
-    the key exactly one; in a group of null keys only, one row stays and keep_id is null. An empty
-    table gives an empty result; further columns are ignored.
+    the key exactly one; in a group of null keys only, one row stays and keep_id is null; a very long
+    text is compared whole. An empty table gives an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).alias("id"), normalised(F.col(text)).alias("norm"))
-    hashed = rows.select(F.xxhash64("norm").alias("h"))
-    total = docs.count()
+    norm = normalised(F.col(text))
+    rows = materialise(docs.select(F.col(key).alias("id"), norm.alias("norm"), F.xxhash64(norm).alias("h"), F.substring(norm, 1, PREFIX).alias("prefix"), F.octet_length(norm).alias("bytes")), "content-rows")
+    total, size = rows.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), (size or 0) // RANGE_BYTES)
     # At most HOT_SHARE * n texts (8 bytes each) can pass the limit: bounded by the partition count.
-    hot = hashed.groupBy("h").count().where(F.col("count") > F.lit(max(1, total // (HOT_SHARE * n)))).select("h", F.lit(True).alias("hot"))
+    hot = rows.groupBy("h").count().where(F.col("count") > F.lit(max(1, total // (HOT_SHARE * n)))).select("h", F.lit(True).alias("hot"))
     salted = (
-        rows.withColumn("h", F.xxhash64("norm"))
+        rows.drop("bytes")
         .join(F.broadcast(hot), "h", "left")
         .withColumn("hot", F.coalesce("hot", F.lit(False)))
         .withColumn("salt", F.when(F.col("hot"), F.pmod(F.hash("id"), F.lit(SALTS))).otherwise(F.lit(0)))
-        .withColumn("prefix", F.substring("norm", 1, PREFIX))
     )
-    # Equal texts agree in prefix and hash, so these only order the runs that the full text delimits;
-    # the sample that the splitters come from stays small however long the texts are.
-    runs = Window.partitionBy("prefix", "h", "norm", "salt").orderBy(F.col("id").asc_nulls_last())
+    # Sorted by the text; prefix and hash follow from it and name the range.
+    runs = Window.partitionBy("norm", "salt", "prefix", "h").orderBy(F.col("id").asc_nulls_last())
     whole = runs.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = (
         salted.repartitionByRange(n, "prefix", "h", "salt")

@@ -3,80 +3,103 @@
 log P(language | all) = text likelihood + log P(declared | language) + log P(suffix | language)
 + log P(language | host), up to a constant. The text likelihood comes from byte trigrams; the tables
 for declared language and address suffix are counted against the text's own verdict; the host prior is
-smoothed towards its parent's and that towards the whole corpus's, all by grouped aggregation.
+smoothed towards its parent's and that towards the whole corpus's, all by grouped aggregation. A
+document's own verdict is taken out of the counts before they judge it.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import alnum_words, binary, materialise
 
-#: Bound of the labelled sample that the trigram tables are fitted on, and of the languages.
-SAMPLE_ROWS = 2_000
-MAX_LANGUAGES = 32
+#: Bound of the labelled sample that the trigram tables are fitted on: rows a declared language, and in
+#: all (beyond it languages share it evenly, a few rows each at least). Languages are two- or three-letter codes.
+LANGUAGE_ROWS = 500
+SAMPLE_ROWS = 20_000
+FEWEST_ROWS = 5
+CODE = "^[a-z]{2,3}$"
 SLOTS = 1 << 15
+#: Share of every language's table that is the mean of all languages, so none gains from unseen trigrams.
+BACKGROUND = 0.1
 #: Trigrams beyond which more text adds no certainty (neighbouring trigrams are not independent).
 SATURATION = 64.0
 #: Pseudo-counts by which a host leans on its parent, and a parent on the corpus.
 KAPPA = 20.0
 LEAST_CONFIDENCE = 0.5
-#: Nats per trigram below the sample's mean fit from which a text is in none of the languages.
-MISFIT = 3.0
-LEAST_FIT_TRIGRAMS = 60
+#: Nats per trigram by which the median word must lie below the sample's to be of no language: a limit
+#: for long texts, and what is added over the square root of the number of words.
+MISFIT, MISFIT_SPREAD = 3.5, 2.0
 BROADCAST_HOSTS = 100_000
-_DIGIT = re.compile(rb"[0-9]")
+#: Digits are one symbol.
+_DIGITS = bytes(48 if 48 <= b <= 57 else b for b in range(256))
 
 
-def trigrams(text: bytes | None) -> np.ndarray:
-    words = alnum_words(text)
-    if text and _DIGIT.search(text):  # numbers, codes and keys are of no language
-        words = [w for w in words if not _DIGIT.search(w)]
+def trigrams(words: list[bytes]) -> np.ndarray:
+    """Slots of the byte trigrams of blank-framed words; a word of n bytes owns n of them and the next one straddles."""
     if not words:
         return np.zeros(0, dtype=np.int64)
-    b = np.frombuffer(b" " + b" ".join(words) + b" ", dtype=np.uint8).astype(np.int64)
+    b = np.frombuffer((b" " + b" ".join(words) + b" ").translate(_DIGITS), dtype=np.uint8).astype(np.int64)
     code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
     return ((code * 0x9E3779B1) >> 15) & (SLOTS - 1)
 
 
 class TrigramModel:
-    def __init__(self, languages: Sequence[str], table: np.ndarray, floor: float):
-        self.languages, self.table, self.floor = list(languages), table, floor
+    def __init__(self, languages: Sequence[str], table: np.ndarray, centre: float = 0.0):
+        self.languages, self.table, self.centre = list(languages), table, centre
 
     @classmethod
     def fit(cls, rows: Sequence[tuple[bytes | None, str]]) -> TrigramModel:
         """rows: (text, language)."""
-        codes = [(trigrams(t), lang) for t, lang in rows]
-        sizes: dict[str, int] = {}
-        for c, lang in codes:
-            sizes[lang] = sizes.get(lang, 0) + len(c)
-        languages = sorted(sorted(sizes, key=lambda x: (-sizes[x], x))[:MAX_LANGUAGES]) or ["und"]
-        table = np.full((SLOTS, len(languages)), 0.1)
-        for c, lang in codes:
-            if lang in languages:
-                table[:, languages.index(lang)] += np.bincount(c, minlength=SLOTS)
-        table = np.log(table / table.sum(axis=0)).astype(np.float32)
-        means = [float(table[c].mean(axis=0).max()) for c, _ in codes if len(c) >= LEAST_FIT_TRIGRAMS]
-        floor = float(np.mean(means)) - MISFIT if means else -1e9
-        return cls(languages, table, floor)
-
-    def likelihoods(self, text: bytes | None) -> tuple[int, np.ndarray]:
-        """(number of trigrams, mean log-likelihood per trigram in each language)."""
-        c = trigrams(text)
-        return len(c), self.table[c].mean(axis=0, dtype=np.float64) if len(c) else np.zeros(len(self.languages))
-
-
-def fit(docs: DataFrame, *, text: str = "text", declared: str = "lang", key: str = "doc_id", rows: int = SAMPLE_ROWS) -> TrigramModel:
-    """Fit on at most ``rows`` documents with a declared language, drawn by the hash of their id."""
-    drawn = docs.where(F.col(declared).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("__id")).distinct().orderBy(F.xxhash64("__id"), "__id").limit(rows)
-    found = docs.select(key, text, declared).join(F.broadcast(drawn), docs[key] == drawn["__id"]).select(key, text, declared).toLocalIterator()
-    got = sorted(((r[0], r[1] or "", r[2]) for r in found if r[2] is not None), key=lambda r: (r[0], r[1], r[2]))
-    return TrigramModel.fit([(t.encode(), lang.lower()) for _, t, lang in got])
+        counts: dict[str, np.ndarray] = {}
+        for text, lang in rows:
+            counts.setdefault(lang, np.zeros(SLOTS))
+            counts[lang] += np.bincount(trigrams(alnum_words(text)), minlength=SLOTS)
+        languages = sorted(counts) or ["und"]
+        own = np.stack([counts.get(x, np.zeros(SLOTS)) for x in languages], axis=1)
+        share = own / np.maximum(own.sum(axis=0), 1)
+        mean = share.mean(axis=1) + 1e-7
+        table = np.log((1 - BACKGROUND) * share + BACKGROUND * (mean / mean.sum())[:, None]).astype(np.float32)
+        model = cls(languages, table)
+        fits = [fit for fit, n in ((x[2], x[1]) for x in (model.evidence(t) for t, _ in rows)) if n > 0]
+        model.centre = float(np.median(fits)) if fits else 0.0
+        return model
+
+    def evidence(self, text: bytes | None) -> tuple[int, int, float, np.ndarray]:
+        """(trigrams, words, median word's mean log-likelihood in the best language less the sample's, means of all trigrams by language)."""
+        words = alnum_words(text)
+        c = trigrams(words)
+        if not len(c):
+            return 0, 0, 0.0, np.zeros(len(self.languages))
+        table = self.table[c]
+        means = table.mean(axis=0, dtype=np.float64)
+        upto = np.concatenate(([0.0], np.cumsum(table[:, int(means.argmax())], dtype=np.float64)))
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        start = np.cumsum(size + 1) - size - 1
+        return len(c), len(words), float(np.median((upto[start + size] - upto[start]) / size)) - self.centre, means
+
+
+def _code(col: Column) -> Column:
+    """Stated language without its region, lower-cased; blank is none."""
+    return F.nullif(F.regexp_replace(F.lower(F.trim(col)), "[-_].*$", ""), F.lit(""))
+
+
+def fit(docs: DataFrame, *, text: str = "text", declared: str = "lang", key: str = "doc_id", rows: int = LANGUAGE_ROWS, most: int = SAMPLE_ROWS) -> TrigramModel:
+    """Fit on at most ``rows`` documents of each declared language, drawn by the hash of their id; of a repeated id the least text."""
+    stated = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("__id"), _code(F.col(declared)).alias("__code")).where(F.col("__code").rlike(CODE))
+    languages = stated.select("__code").distinct().count()
+    each = min(rows, max(FEWEST_ROWS, most // max(1, languages)))
+    # The window keeps its first rows before the shuffle, so a hot language sends few.
+    order = Window.partitionBy("__code").orderBy(F.xxhash64("__id"), "__id")
+    drawn = stated.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= each).select("__id", "__code").distinct()
+    found = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(drawn), "__id").groupBy("__id", "__code").agg(F.min("__text").alias("__text"))
+    got = sorted(((r[1], r[0], r[2] or "") for r in found.toLocalIterator()), key=lambda r: r[:2])
+    return TrigramModel.fit([(t.encode(), lang) for lang, _, t in got])
 
 
 def _evidence(shared, text_col: str, carried: list[str]):
@@ -85,18 +108,17 @@ def _evidence(shared, text_col: str, carried: list[str]):
 
         model: TrigramModel = shared.value
         for batch in batches:
-            got = [model.likelihoods(t) for t in binary(batch, text_col)]
-            n = pa.array([x for x, _ in got], type=pa.int64())
-            ll = pa.array([x.tolist() for _, x in got], type=pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), n, ll], [*carried, "__n", "__ll"])
+            n, words, fit, ll = zip(*map(model.evidence, binary(batch, text_col))) if batch.num_rows else ((),) * 4
+            made = [pa.array(n, type=pa.int64()), pa.array(words, type=pa.int64()), pa.array(fit, type=pa.float64()), pa.array([x.tolist() for x in ll], type=pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *made], [*carried, "__n", "__words", "__fit", "__ll"])
 
     return run
 
 
 def evidence(docs: DataFrame, model: TrigramModel, text: str, carry: list[str]) -> DataFrame:
-    """Columns ``carry`` with __n and __ll; narrow."""
+    """Columns ``carry`` with __n, __words, __fit and __ll; no shuffle."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    shape = ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), "`__n` bigint", "`__ll` array<double>"])
+    shape = ", ".join([*(f"`{c}` {kinds[c]}" for c in carry), "`__n` bigint", "`__words` bigint", "`__fit` double", "`__ll` array<double>"])
     return docs.mapInArrow(_evidence(docs.sparkSession.sparkContext.broadcast(model), text, carry), shape)
 
 
@@ -107,64 +129,77 @@ def _best(values: Column) -> Column:
 
 def _index(col: Column, languages: Sequence[str]) -> Column:
     """Position of a stated language; len(languages) for any other, null for none."""
-    c = F.lower(F.trim(col))
-    found = F.array_position(F.lit(list(languages)), F.regexp_replace(c, "[-_].*$", ""))
-    return F.when(c.isNull() | (c == ""), F.lit(None)).when(found > 0, found - 1).otherwise(F.lit(len(languages))).cast("int")
+    c = _code(col)
+    found = F.array_position(F.lit(list(languages)), c)
+    return F.when(c.isNull(), F.lit(None)).when(found > 0, found - 1).otherwise(F.lit(len(languages))).cast("int")
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
 
 
 class Fusion:
     """Counted tables of a corpus, ready to be joined to its rows."""
 
-    def __init__(self, model: TrigramModel, votes: DataFrame):
-        """votes: __n, __ll, __declared, __suffix (columns or null), __host (string)."""
-        spark, k = votes.sparkSession, len(model.languages)
+    def __init__(self, model: TrigramModel, scored: DataFrame):
+        """scored: __n, __ll, __declared, __suffix (columns or null), __host (string)."""
+        k = len(model.languages)
         self.model, self.k = model, k
         votes = materialise(
-            votes.select(F.col("__host").alias("host"), _index(F.col("__declared"), model.languages).alias("d"), _index(F.col("__suffix"), model.languages).alias("s"), F.when(F.col("__n") > 0, _best(F.col("__ll"))).alias("v")),
+            scored.where("__n > 0").select(F.col("__host").alias("host"), _index(F.col("__declared"), model.languages).alias("d"), _index(F.col("__suffix"), model.languages).alias("s"), _best(F.col("__ll")).alias("v")),
             "language-votes",
-        ).where("v is not null")
+        )
         self.declared, self.suffix = (self._table(votes, c) for c in "ds")
         total = {r["v"]: r["count"] for r in votes.groupBy("v").count().collect()}
         n = sum(total.values())
-        whole = [(total.get(i, 0) + 1.0) / (n + k) for i in range(k)]
-        counts = lambda x: F.array(*[F.sum(F.when(F.col("v") == i, 1).otherwise(0)).cast("double") for i in range(k)])
-        hosts = votes.where("host is not null").groupBy("host").agg(counts(None).alias("n")).withColumn("parent", self.parent(F.col("host")))
-        hosts = materialise(hosts, "language-hosts")
-        summed = F.array(*[F.sum(F.col("n")[i]) for i in range(k)])
-        lean = lambda n, prior: F.zip_with(n, prior, lambda x, p: (x + KAPPA * p) / (F.aggregate(n, F.lit(0.0), lambda a, b: a + b) + KAPPA))
-        parents = hosts.groupBy("parent").agg(summed.alias("m")).select("parent", lean(F.col("m"), F.lit(whole)).alias("up"))
-        priors = hosts.join(parents, "parent").select(F.col("host").alias("__prior_host"), F.transform(lean(F.col("n"), F.col("up")), lambda p: F.log(p)).alias("__prior"))
-        self.hosts = materialise(priors, "language-priors")
+        self.whole = F.lit([(total.get(i, 0) + 1.0) / (n + k) for i in range(k)])
+        dense = lambda held: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.try_element_at(held, i), F.lit(0.0)))
+        spread = lambda df, by: df.groupBy(by).agg(dense(F.map_from_entries(F.collect_list(F.struct("v", "n")))).alias("n"))
+        counted = votes.where("host is not null").groupBy("host", "v").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        hosts = spread(counted, "host").withColumn("parent", self.parent(F.col("host")))
+        parents = spread(counted.groupBy(self.parent(F.col("host")).alias("parent"), "v").agg(F.sum("n").alias("n")), "parent").withColumnRenamed("n", "m")
+        self.hosts = materialise(hosts.join(parents, "parent").select(F.col("host").alias("__prior_host"), F.col("n").alias("__of_host"), F.col("m").alias("__of_parent")), "language-priors")
         self.hosts = F.broadcast(self.hosts) if self.hosts.count() <= BROADCAST_HOSTS else self.hosts
-        self.whole = F.lit([float(np.log(x)) for x in whole])
 
     @staticmethod
     def parent(host: Column) -> Column:
         """The last two labels of a host name; of a plain name, the name without its number."""
         return F.when(F.instr(host, ".") > 0, F.substring_index(host, ".", -2)).otherwise(F.regexp_replace(host, "[0-9]+$", ""))
 
-    def _table(self, votes: DataFrame, col: str) -> Column:
-        """Array by stated value of arrays by language: log P(stated | language), smoothed; at most (k + 1) * k counts."""
+    def _table(self, votes: DataFrame, col: str) -> tuple[Column, Column]:
+        """Counts by stated value and language, and by language; at most (k + 1) * k."""
         k = self.k
         got = {(r[col], r["v"]): r["count"] for r in votes.where(F.col(col).isNotNull()).groupBy(col, "v").count().collect()}
-        per = [sum(got.get((d, v), 0) for d in range(k + 1)) for v in range(k)]
-        return F.array(*[F.lit([float(np.log((got.get((d, v), 0) + 0.5) / (per[v] + 0.5 * (k + 1)))) for v in range(k)]) for d in range(k + 1)])
-
-    def judge(self, rows: DataFrame) -> DataFrame:
-        """rows with __n, __ll, __declared, __suffix, __host -> also __lang, __confidence, __accepted."""
-        flat = F.lit([0.0] * self.k)
-        stated = lambda table, c: F.coalesce(F.get(table, _index(F.col(c), self.model.languages)), flat)
-        joined = rows.join(self.hosts, rows["__host"] == self.hosts["__prior_host"], "left")
+        rows = [[float(got.get((d, v), 0)) for v in range(k)] for d in range(k + 1)]
+        return F.array(*[F.lit(r) for r in rows]), F.lit([sum(r[v] for r in rows) for v in range(k)])
+
+    def judge(self, scored: DataFrame) -> DataFrame:
+        """scored with __lang, __confidence, __accepted in place of the evidence."""
+        k, own = self.k, F.col("__own")
+        less = lambda values: F.transform(values, lambda x, i: x - F.when(i == own, 1.0).otherwise(0.0))
+        lean = lambda n, prior: F.transform(F.zip_with(n, prior, lambda x, p: F.struct(x.alias("x"), p.alias("p"))), lambda z: (z["x"] + KAPPA * z["p"]) / (_total(n) + KAPPA))
+
+        def stated(table: tuple[Column, Column], c: str) -> Column:
+            at = _index(F.col(c), self.model.languages)
+            known = F.zip_with(less(F.get(table[0], at)), less(table[1]), lambda x, n: F.log((x + 0.5) / (n + 0.5 * (k + 1))))
+            return F.when(at.isNull(), F.lit([0.0] * k)).otherwise(known)
+
+        joined = scored.join(self.hosts, scored["__host"] == self.hosts["__prior_host"], "left").withColumn("__own", F.when(F.col("__n") > 0, _best(F.col("__ll"))).otherwise(-1))
+        joined = joined.withColumn("__up", lean(less(F.col("__of_parent")), self.whole))
+        prior = F.transform(F.coalesce(lean(less(F.col("__of_host")), F.col("__up")), self.whole), lambda p: F.log(p))
         add = lambda *x: x[0] if len(x) == 1 else F.zip_with(x[0], add(*x[1:]), lambda a, b: a + b)
         text = F.transform("__ll", lambda x: x * F.col("__n") * SATURATION / (F.col("__n") + SATURATION))
-        joined = joined.withColumn("__post", add(text, stated(self.declared, "__declared"), stated(self.suffix, "__suffix"), F.coalesce("__prior", self.whole)))
+        joined = joined.withColumn("__post", add(text, stated(self.declared, "__declared"), stated(self.suffix, "__suffix"), prior))
         top = F.array_max("__post")
-        mass = F.aggregate(F.transform("__post", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, b: a + b)
-        judged = joined.withColumn("__confidence", F.round(1 / mass, 9)).withColumn("__fit", F.array_max("__ll"))
-        odd = (F.col("__n") >= LEAST_FIT_TRIGRAMS) & (F.col("__fit") < self.model.floor)
-        accepted = (F.col("__n") > 0) & (F.col("__confidence") >= LEAST_CONFIDENCE) & ~odd
-        named = F.when((F.col("__n") == 0) | odd, "und").otherwise(F.get(F.lit(self.model.languages), _best(F.col("__post"))))
-        return judged.withColumn("__lang", named).withColumn("__accepted", accepted).drop("__prior_host", "__prior", "__post", "__fit")
+        mass = _total(F.transform("__post", lambda x: F.exp(x - top)))
+        odd = (F.col("__n") > 0) & (F.col("__fit") < -MISFIT - MISFIT_SPREAD / F.sqrt(F.col("__words")))
+        # A text of none of the languages may still be of a stated one that the sample has no rows of.
+        other = odd & (_index(F.col("__declared"), self.model.languages) == k) & _code(F.col("__declared")).rlike(CODE)
+        judged = joined.withColumn("__confidence", F.round(1 / mass, 9)).withColumn("__other", F.coalesce(other, F.lit(False))).withColumn("__odd", odd)
+        accepted = F.col("__other") | ((F.col("__n") > 0) & (F.col("__confidence") >= LEAST_CONFIDENCE) & ~F.col("__odd"))
+        named = F.when(F.col("__other"), _code(F.col("__declared"))).when((F.col("__n") == 0) | F.col("__odd"), "und").otherwise(F.get(F.lit(self.model.languages), _best(F.col("__post"))))
+        judged = judged.withColumn("__lang", named).withColumn("__accepted", accepted)
+        return judged.drop("__prior_host", "__of_host", "__of_parent", "__own", "__up", "__post", "__fit", "__words", "__other", "__odd")
 
 
 def _with_evidence(docs: DataFrame, declared: str | None, host: str | None, suffix: str | None) -> DataFrame:
@@ -173,16 +208,18 @@ def _with_evidence(docs: DataFrame, declared: str | None, host: str | None, suff
     return docs.withColumn("__declared", named(declared)).withColumn("__suffix", named(suffix)).withColumn("__host", F.lower(named(host)))
 
 
-def identify(docs: DataFrame, *, text: str = "text", key: str = "doc_id", declared: str = "lang", host: str | None = "source", suffix: str | None = None) -> DataFrame:
+def identify(docs: DataFrame, *, text: str = "text", key: str = "doc_id", declared: str = "lang", host: str | None = "source", suffix: str | None = None, model: TrigramModel | None = None) -> DataFrame:
     """One row per document: key, language ('und' if none fits), confidence, declared_language, n_trigrams, accepted.
 
-    A text without letters, of no language of the sample, or with a best posterior under
-    LEAST_CONFIDENCE is not accepted. Null text has no letters; missing declarations, suffixes and
-    hosts give no evidence (the corpus prior stands in for the host's); repeated rows repeat; an empty
-    table gives an empty result; further columns are ignored. A host's rows are pre-aggregated before
-    the shuffle, and priors are broadcast only up to BROADCAST_HOSTS hosts.
+    A text without letters or digits, of no language of the sample (unless its declaration names one that
+    the sample lacks), or with a best posterior under LEAST_CONFIDENCE is not accepted. Null text has no
+    letters; missing declarations, suffixes and hosts give no evidence (the corpus prior stands in for the
+    host's); equal posteriors take the first language by code; a very long text is read whole, its
+    evidence saturates; repeated rows repeat; an empty table gives an empty result; further columns are
+    ignored. A host's rows are pre-aggregated before the shuffle, and priors are broadcast only up to
+    BROADCAST_HOSTS hosts (beyond it joined by shuffle, which adaptive execution splits at hot hosts).
     """
-    model = fit(docs, text=text, declared=declared, key=key)
+    model = model or fit(docs, text=text, declared=declared, key=key)
     rows = _with_evidence(docs.select(*dict.fromkeys(c for c in (key, text, declared, host, suffix) if c)), declared, host, suffix)
     scored = materialise(evidence(rows, model, text, [key, "__declared", "__suffix", "__host"]), "language-scores")
     judged = Fusion(model, scored).judge(scored)
@@ -190,11 +227,16 @@ def identify(docs: DataFrame, *, text: str = "text", key: str = "doc_id", declar
 
 
 def keep_accepted(docs: DataFrame, *, text: str = "text", key: str = "doc_id", declared: str = "lang", host: str | None = "source", suffix: str | None = None) -> DataFrame:
-    """``docs`` without those that are not accepted; texts are never shuffled, the likelihoods are computed twice."""
+    """``docs`` without those that ``identify`` does not accept; the rest unchanged.
+
+    The rows are scored once and written with their scores; the counts read only the narrow columns.
+    Null text and texts without letters go; repeated rows are judged alike; columns of any name but
+    those that begin with two underscores pass; an empty table gives an empty result.
+    """
     model = fit(docs, text=text, declared=declared, key=key)
     rows = _with_evidence(docs, declared, host, suffix)
-    fusion = Fusion(model, evidence(rows, model, text, ["__declared", "__suffix", "__host"]))
-    judged = fusion.judge(evidence(rows, model, text, rows.columns))
+    scored = materialise(evidence(rows, model, text, rows.columns), "language-scored-rows")
+    judged = Fusion(model, scored).judge(scored)
     return judged.where("__accepted").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -47,11 +47,12 @@ def hashed(key):
 
 
 def thresholds(sized: DataFrame, budgets: list[tuple[str | None, int]]) -> dict[str | None, int]:
-    """Per source the hash below which documents take one extra copy, so that those sizes fit the budget.
+    """Per source the hash below which documents take one extra copy, so that those sizes come nearest the budget.
 
     Level by level: sums by source and hash digit, a running sum over the digits, and only the bucket
     in which the budget ends goes on to the next digit; the first level's table has at most
-    sources * 2^DIGIT rows, later ones cover one bucket a source.
+    sources * 2^DIGIT rows, later ones cover one bucket a source. The document in which the budget ends
+    is taken where that misses the budget by less than leaving it out.
     """
     spark = sized.sparkSession
     found: dict[str | None, int] = {}
@@ -75,8 +76,9 @@ def thresholds(sized: DataFrame, budgets: list[tuple[str | None, int]]) -> dict[
             r = crossed.get(s)
             if r is None:  # all of this bucket fits
                 found[s] = (prefix + 1) << (BITS - used)
-            elif r["n"] == 1 or used + DIGIT == BITS:  # what is left of the boundary bucket doesn't fit
-                found[s] = r["bucket"] << (BITS - used - DIGIT)
+            elif r["n"] == 1 or used + DIGIT == BITS:  # one document (or one hash) in which the budget ends
+                nearer = 2 * r["upto"] - r["size"] < 2 * r["budget"]
+                found[s] = (r["bucket"] + nearer) << (BITS - used - DIGIT)
             else:
                 after.append((s, r["budget"] - (r["upto"] - r["size"]), r["bucket"]))
         state = after
@@ -95,32 +97,38 @@ def plan(docs: DataFrame, *, text: str = "text", key: str = "doc_id", source: st
     base = {s: min(repeats, int(t // n)) if n else 0 for s, n, t in goal}
     limit = thresholds(sized, [(s, int(t - base[s] * n)) for s, n, t in goal])
     rows = [(s, n, t, base[s], limit[s] if base[s] < repeats else 0) for s, n, t in goal]
-    made = spark.createDataFrame(rows, "source string, source_size long, target double, base int, below long")
+    made = spark.createDataFrame(rows, "__source string, source_size long, target double, __base int, __below long")
     return sized, F.broadcast(made) if len(rows) <= BROADCAST_SOURCES else made
 
 
 def copies(hash_col):
     """Copies of a document under its source's plan."""
-    return F.col("base") + (hash_col < F.col("below")).cast("int")
+    return F.col("__base") + (hash_col < F.col("__below")).cast("int")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken.
 
     Null text has size 0; the null source is a source of its own; null or repeated ids share one hash
-    and so one decision; an empty table gives an empty result; further columns are ignored.
+    and so one decision; a very long text counts whole and is taken or left whole; an empty table gives
+    an empty result; further columns are ignored.
     """
     sized, made = plan(docs, **options)
-    return sized.join(made, sized["source"].eqNullSafe(made["source"]), "left").select("doc_id", "size", "source_size", "target", (F.col("size") * copies(F.col("hash"))).cast("long").alias("taken"))
+    return sized.join(made, sized["source"].eqNullSafe(made["__source"]), "left").select("doc_id", "size", "source_size", "target", (F.col("size") * copies(F.col("hash"))).cast("long").alias("taken"))
 
 
 def sample(docs: DataFrame, *, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
-    """``docs`` with each document repeated as often as the mix takes it (0, 1 or more times)."""
+    """``docs`` with each document repeated as often as the mix takes it (0, 1 or more times).
+
+    Cases as in ``mix``; columns of any name but those that begin with two underscores pass unchanged.
+    The texts stay where they are while the plan has at most BROADCAST_SOURCES sources; beyond it they
+    are joined by source, where adaptive execution splits a hot one.
+    """
     _, made = plan(docs, key=key, source=source, **options)
-    made = made.withColumnRenamed("source", "__source")
-    times = F.explode(F.sequence(F.lit(1), copies(F.coalesce(hashed(F.col(key)), F.lit(0)))))
-    joined = docs.join(made, F.col(source).cast("string").eqNullSafe(F.col("__source")), "left")
-    return joined.where(copies(F.coalesce(hashed(F.col(key)), F.lit(0))) > 0).withColumn("__copy", times).select(*[docs[c] for c in docs.columns])
+    made = made.select("__source", "__base", "__below")
+    n = copies(F.coalesce(hashed(F.col(key)), F.lit(0)))
+    joined = docs.join(made, F.col(source).cast("string").eqNullSafe(F.col("__source")), "left").withColumn("__n", n)
+    return joined.where("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*[docs[c] for c in docs.columns])
 
 
 SQL = """
@@ -137,7 +145,7 @@ t AS (SELECT w.source, n, least(2.0::DOUBLE * n, (total - capped) * w / left_w)
 g AS (SELECT source, n, coalesce(target, 2.0::DOUBLE * n) AS target, CASE WHEN n > 0 THEN least(2, CAST(floor(coalesce(target, 2.0::DOUBLE * n) / n) AS BIGINT)) ELSE 0 END AS base FROM t),
 c AS (
   SELECT d.*, g.n AS source_size, g.target, g.base, CAST(floor(g.target - g.base * g.n) AS BIGINT) AS budget,
-    sum(size) OVER (PARTITION BY d.source ORDER BY hash RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+    sum(size) OVER (PARTITION BY d.source ORDER BY hash RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto, sum(size) OVER (PARTITION BY d.source, hash) AS mass
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target, CAST(size * (base + CASE WHEN base < 2 AND upto <= budget THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
+SELECT doc_id, size, source_size, target, CAST(size * (base + CASE WHEN base < 2 AND (upto <= budget OR 2 * upto - mass < 2 * budget) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
 """

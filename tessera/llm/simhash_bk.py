@@ -90,10 +90,10 @@ class BKTree:
         return found
 
 
-def shard_edges(fps: list[int], ids: list[int], radius: int) -> list[tuple[int, int]]:
+def shard_edges(fps: list[int], radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links within one shard: at most one edge a fingerprint."""
     if len(fps) == 2:
-        return [(ids[0], ids[1])] if (fps[0] ^ fps[1]).bit_count() <= radius else []
+        return [(fps[0], fps[1])] if (fps[0] ^ fps[1]).bit_count() <= radius else []
     tree, root, edges = BKTree(), list(range(len(fps))), []
 
     def find(x: int) -> int:
@@ -107,7 +107,7 @@ def shard_edges(fps: list[int], ids: list[int], radius: int) -> list[tuple[int,
             a, b = find(i), find(j)
             if a != b:
                 root[a] = b
-                edges.append((ids[i], ids[j]))
+                edges.append((v, fps[j]))
         tree.add(v, i)
     return edges
 
@@ -116,37 +116,35 @@ def _shards(radius: int):
     """Over rows sorted by shard key: the links of each shard, held one shard at a time."""
 
     def run(batches):
-        key, fps, ids = None, [], []
+        key, fps = None, []
         for batch in batches:
             edges = []
             keys = batch.column("shard").to_numpy(zero_copy_only=False)
             values = batch.column("fp").to_numpy(zero_copy_only=False)
-            nodes = batch.column("rep").to_numpy(zero_copy_only=False)
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)])).tolist()
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
                 if keys[a] != key:
                     if len(fps) > 1:
-                        edges += shard_edges(fps, ids, radius)
-                    key, fps, ids = keys[a], [], []
+                        edges += shard_edges(fps, radius)
+                    key, fps = keys[a], []
                 fps += values[a:b].view(np.uint64).tolist()
-                ids += nodes[a:b].tolist()
             yield _edges(edges)
         if len(fps) > 1:
-            yield _edges(shard_edges(fps, ids, radius))
+            yield _edges(shard_edges(fps, radius))
 
     def _edges(edges):
         import pyarrow as pa
 
-        a, b = zip(*edges) if edges else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, type=pa.int64()), pa.array(b, type=pa.int64())], ["a", "b"])
+        ends = np.array(edges, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
     return run
 
 
-def links(reps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Edges (a, b) between ids of ``reps`` (fp distinct, rep) that connect what lies within the radius."""
+def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """Edges (a, b) between the distinct fingerprints of ``fps`` (column fp) that connect what lies within the radius."""
     width = [BITS // blocks + (i < BITS % blocks) for i in range(blocks)]
     at = [sum(width[:i]) for i in range(blocks)]
     masks = []
@@ -154,22 +152,25 @@ def links(reps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFr
         mask = sum(((1 << width[i]) - 1) << at[i] for i in chosen)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
-    dealt = reps.select("fp", "rep", F.explode(keys).alias("shard"))
+    dealt = fps.select("fp", F.explode(keys).alias("shard"))
     return dealt.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(_shards(radius), "a long, b long")
 
 
 def near_dedup(docs: DataFrame, *, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
-    Null, empty or blank text has fingerprint zero and links like any other; component_id is the least
-    non-null id reachable (null only where no id is); repeated rows repeat; an empty table gives an
-    empty result; further columns are ignored.
+    The nodes are fingerprints, so rows without an id link others like any row. Null, empty or blank
+    text has fingerprint zero and links like any other; component_id is the least non-null id reachable
+    (null only where no id is); equal fingerprints and repeated rows share a component; a very long text
+    is hashed as a whole; an empty table gives an empty result; further columns are ignored.
     """
     fps = materialise(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints(shingle, "text"), "doc_id long, fp long"), "fingerprints")
-    reps = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-reps")
-    found = components(links(reps.where("rep is not null"), radius, blocks))
-    roots = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return fps.join(roots, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    held = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-reps")
+    found = components(links(held, radius, blocks))
+    rooted = held.join(found, held["fp"] == found["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = rooted.join(least, "root").select("fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
