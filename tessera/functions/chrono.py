@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 
-IRON = r"(?iu)\b(?:hallstatt|ha\s*[cd]\d?|la\s+tène|latène|lt\s*[a-d]\d?|[âa]ge\s+du\s+fer|eisenzeit|premier\s+âge|second\s+âge|protohistor{stem})\b"
-OLDER = r"(?iu)\b(?:[âa]ge\s+du\s+bronze|bronzezeit|(?:néolith|paléolith|mésol|chalcolith){stem})\b"
 _PHASE = "array<struct<period:string,sub:string,start:int,end:int>>"
 
 
+#: Word stems among the fixed patterns, which in French go on.
+_STEMS = ("protohistor", "néolith", "paléolith", "mésol", "chalcolith")
+
+
 def _pattern(p: str, compat: bool) -> str:
-    return p.replace("{stem}", "" if compat else r"\w*")
+    """A fixed pattern, case-blind in Unicode; unless ``compat``, its stems match with any ending."""
+    for stem in () if compat else _STEMS:
+        p = p.replace(stem, stem + r"\w*")
+    return "(?iu)" + p
 
 
 def iron_age(period: Column, *, flags: Column, mentions: Column, start: Column, end: Column, method: Column, compat: bool = False) -> Column:
@@ -21,7 +26,7 @@ def iron_age(period: Column, *, flags: Column, mentions: Column, start: Column,
 
     ``compat`` lets word stems match only as whole words.
     """
-    iron, older = _pattern(IRON, compat), _pattern(OLDER, compat)
+    iron, older = _pattern(vocab.IRON_PATTERN, compat), _pattern(vocab.OLDER_PATTERN, compat)
     low, high = vocab.IRON_AGE
     return (
         F.when(F.coalesce(period.rlike(iron), F.lit(False)), True)
@@ -83,10 +88,8 @@ def parse(text: Column) -> Column:
     get = lambda p, g: F.regexp_extract(t, p, g)
     number = lambda p, g: get(p, g).try_cast("int")
     unknown = F.array(_phase(vocab.UNKNOWN, None, None, None))
-    pair, code = r"^(-?\d+):(-?\d+)$", r"^EUR(FER|BRO|NEO|GAL|ROM|MED|MOD)[-]+$"
-    age = r"[Aa]ge\s+du\s+(fer|bronze|Fer|Bronze)(?:\s*[-–]\s*(?:[Aa]ge\s+du\s+)?(fer|bronze|Fer|Bronze|[Gg]allo[- ]?romain))?"
-    span, one = r"(Ha|LT)\s*([A-D]\d?)\s*[-–/]\s*(?:(Ha|LT)\s*)?([A-D]\d?)", r"(Ha|LT)\s*([A-D]\d?)"
-    c14 = r"(\d+)\s*[-–]\s*(\d+)"
+    pair, code, age = vocab.DATE_PAIR_PATTERN, vocab.PERIOD_CODE_PATTERN, vocab.TEXTUAL_AGE_PATTERN
+    span, one, c14 = vocab.SUB_PERIOD_RANGE_PATTERN, vocab.SINGLE_SUB_PERIOD_PATTERN, vocab.RADIOCARBON_PATTERN
     codes = F.when(get(code, 1) == "FER", F.array(_phase(vocab.UNKNOWN, None, -800, -25))).when(get(code, 1) == "BRO", F.array(_phase(vocab.UNKNOWN, None, -2200, -800)))
     codes = codes.when(get(code, 1) == "GAL", F.array(_phase("La Tène", None, -450, -25))).when(get(code, 1) == "ROM", F.array(_phase(vocab.UNKNOWN, None, -25, 500))).otherwise(unknown)
     a1, a2 = F.lower(get(age, 1)), F.lower(get(age, 2))
@@ -131,7 +134,7 @@ def parse(text: Column) -> Column:
 
 def parse_pair(first: Column, second: Column) -> Column:
     """Phases of a range that starts in one 'a:b' text and ends in another."""
-    p = r"^(-?\d+):(-?\d+)$"
+    p = vocab.DATE_PAIR_PATTERN
     both = F.trim(first).rlike(p) & F.trim(second).rlike(p)
     joined = F.concat_ws(":", F.regexp_extract(F.trim(first), p, 1), F.regexp_extract(F.trim(second), p, 2))
     return parse(F.when(both, joined).otherwise(F.coalesce(F.nullif(first, F.lit("")), second)))

@@ -118,8 +118,9 @@ def site_type(c: Column) -> Column:
 def toponym(c: Column) -> Column:
     """struct(name, variants): the canonical name, with the given one as its variant if it differs."""
     table = F.create_map(*[F.lit(x) for name, vs in vocab.TOPONYMS.items() for v in dict.fromkeys(x.lower() for x in (name, *vs)) for x in (v, name)])
-    name = F.coalesce(F.try_element_at(table, F.lower(F.trim(c))), c)
-    return F.struct(name.alias("name"), F.when(name != c, F.array(c)).otherwise(F.expr("cast(array() as array<string>)")).alias("variants"))
+    given = F.trim(c)
+    name = F.coalesce(F.try_element_at(table, F.lower(given)), given)
+    return F.struct(name.alias("name"), F.when(name != given, F.array(given)).otherwise(F.expr("cast(array() as array<string>)")).alias("variants"))
 
 
 def identifier(c: Column) -> Column:

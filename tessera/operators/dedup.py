@@ -1,39 +1,47 @@
-"""Record dedup: lossless candidate bounds, composite score, components, survivorship."""
+"""Record dedup: lossless candidate pairs, composite score, components, survivorship."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geo
-from ..functions.similarity import token_sort_ratio
+from ..functions.similarity import sorted_tokens, token_sort_ratio, unordered_ratio
 
 MERGE, REVIEW = 0.85, 0.70
-SCALARS = ("description", "surface_m2", "altitude_m", "statut_fouille", "commentaire_qualite", "region_admin")
+#: Fields that a merged record takes from the lesser one where its own are missing.
+SCALARS = ("description", "surface_m2", "altitude_m", "statut_fouille", "commentaire_qualite")
+#: Fields of a phase that say nothing of its content.
+PHASE_IDS = ("phase_id", "site_id", "date_creation", "date_maj")
+#: Commune similarity from which a pair is found by its communes; below it, by its names.
+COMMUNE_SPLIT = 0.5
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the shared checkpoint folder and read back."""
+    """Written to the shared checkpoint folder (spark.checkpoint.dir) and read back."""
     spark = df.sparkSession
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     root = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def nearness(metres: Column, centroid: Column) -> Column:
+    """1 - d / 50 km, 0 beyond; halved where either position is a centroid."""
+    return (1 - F.least(metres / 1000, F.lit(50.0)) / 50) * F.when(centroid, 0.5).otherwise(1.0)
+
+
 def composite(name: Column, commune: Column, a_geo: Column, b_geo: Column, metres: Column, centroid: Column, same_id: Column) -> Column:
     """Score of a pair: .4 name + .3 commune + .3 geo; without one or both positions the rest is reweighted."""
-    near = (1 - F.least(metres / 1000, F.lit(50.0)) / 50) * F.when(centroid, 0.5).otherwise(1.0)
     return (
         F.when(same_id, 1.0)
-        .when(a_geo & b_geo, 0.4 * name + 0.3 * commune + 0.3 * near)
+        .when(a_geo & b_geo, 0.4 * name + 0.3 * commune + 0.3 * nearness(metres, centroid))
         .when(~a_geo & ~b_geo, 0.7 * name + 0.3 * commune)
         .otherwise((0.4 * name + 0.3 * commune) / 0.7)
     )
@@ -43,12 +51,11 @@ def score_pairs(pairs: DataFrame, least: float = REVIEW) -> DataFrame:
     """pairs: a_/b_ columns name, commune, x, y, centroid, ids (array of external ids) -> those scoring ``least``.
 
     Cheap lossless bounds come first: with commune and geo at most 1 the name must reach a floor, and a
-    ratio never exceeds 2 min / (sum of lengths); only survivors reach the string distance, once per
-    distinct pair of texts.
+    ratio never exceeds 2 min / (sum of lengths); only survivors reach the string distance.
     """
     has = lambda s: F.col(f"{s}_x").isNotNull() & F.col(f"{s}_y").isNotNull()
     floor = F.when(has("a") & has("b"), (least - 0.6) / 0.4).when(~has("a") & ~has("b"), (least - 0.3) / 0.7).otherwise((least * 0.7 - 0.3) / 0.4)
-    la, lb = F.length("a_name"), F.length("b_name")
+    la, lb = F.length(sorted_tokens(F.col("a_name"))), F.length(sorted_tokens(F.col("b_name")))
     bound = F.when(la + lb > 0, 2 * F.least(la, lb) / (la + lb)).otherwise(1.0)
     same = F.coalesce(F.exists(F.arrays_zip(F.col("a_ids").alias("l"), F.col("b_ids").alias("r")), lambda p: (p["l"] == p["r"]) & (p["l"] != "")), F.lit(False))
     open_ = pairs.withColumn("same_id", same).where((bound >= floor) | F.col("same_id"))
@@ -58,22 +65,64 @@ def score_pairs(pairs: DataFrame, least: float = REVIEW) -> DataFrame:
     return scored.withColumn("score", total).where(F.col("score") >= least)
 
 
-def self_pairs(sites: DataFrame, order: str, block: str | None = None) -> DataFrame:
-    """Pairs i < j with a_/b_ prefixes; ``block`` makes it an equi-join (all pairs only on small sets)."""
+def self_pairs(sites: DataFrame, order: str, block: str) -> DataFrame:
+    """Pairs i < j within a block, with a_/b_ prefixes."""
     a = sites.select(*[F.col(c).alias("a_" + c) for c in sites.columns])
     b = sites.select(*[F.col(c).alias("b_" + c) for c in sites.columns])
-    test = F.col(f"a_{order}") < F.col(f"b_{order}")
-    return a.join(b, test if block is None else (F.col(f"a_{block}") == F.col(f"b_{block}")) & test)
+    return a.join(b, (F.col(f"a_{block}") == F.col(f"b_{block}")) & (F.col(f"a_{order}") < F.col(f"b_{order}")))
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def similar_texts(texts: DataFrame, text: str, least: float) -> DataFrame:
+    """All pairs (v, w) of distinct texts, equal ones included, whose sorted-token ratio reaches ``least``.
+
+    A prefix filter without loss: a ratio of at least r needs that many common characters, so of each
+    text's characters, rarest first, a prefix must meet the other's. Texts meet by equi-join on it.
+    """
+    known = texts.select(F.col(text).alias("v")).where("v is not null").distinct().withColumn("k", sorted_tokens(F.col("v")))
+    chars = known.select("k").distinct().withColumn("n", F.length("k"))
+    marks = F.expr("transform(split(k, ''), (c, i) -> concat(c, size(filter(slice(split(k, ''), 1, i + 1), x -> x = c))))")
+    marked = checkpointed(chars.select("k", "n", F.posexplode_outer(F.when(F.col("n") > 0, marks)).alias("i", "m")).drop("i"))
+    rare = marked.groupBy("m").agg(F.count(F.lit(1)).alias("f"))
+    need = F.col("n") - F.ceil(F.col("n") * least / (2 - least)) + 1
+    ordered = marked.join(rare, "m").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("f", "m"))).alias("ms"))
+    dealt = checkpointed(ordered.select("k", "n", F.explode(F.transform(F.slice("ms", F.lit(1), need.cast("int")), lambda x: x["m"])).alias("m")))
+    other = dealt.select(F.col("k").alias("k2"), F.col("n").alias("n2"), "m")
+    met = dealt.join(other, "m").where((F.col("k") < F.col("k2")) & (2 * F.least("n", "n2") >= least * (F.col("n") + F.col("n2")))).select("k", "k2").distinct()
+    near = met.where(unordered_ratio(F.col("k"), F.col("k2")) >= least)
+    near = near.union(near.select("k2", "k")).union(chars.select("k", F.col("k").alias("k2")))
+    return near.join(known, "k").select("k2", "v").join(known.select(F.col("k").alias("k2"), F.col("v").alias("w")), "k2").select("v", "w")
+
+
+def candidates(sites: DataFrame, least: float = REVIEW) -> DataFrame:
+    """Pairs i < j that can score ``least``: by an external id, by similar communes, or by similar names.
+
+    With a commune similarity under COMMUNE_SPLIT the name alone must reach a level that the weights
+    give, so the union loses no pair. Every step is an equi-join. sites: ord, name, commune, ids and more.
+    """
+    half = 0.3 * COMMUNE_SPLIT
+    level = min((least - half - 0.3) / 0.4, (least - half) / 0.7, (0.7 * least - half) / 0.4)
+    if level <= 0:
+        raise ValueError("the threshold is too low for candidates by name")
+    ids = sites.select("ord", F.posexplode("ids").alias("kind", "id")).where("id is not null and id <> ''")
+    found = ids.join(ids.select(F.col("ord").alias("o2"), "kind", "id"), ["kind", "id"]).select("ord", "o2")
+    for c, r in (("name", level), ("commune", COMMUNE_SPLIT)):
+        like = checkpointed(similar_texts(sites, c, r))
+        other = sites.select(F.col("ord").alias("o2"), F.col(c).alias("w"))
+        found = found.union(sites.select("ord", F.col(c).alias("v")).join(like, "v").join(other, "w").select("ord", "o2"))
+    pairs = found.where("ord < o2").distinct()
+    a = sites.select(*[F.col(c).alias("a_" + c) for c in sites.columns])
+    b = sites.select(*[F.col(c).alias("b_" + c) for c in sites.columns])
+    return pairs.join(a, F.col("ord") == F.col("a_ord")).join(b, F.col("o2") == F.col("b_ord")).drop("ord", "o2")
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, root) with the least node reachable, by least-label propagation with pointer jumping.
 
-    nodes: node; edges: a, b. Each round is written to the shared folder.
+    nodes: node; edges: a, b. Each round is written to the shared folder; labels only fall, so it ends.
     """
     both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpointed(nodes.select("node", F.col("node").alias("root")))
-    for _ in range(rounds):
+    while True:
         least = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
         moved = labels.join(least, labels["node"] == least["a"], "left").select("node", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old"))
         up = moved.select(F.col("node").alias("n2"), F.col("root").alias("r2"))
@@ -81,37 +130,115 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
         labels = moved.select("node", "root")
         if moved.where("root != old").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def filled(cols: list[str]) -> Column:
-    """Number of cells that hold something; an empty text counts, an empty array or map does not."""
-    return sum((F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in cols), F.lit(0))
+def filled(record: Column, schema: T.StructType, skip: tuple[str, ...] = ("phases", "sources")) -> Column:
+    """Number of a record's fields that hold something; an empty text counts, an empty array or map does not."""
+    total = F.lit(0)
+    for f in schema.fields:
+        if f.name not in skip:
+            c = record[f.name]
+            held = F.size(c) > 0 if isinstance(f.dataType, (T.ArrayType, T.MapType)) else c.isNotNull()
+            total = total + F.when(held, 1).otherwise(0)
+    return total
+
+
+def map_right_wins(left: Column, right: Column) -> Column:
+    """Entries of both maps; of a common key the right one's value."""
+    return F.coalesce(F.map_zip_with(left, right, lambda _, a, b: F.coalesce(b, a)), left, right)
+
+
+def append_absent(held: Column, more: Column, same) -> Column:
+    """``held`` and each of ``more`` that equals none before it."""
+    return F.aggregate(F.coalesce(more, F.slice(held, 1, 0)), held, lambda acc, e: F.when(F.exists(acc, lambda x: same(x, e)), acc).otherwise(F.concat(acc, F.array(e))))
 
 
-def merge_fold(records: Column, fields: list[str], arrays: list[str]) -> Column:
-    """Fold records in order: a field keeps its first value, arrays are united in order."""
-    empty = F.struct(*[F.get(records, F.lit(0))[c].alias(c) for c in [*fields, *arrays]])
-    return F.aggregate(
-        F.slice(records, F.lit(2), F.greatest(F.size(records) - 1, F.lit(0))), empty,
-        lambda acc, r: F.struct(*[F.coalesce(acc[c], r[c]).alias(c) for c in fields], *[F.array_union(acc[c], r[c]).alias(c) for c in arrays]),
+def phase_key(phase: Column, schema: T.StructType) -> Column:
+    """Content of a phase: its fields in order of name, without ids and times."""
+    return F.to_json(F.struct(*[phase[f].alias(f) for f in sorted(f.name for f in schema.fields) if f not in PHASE_IDS]))
+
+
+def merge(first: Column, second: Column, schema: T.StructType) -> Column:
+    """One record of two: the fuller one leads (of equals the first) and keeps its own values.
+
+    The other fills missing SCALARS and a missing or empty region, adds its name and variants to the
+    variants, its sources of new ids and its phases of new content (both moved to the leader's id), and
+    its external ids, which win. Place, type and precision are never taken over.
+    """
+    swap = filled(second, schema) > filled(first, schema)
+    a, b = F.when(swap, second).otherwise(first), F.when(swap, first).otherwise(second)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    out = {f: a[f] for f in kinds}
+    for f in SCALARS:
+        if f in kinds:
+            out[f] = F.coalesce(a[f], b[f])
+    if "region_admin" in kinds:
+        out["region_admin"] = F.coalesce(F.nullif(a["region_admin"], F.lit("")), F.nullif(b["region_admin"], F.lit("")), a["region_admin"])
+    if "identifiants_externes" in kinds:
+        out["identifiants_externes"] = map_right_wins(a["identifiants_externes"], b["identifiants_externes"])
+    if "variantes_nom" in kinds:
+        named = F.when(b["nom_site"] != a["nom_site"], F.array(b["nom_site"])).otherwise(F.slice(F.array(b["nom_site"]), 1, 0))
+        more = F.filter(F.concat(F.coalesce(b["variantes_nom"], F.slice(named, 1, 0)), named), lambda v: v.isNotNull() & (v != ""))
+        out["variantes_nom"] = append_absent(F.coalesce(a["variantes_nom"], F.slice(named, 1, 0)), more, lambda x, e: x == e)
+    moved = lambda c: F.transform(b[c], lambda e: e.withField("site_id", a["site_id"]))
+    if "sources" in kinds:
+        out["sources"] = append_absent(a["sources"], moved("sources"), lambda x, e: x["source_id"] == e["source_id"])
+    if "phases" in kinds:
+        inner = kinds["phases"].elementType
+        out["phases"] = append_absent(a["phases"], moved("phases"), lambda x, e: phase_key(x, inner) == phase_key(e, inner))
+    return F.struct(*[c.alias(f) for f, c in out.items()])
+
+
+def merge_clusters(sites: DataFrame, cluster: str, order: str) -> DataFrame:
+    """One record a cluster, folded from the fullest member on, ties in input order; also ``n_members``.
+
+    The columns beside ``cluster`` and ``order`` are the record. A cluster of one is passed through.
+    """
+    fields = [f for f in sites.schema.fields if f.name not in (cluster, order)]
+    schema = T.StructType(fields)
+    record = F.struct(*[f.name for f in fields])
+    member = F.struct(filled(record, schema).alias("f"), F.col(order).alias("o"), record.alias("r"))
+    rank = lambda x, y: F.when(x["f"] > y["f"], -1).when(x["f"] < y["f"], 1).when(x["o"] < y["o"], -1).when(x["o"] > y["o"], 1).otherwise(0)
+    grouped = sites.groupBy(cluster).agg(F.collect_list(member).alias("m"))
+    sorted_ = grouped.select(cluster, F.size("m").alias("n_members"), F.transform(F.array_sort("m", rank), lambda x: x["r"]).alias("m"))
+    folded = F.aggregate(F.slice("m", F.lit(2), F.greatest(F.size("m") - 1, F.lit(0))), F.get("m", F.lit(0)), lambda acc, r: merge(acc, r, schema))
+    return sorted_.select(cluster, "n_members", F.when(F.col("n_members") > 1, folded).otherwise(F.get("m", F.lit(0))).alias("r")).select(cluster, "n_members", "r.*")
+
+
+def clusters(sites: DataFrame, *, merge: float = MERGE, review: float = REVIEW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((ord, cluster), review pairs, report). sites: ord, site_id, name, commune, x, y, centroid, ids.
+
+    Every pair from ``review`` up to ``merge`` is listed, also where other links put both into one cluster.
+    """
+    scored = checkpointed(score_pairs(candidates(sites, review), review))
+    edges = scored.where(F.col("score") >= merge).select(F.col("a_ord").alias("a"), F.col("b_ord").alias("b"))
+    labels = components(sites.select(F.col("ord").alias("node")), edges).select(F.col("node").alias("ord"), F.col("root").alias("cluster"))
+    pairs = scored.where(F.col("score") < merge).select(
+        F.col("a_site_id").alias("site_id_a"), F.col("b_site_id").alias("site_id_b"), F.bround("score", 4).alias("score"),
+        F.col("a_name").alias("nom_site_a"), F.col("b_name").alias("nom_site_b"), F.col("a_commune").alias("commune_a"), F.col("b_commune").alias("commune_b"),
     )
+    return labels, pairs, report(labels, pairs, scored)
 
 
-def merge_clusters(sites: DataFrame, cluster: str, order: str, fields: list[str], arrays: list[str]) -> DataFrame:
-    """One record a cluster: members by filled cells (most first), then input order."""
-    member = F.struct((-filled(fields)).alias("__f"), F.col(order).alias("__o"), *fields, *arrays)
-    grouped = sites.groupBy(cluster).agg(F.array_sort(F.collect_list(member)).alias("__m"), F.count(F.lit(1)).alias("n_members"))
-    merged = grouped.withColumn("__r", merge_fold(F.col("__m"), fields, arrays))
-    return merged.select(cluster, "n_members", F.get(F.col("__m"), F.lit(0))["__o"].alias(order), "__r.*")
+def report(labels: DataFrame, pairs: DataFrame, scored: DataFrame) -> DataFrame:
+    """One row: input and output records, clusters of several, merges made, review pairs, pairs of the input, highest score."""
+    sizes = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    counts = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("input_count"), F.count(F.lit(1)).alias("output_count"), F.count_if(F.col("n") > 1).alias("clusters_merged"))
+    counts = counts.withColumn("pairwise_merges", F.col("input_count") - F.col("output_count")).withColumn("pairs_compared", (F.col("input_count") * (F.col("input_count") - 1) / 2).cast("long"))
+    return counts.crossJoin(pairs.agg(F.count(F.lit(1)).alias("review_pair_count"))).crossJoin(scored.agg(F.max("score").alias("max_score")))
+
+
+def view(sites: DataFrame, order: str) -> DataFrame:
+    """What the score needs of full site records."""
+    known = lambda k: F.coalesce(F.try_element_at("identifiants_externes", F.lit(k)), F.lit(""))
+    return sites.select(
+        F.col(order).alias("ord"), "site_id", F.col("nom_site").alias("name"), "commune", F.col("x_l93").alias("x"), F.col("y_l93").alias("y"),
+        (F.col("precision_localisation") == "centroïde").alias("centroid"), F.array(known("patriarche_ea"), known("arkeogis_id")).alias("ids"),
+    )
 
 
-def deduplicate(sites: DataFrame, *, merge: float = MERGE, review: float = REVIEW, block: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(site_id, cluster), review pairs. sites: ord, site_id, name, commune, x, y, centroid, ids."""
-    scored = checkpointed(score_pairs(self_pairs(sites, "ord", block), review))
-    labels = components(sites.select(F.col("ord").alias("node")), scored.where(F.col("score") >= merge).select(F.col("a_ord").alias("a"), F.col("b_ord").alias("b")))
-    clusters = sites.join(labels, sites["ord"] == labels["node"]).select("site_id", F.col("root").alias("cluster"))
-    found = scored.where(F.col("score") < merge)
-    a, b = labels.select(F.col("node").alias("na"), F.col("root").alias("ra")), labels.select(F.col("node").alias("nb"), F.col("root").alias("rb"))
-    found = found.join(a, F.col("a_ord") == F.col("na")).join(b, F.col("b_ord") == F.col("nb")).where("ra != rb")
-    return clusters, found.select(F.col("a_site_id").alias("site_id_a"), F.col("b_site_id").alias("site_id_b"), F.bround("score", 4).alias("score"))
+def deduplicate(sites: DataFrame, *, order: str = "site_id", merge: float = MERGE, review: float = REVIEW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged site records, review pairs, report) of full site records; ``order`` is their input order."""
+    labels, pairs, told = clusters(view(sites, order), merge=merge, review=review)
+    keyed = sites.withColumn("__ord", F.col(order)).join(labels.select(F.col("ord").alias("__ord"), F.col("cluster").alias("__cluster")), "__ord")
+    return merge_clusters(keyed, "__cluster", "__ord").drop("__cluster", "n_members"), pairs, told

@@ -12,10 +12,11 @@ from .. import vocab
 from ..functions import chrono, geo, text
 
 
-def area_ok(country: Column, department: Column, departments: Sequence[int] = (67, 68), countries: Sequence[str] = ("FR", "DE", "CH")) -> Column:
-    """A missing country or department passes."""
-    c = F.upper(country)
-    return F.coalesce((c == "") | c.isin(*countries), F.lit(True)) & F.coalesce(department.isin(*departments), F.lit(True))
+def area_ok(country: Column, department: Column, departments: Sequence[int] | None = (67, 68), countries: Sequence[str] | None = ("FR", "DE", "CH")) -> Column:
+    """A missing country or department passes; None as a list lets all pass."""
+    c = F.upper(F.trim(country))
+    named = F.coalesce((c == "") | c.isin(*countries), F.lit(True)) if countries else F.lit(True)
+    return named & (F.coalesce(department.isin(*departments), F.lit(True)) if departments else F.lit(True))
 
 
 def split_rejects(df: DataFrame, rejects: Column) -> tuple[DataFrame, DataFrame]:

@@ -1,10 +1,11 @@
-"""Batch pipeline: ordered steps over DataFrames, Parquet checkpoints, resume, quarantine."""
+"""Batch pipeline: ordered steps over DataFrames, Parquet checkpoints, resume, skip, review table, event log."""
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,85 +18,206 @@ from .sources.readers import UnsupportedFormatError, read_source
 from .sources.writers import export
 
 STEPS = ("INGEST", "EXTRACT", "NORMALIZE", "DEDUPLICATE", "GEOCODE", "VALIDATE", "EXPORT")
+#: Columns of a raw record.
+RAW = (
+    ("raw_text", "string"), ("commune", "string"), ("type_mention", "string"), ("periode_mention", "string"), ("page_number", "int"), ("latitude_raw", "double"),
+    ("longitude_raw", "double"), ("source_path", "string"), ("extraction_method", "string"), ("extra", "map<string,string>"),
+)
 
 
 @dataclass
 class Config:
+    """sources: dicts of path, type, method, options, mapping (columns of the file -> of a raw record).
+
+    chrono, departments and countries are the filters after INGEST; None switches one off. providers
+    are lookup tables by country (commune, x, y), asked in turn; gazetteer serves every country.
+    """
+
     sources: list[dict]
     out: str
     merge: float = dedup.MERGE
     review: float = dedup.REVIEW
-    block: str | None = None
-    departments: tuple[int, ...] = (67, 68)
+    chrono: bool = True
+    departments: Sequence[int] | None = (67, 68)
+    countries: Sequence[str] | None = ("FR", "DE", "CH")
     gazetteer: DataFrame | None = None
-    geocoder: Callable[[DataFrame], DataFrame] | None = None
-    extra: dict = field(default_factory=dict)
+    providers: dict[str, Sequence[DataFrame]] = field(default_factory=dict)
+
+    def digest(self, step: str) -> str:
+        """Of what the step's result depends on beside its input."""
+        own = {"INGEST": ("sources", "chrono", "departments", "countries"), "DEDUPLICATE": ("merge", "review")}.get(step, ())
+        return hashlib.md5(json.dumps({k: getattr(self, k) for k in own}, sort_keys=True, default=str).encode()).hexdigest()
+
 
-    def digest(self) -> str:
-        held = {k: v for k, v in vars(self).items() if k not in ("gazetteer", "geocoder")}
-        return hashlib.md5(json.dumps(held, sort_keys=True, default=str).encode()).hexdigest()
+class MissingCheckpointError(FileNotFoundError):
+    """A step before the requested start has not been run."""
 
 
-def fingerprint(df: DataFrame) -> tuple:
+def fingerprint(df: DataFrame) -> str:
     """Order-insensitive content hash."""
-    return tuple(str(x) for x in df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)"))).first())
+    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)"))).first()
+    return hashlib.md5(json.dumps([str(x) for x in row]).encode()).hexdigest()
 
 
-def _ingest(spark: SparkSession, config: Config) -> DataFrame:
-    frames = []
+def raw_records(df: DataFrame) -> DataFrame:
+    """The columns of a raw record; what is missing is null, other columns go into ``extra`` as text."""
+    known = dict(RAW)
+    kinds = dict(df.dtypes)
+    spare = [c for c in df.columns if c not in known]
+    held = F.map_filter(F.create_map(*[x for c in spare for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]), lambda _, v: v.isNotNull() & (v != "")) if spare else F.lit(None).cast(known["extra"])
+    extra = dedup.map_right_wins(held, F.col("extra")) if kinds.get("extra", "").startswith("map") else held
+    one = lambda c, t: F.lit(None).cast(t) if c not in kinds else F.col(c).try_cast(t)
+    return df.select(*[one(c, t).alias(c) for c, t in RAW[:-1]], extra.alias("extra"))
+
+
+def _ingest(spark: SparkSession, config: Config) -> tuple[list[DataFrame], list[tuple[str, str]]]:
+    frames, failed = [], []
     for s in config.sources:
         try:
-            frames.append(read_source(spark, s["path"], s.get("type"), **s.get("options", {})).withColumn("source_path", F.lit(s["path"])).withColumn("extraction_method", F.lit(s.get("method", s.get("type", "csv")))))
-        except UnsupportedFormatError:
-            config.extra.setdefault("review", []).append({"source": s["path"], "reason": "unsupported format"})
-    return union_all(frames)
-
-
-def geocode(sites: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """Sites without a position take their commune's (gazetteer: commune, x, y)."""
-    g = match.first_wins(gazetteer.withColumn("__key", F.lower("commune")), ["__key"], [F.col("x"), F.col("y")]).select("__key", F.col("x").alias("__x"), F.col("y").alias("__y"))
-    joined = sites.withColumn("__key", F.lower("commune")).join(g, "__key", "left")
-    hit = F.col("x_l93").isNull() & F.col("__x").isNotNull()
-    return joined.withColumn("precision_localisation", F.when(hit, "centroïde").otherwise(F.col("precision_localisation"))).withColumn("x_l93", F.coalesce("x_l93", "__x")).withColumn("y_l93", F.coalesce("y_l93", "__y")).drop("__key", "__x", "__y")
-
-
-def deduplicate(sites: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
-    view = sites.select(F.col("site_id").alias("ord"), "site_id", F.col("nom_site").alias("name"), "commune", F.col("x_l93").alias("x"), F.col("y_l93").alias("y"), (F.col("precision_localisation") == "centroïde").alias("centroid"), F.array(*[F.coalesce(F.try_element_at("identifiants_externes", F.lit(k)), F.lit("")) for k in ("patriarche_ea", "arkeogis_id")]).alias("ids"))
-    clusters, review = dedup.deduplicate(view, merge=config.merge, review=config.review, block=config.block)
-    fields = ["nom_site", "pays", "region_admin", "commune", "x_l93", "y_l93", "precision_localisation", "type_site", "identifiants_externes"]
-    merged = dedup.merge_clusters(sites.join(clusters, "site_id"), "cluster", "site_id", fields, ["variantes_nom", "phases", "sources"])
-    return merged.drop("cluster", "n_members"), review
-
-
-def run(spark: SparkSession, config: Config, start: str = "INGEST") -> dict[str, DataFrame]:
-    """Run the steps from ``start`` on, earlier ones from their checkpoints; returns sites and the review tables."""
-    at = STEPS.index(start)
-    path = lambda step: f"{config.out}/checkpoints/{config.digest()}/{step}"
-
-    def step(name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if STEPS.index(name) >= at:
-            make().write.mode("overwrite").parquet(path(name))
-        return spark.read.parquet(path(name))
-
-    raw = step("INGEST", lambda: _ingest(spark, config))
-    for c, kind in (("raw_text", "string"), ("commune", "string"), ("type_mention", "string"), ("periode_mention", "string"), ("page_number", "int"), ("latitude_raw", "double"), ("longitude_raw", "double"), ("extra", "map<string,string>")):
-        raw = raw.withColumn(c, F.col(c).try_cast(kind) if c in raw.columns and not kind.startswith("map") else raw[c] if c in raw.columns else F.lit(None).cast(kind))
-    blank = F.array(F.when((F.trim(F.coalesce("raw_text", F.lit(""))) == "") & (F.trim(F.coalesce("commune", F.lit(""))) == ""), "empty record"))
-    kept, rejected = rows.split_rejects(raw, blank)
-    kept = step("EXTRACT", lambda: kept)
-    sites = step("NORMALIZE", lambda: rows.normalise(kept).dropDuplicates(["site_id"]))
-    first = F.get("phases", F.lit(0))
-    good, bad = rows.split_rejects(sites, rows.site_rejects(F.col("x_l93"), F.col("y_l93"), first["periode"], first["sous_periode"], F.col("nom_site")))
-    review: list[DataFrame] = []
-
-    def merged() -> DataFrame:
-        out, pairs = deduplicate(good, config)
-        review.append(pairs)
-        return out
-
-    sites = step("DEDUPLICATE", merged)
-    sites = step("GEOCODE", lambda: geocode(sites, config.gazetteer) if config.gazetteer is not None else sites)
-    warned = sites.select("site_id", F.explode("phases").alias("p")).select("site_id", F.explode(chrono.warnings(F.col("p.periode"), F.col("p.sous_periode"), F.col("p.datation_debut"), F.col("p.datation_fin"))).alias("w")).select("site_id", "w.*")
-    sites = step("VALIDATE", lambda: sites)
-    export(sites, f"{config.out}/export")
-    return {"sites": sites, "warnings": warned, "rejected_records": rejected, "rejected_sites": bad} | ({"review_pairs": review[0]} if review else {})
+            read = read_source(spark, s["path"], s.get("type"), mapping=s.get("mapping"), **s.get("options", {}))
+        except UnsupportedFormatError as e:
+            failed.append((s["path"], str(e)))
+            continue
+        method = F.lit(s.get("method", s.get("type", "csv")))
+        kept = {"source_path": F.lit(s["path"]), "extraction_method": method}
+        frames.append(raw_records(read.withColumns({c: F.coalesce(F.col(c), v) if c in read.columns else v for c, v in kept.items()})))
+    return frames, failed
+
+
+def retained(raw: DataFrame, config: Config) -> DataFrame:
+    """The chronological and geographic filters; what is not stated passes the geographic one."""
+    e = lambda k: F.nullif(F.try_element_at("extra", F.lit(k)), F.lit(""))
+    listed = lambda k, by: F.coalesce(F.split(e(k), by), F.expr("cast(array() as array<string>)"))
+    old = chrono.iron_age(F.col("periode_mention"), flags=listed("phases_bool", ","), mentions=listed("datation_mentions", ";"), start=e("datation_debut").try_cast("int"), end=e("datation_fin").try_cast("int"), method=F.col("extraction_method"))
+    department = chrono.department(e("departement"), e("dept_land"), identifier=e("patriarche_ea"))
+    place = rows.area_ok(F.coalesce(e("pays"), F.lit("")), department, config.departments, config.countries)
+    return raw.where((old if config.chrono else F.lit(True)) & place)
+
+
+def geocode(sites: DataFrame, tables: Sequence[tuple[str | None, DataFrame]]) -> DataFrame:
+    """Sites without a position take their commune's, from the first table that knows it.
+
+    tables: (country or None for any, table of commune, x, y) in order of trust. A found position is a
+    centroid. Sites with a position or without a commune stay as they are.
+    """
+    out = sites.withColumn("__key", F.when((F.col("x_l93").isNull() | F.col("y_l93").isNull()) & (F.trim("commune") != ""), F.lower(F.trim("commune"))))
+    found = []
+    for i, (country, table) in enumerate(tables):
+        g = match.first_wins(table.withColumn("__k", F.lower(F.trim("commune"))), ["__k"], [F.col("x"), F.col("y")])
+        out = out.join(g.select(F.col("__k").alias(f"__k{i}"), F.struct("x", "y").alias(f"__p{i}")), F.col("__key") == F.col(f"__k{i}"), "left")
+        found.append(F.col(f"__p{i}") if country is None else F.when(F.col("pays") == country, F.col(f"__p{i}")))
+    out = out.withColumn("__hit", F.coalesce(*found) if found else F.lit(None).cast("struct<x:double,y:double>"))
+    hit = F.col("__hit").isNotNull()
+    placed = {"x_l93": F.when(hit, F.col("__hit.x")).otherwise(F.col("x_l93")), "y_l93": F.when(hit, F.col("__hit.y")).otherwise(F.col("y_l93")), "precision_localisation": F.when(hit, "centroïde").otherwise(F.col("precision_localisation"))}
+    return out.withColumns(placed).select(*sites.columns)
+
+
+def _review(rows_: DataFrame, step: str, subject: str, reason) -> DataFrame:
+    return rows_.select(F.lit(step).alias("step"), F.col(subject).cast("string").alias("subject"), reason.alias("reason"))
+
+
+class Runner:
+    """Runs the steps; each result is a checkpoint with a manifest of its input's hash."""
+
+    def __init__(self, spark: SparkSession, config: Config):
+        self.spark, self.config = spark, config
+        self.reviews: list[DataFrame] = []
+
+    def path(self, name: str) -> str:
+        return f"{self.config.out}/checkpoints/{name}"
+
+    def log(self, step: str, event: str, **facts) -> None:
+        """Append one line to the event log."""
+        line = json.dumps({"step": step, "event": event, "ts": round(time.time(), 3), **facts}, sort_keys=True, default=str)
+        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.config.out}/log")
+
+    def manifest(self, step: str) -> str | None:
+        try:
+            return self.spark.read.text(self.path(f"{step}.manifest")).first()["value"]
+        except Exception as e:  # the file system says a missing path in its own classes
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+
+    def step(self, name: str, source: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
+        """The step's result and its hash; made anew unless its last input had the hash ``source``."""
+        known = json.dumps({"input": source, "config": self.config.digest(name)}, sort_keys=True)
+        skip = self.manifest(name) == known
+        self.log(name, "start", input=source)
+        if not skip:
+            make().write.mode("overwrite").parquet(self.path(name))
+            self.spark.createDataFrame([(known,)], "value string").coalesce(1).write.mode("overwrite").text(self.path(f"{name}.manifest"))
+        out = self.spark.read.parquet(self.path(name))
+        mark = fingerprint(out)
+        self.log(name, "skipped" if skip else "end", output=mark)
+        return out, mark
+
+    def held(self, name: str) -> tuple[DataFrame, str]:
+        if self.manifest(name) is None:
+            raise MissingCheckpointError(self.path(name))
+        out = self.spark.read.parquet(self.path(name))
+        return out, fingerprint(out)
+
+    def run(self, start: str = STEPS[0]) -> dict[str, DataFrame]:
+        config, at = self.config, STEPS.index(start)
+        do = lambda name, source, make: self.step(name, source, make) if STEPS.index(name) >= at else self.held(name)
+
+        frames, failed = _ingest(self.spark, config) if at == 0 else ([], [])
+        source = fingerprint(union_all(frames)) if frames else "none"
+        empty = self.spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in RAW))
+        raw, mark = do("INGEST", source, lambda: retained(union_all(frames), config) if frames else empty)
+        if failed:
+            self.reviews.append(self.spark.createDataFrame([("INGEST", *f) for f in failed], "step string, subject string, reason string"))
+
+        blank = F.array(F.when((F.trim(F.coalesce("raw_text", F.lit(""))) == "") & (F.coalesce("commune", F.lit("")) == ""), "empty raw_text and commune"))
+        kept, rejected = rows.split_rejects(raw, blank)
+        self.reviews.append(_review(rejected, "EXTRACT", "source_path", F.get("rejects", F.lit(0))))
+        records, mark = do("EXTRACT", mark, lambda: kept)
+
+        # A repeated id keeps its first record by content.
+        sites, mark = do("NORMALIZE", mark, lambda: match.first_wins(rows.normalise(records), ["site_id"], [F.to_json(F.struct("*"))]))
+        first = F.get("phases", F.lit(0))
+        good, bad = rows.split_rejects(sites, rows.site_rejects(F.col("x_l93"), F.col("y_l93"), first["periode"], first["sous_periode"], F.col("nom_site")))
+        self.reviews.append(_review(bad, "NORMALIZE", "site_id", F.array_join("rejects", ";")))
+
+        def merged() -> DataFrame:
+            out, pairs, told = dedup.deduplicate(good, merge=config.merge, review=config.review)
+            pairs.write.mode("overwrite").parquet(self.path("DEDUPLICATE.review"))
+            told.write.mode("overwrite").parquet(self.path("DEDUPLICATE.report"))
+            return out
+
+        sites, mark = do("DEDUPLICATE", mark, merged)
+        pairs = self.spark.read.parquet(self.path("DEDUPLICATE.review"))
+        self.reviews.append(pairs.select(F.lit("DEDUPLICATE").alias("step"), F.concat_ws("|", "site_id_a", "site_id_b").alias("subject"), F.concat_ws(":", F.lit("similarity_review"), F.col("score").cast("string")).alias("reason")))
+
+        tables = [(c, x) for c, many in config.providers.items() for x in many] + ([(None, config.gazetteer)] if config.gazetteer is not None else [])
+        known = "".join([mark, *(f"{c}{fingerprint(x)}" for c, x in tables)])
+        sites, mark = do("GEOCODE", known, lambda: geocode(sites, tables))
+        lost = sites.where("(x_l93 is null or y_l93 is null) and trim(commune) <> ''")
+        self.reviews.append(_review(lost, "GEOCODE", "site_id", F.lit("lookup_failed")))
+
+        warned = sites.select("site_id", F.explode("phases").alias("p")).select("site_id", F.explode(chrono.warnings(F.col("p.periode"), F.col("p.sous_periode"), F.col("p.datation_debut"), F.col("p.datation_fin"))).alias("w"))
+        self.reviews.append(_review(warned, "VALIDATE", "site_id", F.concat_ws(":", F.lit("chrono"), "w.field", "w.message")))
+        placed = sites.select("site_id", F.explode(rows.geo_warnings(F.col("x_l93"), F.col("y_l93"))).alias("w"))
+        self.reviews.append(_review(placed, "VALIDATE", "site_id", F.concat_ws(":", F.lit("geo"), "w")))
+        sites, mark = do("VALIDATE", mark, lambda: sites)
+
+        export(sites, f"{config.out}/export")
+        self.log("EXPORT", "end", input=mark)
+        union_all(self.reviews).write.mode("overwrite").json(f"{config.out}/review")
+        review = self.spark.read.schema("step string, subject string, reason string").json(f"{config.out}/review")
+        return {"sites": sites, "review": review, "report": self.spark.read.parquet(self.path("DEDUPLICATE.report")), "log": self.spark.read.text(f"{config.out}/log")}
+
+
+def run(spark: SparkSession, config: Config, start: str = STEPS[0]) -> dict[str, DataFrame]:
+    """Run the steps from ``start`` on, earlier ones from their checkpoints: sites, review, report, log."""
+    return Runner(spark, config).run(start)
+
+
+def latest(spark: SparkSession, out: str) -> DataFrame:
+    """Sites of the last step that has a checkpoint: VALIDATE, else GEOCODE, DEDUPLICATE, NORMALIZE."""
+    runner = Runner(spark, Config([], out))
+    for step in ("VALIDATE", "GEOCODE", "DEDUPLICATE", "NORMALIZE"):
+        if runner.manifest(step) is not None:
+            return spark.read.parquet(runner.path(step))
+    raise MissingCheckpointError(out)

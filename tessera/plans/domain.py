@@ -15,7 +15,7 @@ from .relational import query
 #: Dated mentions for the rule queries, dealt over the documents by id.
 MENTIONS = ("Hallstatt final", "Age du Bronze", "La Tène ancienne", "Néolithique", "", "Bronzezeit", "LT B2", "protohistorique", "Ha D1", "gallo-romain")
 TYPES = ("habitat", "Tumulus", "Grabhügel", "un grand oppidum fortifié", "Siedlung am Berg", "rien", "tombe à char", "Verkehrsweg")
-PLACES = ("Straßburg", "Colmar", "Zabern", "Paris", "Bâle", "kolmar", "Breisach")
+PLACES = (*(x for n, vs in vocab.TOPONYMS.items() for x in (n, n.lower(), n.upper(), *vs)), " Paris ", "kolmar ", "")
 
 
 def _pick(values, key="doc_id"):
@@ -53,7 +53,7 @@ def type_alias_match(spark, sf):
 _PLACE_ROWS = ", ".join(f"('{v}', '{n}')" for v, n in dict((v.lower().replace("'", "''"), n) for n, vs in vocab.TOPONYMS.items() for v in (n, *vs)).items())
 
 
-@query(f"WITH p(v, n) AS (VALUES {_PLACE_ROWS}), d AS (SELECT doc_id, {_sql_pick(PLACES)} AS m FROM documents) SELECT doc_id, coalesce(n, m) AS name, CASE WHEN coalesce(n, m) <> m THEN m ELSE '' END AS variants FROM d LEFT JOIN p ON v = lower(trim(m))")
+@query(f"WITH p(v, n) AS (VALUES {_PLACE_ROWS}), d AS (SELECT doc_id, {_sql_pick(PLACES)} AS m FROM documents) SELECT doc_id, coalesce(n, trim(m)) AS name, CASE WHEN coalesce(n, trim(m)) <> trim(m) THEN trim(m) ELSE '' END AS variants FROM d LEFT JOIN p ON v = lower(trim(m))")
 def toponym_canonical(spark, sf):
     return t(spark, sf, "documents").select("doc_id", text.toponym(_pick(PLACES)).alias("p")).select("doc_id", F.col("p.name").alias("name"), F.array_join("p.variants", ";").alias("variants"))
 
@@ -185,58 +185,116 @@ def section_split(spark, sf):
     return R.sections(lines, "doc_id", "o", "line", "^[A-T]").select("doc_id", "section", F.col("n_lines").cast("long").alias("n_lines"), F.md5("body").alias("body"))
 
 
-@query("SELECT a.p_partkey AS a, b.p_partkey AS b, round(CASE WHEN len(list_distinct(list_concat(x, y))) = 0 THEN 0 ELSE len(list_intersect(x, y)) / len(list_distinct(list_concat(x, y)))::DOUBLE END, 6) AS score FROM (SELECT p_partkey, p_brand, list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda t: t <> '') AS x FROM part WHERE p_size = 1) a JOIN (SELECT p_partkey, p_brand, list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda t: t <> '') AS y FROM part WHERE p_size = 1) b ON a.p_brand = b.p_brand AND a.p_partkey < b.p_partkey")
+_TOKENS = "list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda t: t <> '')"
+
+
+@query(f"""WITH n AS (SELECT min(p_partkey) AS k, p_brand, any_value({_TOKENS}) AS x FROM part GROUP BY p_brand, p_name)
+SELECT a.k AS a, b.k AS b, round(CASE WHEN len(list_distinct(list_concat(a.x, b.x))) = 0 THEN 0 ELSE len(list_intersect(a.x, b.x)) / len(list_distinct(list_concat(a.x, b.x)))::DOUBLE END, 6) AS score FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.k < b.k""")
 def token_jaccard(spark, sf):
-    p = t(spark, sf, "part").where("p_size = 1").select("p_partkey", "p_brand", "p_name")
-    pairs = p.select(F.col("p_partkey").alias("a"), "p_brand", F.col("p_name").alias("x")).join(p.select(F.col("p_partkey").alias("b"), "p_brand", F.col("p_name").alias("y")), "p_brand").where("a < b")
+    """Distinct names of a brand in pairs, each named by its least part."""
+    p = t(spark, sf, "part").groupBy("p_brand", "p_name").agg(F.min("p_partkey").alias("k"))
+    pairs = p.select(F.col("k").alias("a"), "p_brand", F.col("p_name").alias("x")).join(p.select(F.col("k").alias("b"), "p_brand", F.col("p_name").alias("y")), "p_brand").where("a < b")
     return pairs.select("a", "b", F.round(similarity.token_jaccard(F.col("x"), F.col("y")), 6).alias("score"))
 
 
-_LCS = """RECURSIVE pr AS (SELECT a.n AS a, b.n AS b FROM (SELECT DISTINCT p_name AS n FROM part) a JOIN (SELECT DISTINCT p_name AS n FROM part) b ON a.n < b.n),
+#: Similarity of every two names or communes by dynamic programming, a row of the table at a time.
+_LCS = """RECURSIVE v AS (SELECT DISTINCT p_name AS n FROM part UNION SELECT n_name FROM nation), pr AS (SELECT a.n AS a, b.n AS b FROM v a JOIN v b ON a.n < b.n),
 k AS (SELECT a, b, array_to_string(list_sort(string_split(a, ' ')), ' ') AS x, array_to_string(list_sort(string_split(b, ' ')), ' ') AS y FROM pr),
 dp AS (SELECT a, b, x, y, 0 AS i, list_transform(range(0, length(y) + 1), lambda z: 0) AS row FROM k
 UNION ALL SELECT a, b, x, y, i + 1, list_reduce(list_prepend([0], list_transform(range(1, length(y) + 1), lambda j: [CASE WHEN substr(y, CAST(j AS BIGINT), 1) = substr(x, i + 1, 1) THEN row[j] + 1 ELSE row[j + 1] END])), lambda acc, e: list_append(acc, greatest(acc[len(acc)], e[1]))) FROM dp WHERE i < length(x)),
-sc AS (SELECT a, b, round(2.0::DOUBLE * row[len(row)] / (length(x) + length(y)), 6) AS score FROM dp WHERE i = length(x))"""
+sc AS (SELECT a, b, 2.0::DOUBLE * row[len(row)] / (length(x) + length(y)) AS score FROM dp WHERE i = length(x)), sim AS (SELECT a, b, score FROM sc UNION ALL SELECT b, a, score FROM sc UNION ALL SELECT n, n, 1.0::DOUBLE FROM v)"""
 
 
-@query(f"WITH {_LCS} SELECT a, b, score FROM sc")
+@query(f"WITH {_LCS} SELECT a, b, round(score, 6) AS score FROM sc WHERE score >= 0.6::DOUBLE AND a IN (SELECT p_name FROM part) AND b IN (SELECT p_name FROM part)")
 def token_sort_similarity(spark, sf):
-    n = t(spark, sf, "part").select(F.col("p_name").alias("a")).distinct()
-    pairs = n.join(n.select(F.col("a").alias("b")), F.col("a") < F.col("b"))
-    return pairs.select("a", "b", F.round(similarity.token_sort_ratio(F.col("a"), F.col("b")), 6).alias("score"))
+    """Distinct names whose ratio reaches 0.6; they meet by common characters, not all by all."""
+    near = D.similar_texts(t(spark, sf, "part"), "p_name", 0.6).where("v < w")
+    return near.select(F.col("v").alias("a"), F.col("w").alias("b"), F.round(similarity.token_sort_ratio(F.col("v"), F.col("w")), 6).alias("score"))
+
+
+def _named_sites(spark, sf):
+    """Suppliers under part names: a third without position, some centroids, some sharing an external id."""
+    k = F.col("s_suppkey")
+    n, p = t(spark, sf, "nation"), t(spark, sf, "part").select("p_partkey", "p_name")
+    s = t(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(p, k == F.col("p_partkey"))
+    at = lambda c: F.when(k % 3 != 0, c)
+    ids = F.array(F.when(k % 11 < 2, F.concat(F.lit("EA"), F.floor(k / 22).cast("string"))).otherwise(""), F.when(k % 13 == 0, F.concat(F.lit("AK"), (k % 3).cast("string"))).otherwise(""))
+    return s.select(k.alias("ord"), k.alias("site_id"), F.col("p_name").alias("name"), F.col("n_name").alias("commune"), at(metre_x(k)).alias("x"), at(metre_y(k)).alias("y"), (k % 5 == 0).alias("centroid"), ids.alias("ids"))
+
+
+_NAMED = f"""WITH {_LCS}, st AS (SELECT s_suppkey AS k, p_name AS name, n_name AS commune, CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey * 7919 % 20000 AS DOUBLE) END AS x, CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey * 104729 % 20000 AS DOUBLE) END AS y,
+s_suppkey % 5 = 0 AS ce, CASE WHEN s_suppkey % 11 < 2 THEN 'EA' || CAST(s_suppkey // 22 AS VARCHAR) ELSE '' END AS i1, CASE WHEN s_suppkey % 13 = 0 THEN 'AK' || CAST(s_suppkey % 3 AS VARCHAR) ELSE '' END AS i2
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN part ON s_suppkey = p_partkey),
+ps AS (SELECT a.k AS ka, b.k AS kb, a.name AS na, b.name AS nb, a.commune AS ca, b.commune AS cb, CASE WHEN (a.i1 <> '' AND a.i1 = b.i1) OR (a.i2 <> '' AND a.i2 = b.i2) THEN 1.0::DOUBLE WHEN a.x IS NOT NULL AND b.x IS NOT NULL THEN 0.4::DOUBLE * n.score + 0.3::DOUBLE * c.score + 0.3::DOUBLE * ((1 - least(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / 1000, 50.0::DOUBLE) / 50) * CASE WHEN a.ce OR b.ce THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END)
+WHEN a.x IS NULL AND b.x IS NULL THEN 0.7::DOUBLE * n.score + 0.3::DOUBLE * c.score ELSE (0.4::DOUBLE * n.score + 0.3::DOUBLE * c.score) / 0.7::DOUBLE END AS score
+FROM st a JOIN st b ON a.k < b.k JOIN sim n ON n.a = a.name AND n.b = b.name JOIN sim c ON c.a = a.commune AND c.b = b.commune)"""
 
 
-@query(f"WITH {_LCS} SELECT a AS site_id_a, b AS site_id_b, round(0.7 * score + 0.3, 4) AS score FROM sc WHERE 0.7 * score + 0.3 >= 0.7 AND 0.7 * score + 0.3 < 0.85")
-def fuzzy_review_pairs(spark, sf):
-    n = t(spark, sf, "part").select(F.col("p_name").alias("name")).distinct()
-    s = n.select("name", F.lit("x").alias("commune"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(False).alias("centroid"), F.expr("cast(array() as array<string>)").alias("ids"))
-    scored = D.score_pairs(D.self_pairs(s, "name"))
-    return scored.where(F.col("score") < D.MERGE).select(F.col("a_name").alias("site_id_a"), F.col("b_name").alias("site_id_b"), F.round("score", 4).alias("score"))
+@query(f"{_NAMED} SELECT ka AS site_id_a, kb AS site_id_b, round_even(score, 4) AS score, na AS nom_site_a, nb AS nom_site_b, ca AS commune_a, cb AS commune_b FROM ps WHERE score >= 0.7::DOUBLE AND score < 0.85::DOUBLE")
+def dedup_review_all(spark, sf):
+    """Every pair for review, with every branch of the composite score."""
+    return D.clusters(_named_sites(spark, sf))[1]
 
 
-_EDGES = "e AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM documents a JOIN documents b ON substr(a.text, 1, 80) = substr(b.text, 1, 80) AND a.doc_id < b.doc_id)"
+@query(f"{_NAMED}, u AS (SELECT ka AS a, kb AS b FROM ps WHERE score >= 0.85::DOUBLE UNION SELECT kb, ka FROM ps WHERE score >= 0.85::DOUBLE), r AS (SELECT k AS n, k AS m FROM st UNION SELECT r.n, u.b FROM r JOIN u ON u.a = r.m) SELECT n AS ord, min(m) AS cluster FROM r GROUP BY 1")
+def dedup_clusters(spark, sf):
+    return D.clusters(_named_sites(spark, sf))[0]
+
+
+@query(f"""{_NAMED}, u AS (SELECT ka AS a, kb AS b FROM ps WHERE score >= 0.85::DOUBLE UNION SELECT kb, ka FROM ps WHERE score >= 0.85::DOUBLE), r AS (SELECT k AS n, k AS m FROM st UNION SELECT r.n, u.b FROM r JOIN u ON u.a = r.m), l AS (SELECT n, min(m) AS c FROM r GROUP BY 1), g AS (SELECT c, count(*) AS n FROM l GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS input_count, count(*) AS output_count, count(*) FILTER (n > 1) AS clusters_merged, CAST(sum(n) - count(*) AS BIGINT) AS pairwise_merges, CAST(sum(n) * (sum(n) - 1) / 2 AS BIGINT) AS pairs_compared,
+(SELECT count(*) FROM ps WHERE score >= 0.7::DOUBLE AND score < 0.85::DOUBLE) AS review_pair_count, (SELECT round(max(score), 6) FROM ps) AS max_score FROM g""")
+def dedup_report(spark, sf):
+    return D.clusters(_named_sites(spark, sf))[2].withColumn("max_score", F.round("max_score", 6))
+
+
+_EDGES = "e AS (SELECT b, doc_id AS a FROM documents JOIN (SELECT text AS t, min(doc_id) AS b FROM documents GROUP BY 1) ON text = t WHERE doc_id > b)"
 
 
 @query(f"WITH RECURSIVE {_EDGES}, u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT doc_id AS n, doc_id AS m FROM documents UNION SELECT r.n, u.b FROM r JOIN u ON u.a = r.m) SELECT n AS doc_id, min(m) AS root FROM r GROUP BY 1")
 def duplicate_components(spark, sf):
-    d = t(spark, sf, "documents").select("doc_id", F.substring("text", 1, 80).alias("k"))
+    d = t(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("k"))
     least = d.groupBy("k").agg(F.min("doc_id").alias("b"))
     edges = d.join(least, "k").where("doc_id > b").select(F.col("doc_id").alias("a"), "b")
     return D.components(d.select(F.col("doc_id").alias("node")), edges).select(F.col("node").alias("doc_id"), "root")
 
 
-@query("""WITH RECURSIVE s AS (SELECT doc_id AS k, 'i' || n_chars AS i, 'j' || substr(text, 1, 80) AS j FROM documents), m AS (SELECT k, i AS e FROM s UNION SELECT k, j FROM s), f AS (SELECT e, min(k) AS b FROM m GROUP BY 1), u AS (SELECT k AS a, b FROM m JOIN f USING (e) WHERE k <> b UNION SELECT b, k FROM m JOIN f USING (e) WHERE k <> b), r AS (SELECT k AS n, k AS m FROM s UNION SELECT r.n, u.b FROM r JOIN u ON u.a = r.m) SELECT n AS k, min(m) AS root FROM r GROUP BY 1""")
+@query("""WITH RECURSIVE s AS (SELECT doc_id AS k, 'i' || n_chars AS i, 'j' || md5(text) AS j FROM documents), m AS (SELECT k, i AS e FROM s UNION SELECT k, j FROM s), f AS (SELECT e, min(k) AS b FROM m GROUP BY 1), u AS (SELECT k AS a, b FROM m JOIN f USING (e) WHERE k <> b UNION SELECT b, k FROM m JOIN f USING (e) WHERE k <> b), r AS (SELECT k AS n, k AS m FROM s UNION SELECT r.n, u.b FROM r JOIN u ON u.a = r.m) SELECT n AS k, min(m) AS root FROM r GROUP BY 1""")
 def exact_id_clusters(spark, sf):
     """Records that share either external id, as clusters: each id links its members to the least one."""
-    s = t(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.col("n_chars").alias("i"), F.substring("text", 1, 80).alias("j"))
+    s = t(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.col("n_chars").alias("i"), F.md5("text").alias("j"))
     star = lambda c: s.join(s.groupBy(c).agg(F.min("k").alias("b")), c).where("k > b").select(F.col("k").alias("a"), "b")
     return D.components(s.select(F.col("k").alias("node")).distinct(), star("i").union(star("j"))).select(F.col("node").alias("k"), "root")
 
 
-@query("SELECT o_custkey AS cluster, count(*) AS n_members, coalesce(arg_min(CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END, (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END, o_orderkey)), NULL) AS status, arg_min(o_orderkey, (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END, o_orderkey)) AS ord FROM orders GROUP BY 1")
-def merge_records(spark, sf):
-    o = t(spark, sf, "orders").select(F.col("o_custkey").alias("cluster"), F.col("o_orderkey").alias("ord"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("status"), F.array("o_orderpriority").alias("names"))
-    return D.merge_clusters(o, "cluster", "ord", ["status"], ["names"]).select("cluster", "n_members", "status", "ord")
+@query("""WITH o AS (SELECT o_custkey AS c, o_orderkey AS o, 'S' || o_orderkey AS site_id, o_orderpriority AS nom, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS v, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'R' || o_orderkey % 7 END AS region,
+CASE WHEN o_orderkey % 3 <> 0 THEN 'd' || o_orderkey END AS descr, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice END AS surf, 'k' || o_orderkey % 3 AS ek, CAST(o_orderkey AS VARCHAR) AS ev, o_orderstatus AS ph, 'X' || o_orderkey % 4 AS src FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY -((v IS NOT NULL)::INT + (region IS NOT NULL)::INT + (descr IS NOT NULL)::INT + (surf IS NOT NULL)::INT), o) AS r FROM o),
+n AS (SELECT c, r, 0 AS p, v AS x FROM r WHERE v IS NOT NULL UNION ALL SELECT r.c, r.r, 1, r.nom FROM r JOIN r l ON l.c = r.c AND l.r = 1 WHERE r.r > 1 AND r.nom <> l.nom),
+nv AS (SELECT c, string_agg(x, ',' ORDER BY f) AS variants FROM (SELECT c, x, min(r * 2 + p) AS f FROM n GROUP BY 1, 2) GROUP BY 1),
+es AS (SELECT c, string_agg(ek || '=' || ev, ',' ORDER BY ek) AS ids FROM (SELECT c, ek, arg_max(ev, r) AS ev FROM r GROUP BY 1, 2) GROUP BY 1),
+ps AS (SELECT c, string_agg(ph, ',' ORDER BY f) AS phases FROM (SELECT c, ph, min(r) AS f FROM r GROUP BY 1, 2) GROUP BY 1),
+ss AS (SELECT c, string_agg(src || '=' || ref, ',' ORDER BY f) AS sources FROM (SELECT c, src, min(r) AS f, arg_min(o, r) AS ref FROM r GROUP BY 1, 2) GROUP BY 1)
+SELECT c AS cluster, CAST(count(*) AS INT) AS n_members, arg_min(site_id, r) AS site_id, arg_min(nom, r) AS nom_site, coalesce(variants, '') AS variants, coalesce(arg_min(region, r) FILTER (region <> ''), max(region) FILTER (r = 1), '-') AS region, coalesce(arg_min(descr, r) FILTER (descr IS NOT NULL), '') AS description, arg_min(surf, r) FILTER (surf IS NOT NULL) AS surface_m2,
+any_value(ids) AS ids, any_value(phases) AS phases, any_value(sources) AS sources, true AS moved FROM r LEFT JOIN nv USING (c) JOIN es USING (c) JOIN ps USING (c) JOIN ss USING (c) GROUP BY c, variants""")
+def merge_full_records(spark, sf):
+    """Survivorship of whole records: scalars, region, names, external ids, phases and sources."""
+    k = F.col("o_orderkey")
+    sid, none = F.concat(F.lit("S"), k.cast("string")), F.expr("cast(array() as array<string>)")
+    o = t(spark, sf, "orders").select(
+        F.col("o_custkey").alias("cluster"), k.alias("ord"), sid.alias("site_id"), F.col("o_orderpriority").alias("nom_site"), F.when(k % 2 == 0, F.array("o_orderstatus")).otherwise(none).alias("variantes_nom"),
+        F.when(k % 4 == 1, "").when(k % 4 != 0, F.concat(F.lit("R"), (k % 7).cast("string"))).alias("region_admin"), F.when(k % 3 != 0, F.concat(F.lit("d"), k.cast("string"))).alias("description"), F.when(k % 5 == 0, F.col("o_totalprice")).alias("surface_m2"),
+        F.create_map(F.concat(F.lit("k"), (k % 3).cast("string")), k.cast("string")).alias("identifiants_externes"),
+        F.array(F.struct(F.concat(sid, F.lit("-P")).alias("phase_id"), sid.alias("site_id"), F.col("o_orderstatus").alias("periode"), F.lit(None).cast("string").alias("sous_periode"))).alias("phases"),
+        F.array(F.struct(F.concat(F.lit("X"), (k % 4).cast("string")).alias("source_id"), sid.alias("site_id"), k.cast("string").alias("reference"))).alias("sources"),
+    )
+    joined = lambda c, f: F.array_join(F.transform(c, f), ",")
+    mine = lambda c: F.forall(c, lambda x: x["site_id"] == F.col("site_id"))
+    return D.merge_clusters(o, "cluster", "ord").select(
+        "cluster", "n_members", "site_id", "nom_site", F.array_join("variantes_nom", ",").alias("variants"), F.coalesce("region_admin", F.lit("-")).alias("region"), F.coalesce("description", F.lit("")).alias("description"), "surface_m2",
+        joined(F.array_sort(F.map_entries("identifiants_externes")), lambda e: F.concat(e["key"], F.lit("="), e["value"])).alias("ids"), joined("phases", lambda p: p["periode"]).alias("phases"),
+        joined("sources", lambda x: F.concat(x["source_id"], F.lit("="), x["reference"])).alias("sources"), (mine("phases") & mine("sources")).alias("moved"),
+    )
 
 
 @query("""WITH d AS (SELECT o_orderkey AS k, list_extract(['Hallstatt', 'La Tène', 'indéterminé'], CAST(o_orderkey % 3 + 1 AS BIGINT)) AS p, -900 + o_orderkey % 900 AS s, -900 + o_orderkey % 700 AS e FROM orders),

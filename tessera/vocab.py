@@ -51,16 +51,85 @@ TYPE_ALIASES = {
     "tumulus": ("tumulus", "tertre", "butte", "tumulus funéraire", "tertre funéraire", "groupe de tumulus", "nécropole tumulaire", "Grabhügel", "Hügelgrab", "Tumulus", "Erdhügel", "Hügelgräberfeld"),
 }
 
-#: Canonical place names and variants (those that differ from the name).
+#: Canonical place names and their variants.
 TOPONYMS = {
-    "Strasbourg": ("Straßburg", "Strassburg", "Argentoratum"), "Colmar": ("Kolmar",), "Mulhouse": ("Mülhausen", "Mülhousen"), "Haguenau": ("Hagenau",),
-    "Brumath": ("Brocomagus", "Braumath"), "Saverne": ("Zabern", "Tres Tabernae"), "Sélestat": ("Schlettstadt", "Schlestadt"), "Wissembourg": ("Weißenburg", "Weissenburg"),
-    "Biesheim": ("Oedenburg", "Kunheim"), "Sainte-Croix-en-Plaine": ("Heiligkreuz",), "Obernai": ("Oberehnheim",), "Molsheim": ("Molzheim",), "Thann": ("Than",),
-    "Ribeauvillé": ("Rappoltsweiler",), "Guebwiller": ("Gebweiler",), "Rouffach": ("Rufach",), "Marckolsheim": ("Markolsheim",),
-    "Illkirch-Graffenstaden": ("Illkirch", "Graffenstaden"), "Soufflenheim": ("Suflenheim",), "Niederbronn-les-Bains": ("Niederbronn",), "Reichshoffen": ("Reichshofen",),
-    "Wœrth": ("Wörth",), "Lauterbourg": ("Lauterburg",), "Kembs": ("Cambete",), "Sierentz": ("Sierenz",),
-    "Breisach am Rhein": ("Vieux-Brisach", "Breisach", "Brisach", "Mont Isteiner Klotz"), "Basel": ("Bâle", "Basle", "Münsterhügel"), "Augst": ("Augusta Raurica",), "Reinach": ("Reinach BL",),
+    "Strasbourg": ("Straßburg", "Strassburg", "Argentoratum"),
+    "Colmar": ("Kolmar",),
+    "Mulhouse": ("Mülhausen", "Mülhousen"),
+    "Haguenau": ("Hagenau",),
+    "Brumath": ("Brocomagus", "Braumath"),
+    "Saverne": ("Zabern", "Tres Tabernae"),
+    "Sélestat": ("Schlettstadt", "Schlestadt"),
+    "Wissembourg": ("Weißenburg", "Weissenburg"),
+    "Biesheim": ("Oedenburg", "Kunheim"),
+    "Sainte-Croix-en-Plaine": ("Heiligkreuz",),
+    "Obernai": ("Oberehnheim",),
+    "Molsheim": ("Molzheim",),
+    "Thann": ("Than",),
+    "Altkirch": ("Altkirch",),
+    "Ribeauvillé": ("Rappoltsweiler",),
+    "Guebwiller": ("Gebweiler",),
+    "Rouffach": ("Rufach",),
+    "Ensisheim": ("Ensisheim",),
+    "Erstein": ("Erstein",),
+    "Benfeld": ("Benfeld",),
+    "Marckolsheim": ("Markolsheim",),
+    "Illkirch-Graffenstaden": ("Illkirch", "Graffenstaden"),
+    "Schiltigheim": ("Schiltigheim",),
+    "Lingolsheim": ("Lingolsheim",),
+    "Mundolsheim": ("Mundolsheim",),
+    "Soufflenheim": ("Suflenheim",),
+    "Niederbronn-les-Bains": ("Niederbronn",),
+    "Reichshoffen": ("Reichshofen",),
+    "Wœrth": ("Wörth",),
+    "Lauterbourg": ("Lauterburg",),
+    "Kembs": ("Kembs", "Cambete"),
+    "Sierentz": ("Sierenz",),
+    "Breisach am Rhein": ("Vieux-Brisach", "Breisach", "Brisach", "Mont Isteiner Klotz"),
+    "Basel": ("Bâle", "Basle", "Münsterhügel"),
+    "Augst": ("Augusta Raurica", "Augst"),
+    "Liestal": ("Liestal",),
+    "Sissach": ("Sissach",),
+    "Pratteln": ("Pratteln",),
+    "Muttenz": ("Muttenz",),
+    "Reinach": ("Reinach BL",),
+    "Allschwil": ("Allschwil",),
+}
+
+#: Patterns of ages and datings, as the rules state them.
+IRON_PATTERN = (
+    r"\b(?:hallstatt|ha\s*[cd]\d?|la\s+tène|latène|lt\s*[a-d]\d?|"
+    r"âge\s+du\s+fer|age\s+du\s+fer|eisenzeit|"
+    r"premier\s+âge|second\s+âge|protohistor)\b"
+)
+OLDER_PATTERN = r"\b(?:âge\s+du\s+bronze|age\s+du\s+bronze|bronzezeit|" r"néolith|paléolith|mésol|chalcolith)\b"
+DATE_PAIR_PATTERN = r"^(-?\d+):(-?\d+)$"
+PERIOD_CODE_PATTERN = r"^EUR(FER|BRO|NEO|GAL|ROM|MED|MOD)[-]+$"
+TEXTUAL_AGE_PATTERN = (
+    r"[Aa]ge\s+du\s+(fer|bronze|Fer|Bronze)"
+    r"(?:\s*[-–]\s*(?:[Aa]ge\s+du\s+)?(fer|bronze|Fer|Bronze|[Gg]allo[- ]?romain))?"
+)
+SUB_PERIOD_RANGE_PATTERN = r"(Ha|LT)\s*([A-D]\d?)\s*[-–/]\s*(?:(Ha|LT)\s*)?([A-D]\d?)"
+SINGLE_SUB_PERIOD_PATTERN = r"(Ha|LT)\s*([A-D]\d?)"
+RADIOCARBON_PATTERN = r"(\d+)\s*[-–]\s*(\d+)(?:\s*(?:avant|av\.?)\s*(?:J\.?-?C\.?)?)?"
+
+#: sources' own vocabularies.
+CHARACTER_TYPES = {
+    "enceinte": "oppidum", "fortification": "oppidum", "funéraire": "nécropole", "habitat": "habitat", "groupé": "habitat", "dispersé": "habitat",
+    "route/voie": "voie", "production": "atelier", "artisanat": "atelier", "cultuel": "sanctuaire", "dépôt": "dépôt",
+}
+MATERIALS = ("céramique", "métal", "lithique", "verre", "os", "terre cuite")
+COUNTRY_CODES = {"f": "FR", "fr": "FR", "d": "DE", "de": "DE", "ch": "CH", "s": "CH"}
+RICH_TYPES = {
+    "tombe princière": "nécropole", "tombe princière ?": "nécropole", "tombe": "nécropole", "tombe à char": "nécropole", "nécropole": "nécropole", "habitat": "habitat",
+    "habitat de hauteur": "habitat", "habitat fortifié": "oppidum", "site fortifié de hauteur": "oppidum", "site fortifié": "oppidum", "oppidum": "oppidum", "dépôt": "dépôt", "tumulus": "tumulus",
 }
+FLAG_COLUMNS = {"BF3_HaC": ("Ha C",), "HaD": ("Ha D",), "LTAB": ("LT A", "LT B"), "LTCD": ("LT C", "LT D")}
+PARASITIC = r"(?i)^(?:TOTAL|Supprimé|Département|$)"
+PARASITIC_DEPARTMENT = r"(?i)^(?:Manque|Total|$|\s*$)"
+COMMENT_KEYS = ("GENAUIGK_T", "DAT_FEIN", "TYP_FEIN", "TYP_GROB", "DAT_GROB", "LISTENTEXT")
+GERMAN_DATABASES = ("bade", "baden", "adab", "nordbaden", "südbaden", "wurtemberg")
+LAST_ROMAN_YEAR = 500
 
 #: Bounds in Lambert-93.
 UPPER_RHINE = (930_000.0, 1_060_000.0, 6_710_000.0, 6_990_000.0)

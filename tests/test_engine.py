@@ -1,5 +1,7 @@
 """Value tables of the domain functions, dedup scenarios, sinks and the query door."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ def one(spark, col, value=None):
 
 
 @pytest.mark.parametrize(
-    ("given", "subs"),
+    ("given", "subs"),  # fixed values
     [
         ("-800:-620", [("Hallstatt", "Ha C", -800, -620)]), ("LT B2", [("La Tène", "LT B2", -320, -260)]), ("EURFER------", [(vocab.UNKNOWN, None, -800, -25)]),
         ("Age du fer", [(vocab.UNKNOWN, None, -800, -25)]), ("Age du Bronze - age du Fer", [("Hallstatt", None, -800, -450)]), ("quelque chose", [(vocab.UNKNOWN, None, None, None)]), ("", [(vocab.UNKNOWN, None, None, None)]),
@@ -62,12 +64,52 @@ def _site(spark, rows):
 
 def test_dedup_scenarios(spark):
     rows = [(0, "a", "Vieux-Brisach", "Breisach", 7.58, 48.03), (1, "b", "Breisach am Rhein", "Breisach", 7.575, 48.028)]
-    score = lambda r, least=0.0: dedup.score_pairs(dedup.self_pairs(_site(spark, r), "ord"), least).first()["score"]
+    every = lambda r: _site(spark, r).withColumn("all", F.lit(1))
+    score = lambda r, least=0.0: dedup.score_pairs(dedup.self_pairs(every(r), "ord", "all"), least).first()["score"]
     assert round(score(rows), 4) == 0.7841
     assert 0.78 <= score([(0, "a", "Site Alpha", "Strasbourg", 7.75, 48.58), (1, "b", "Site Beta", "Strasbourg", 7.76, 48.59)]) < 0.85
     assert score([(0, "a", "Oppidum du Baerengraben", "Neuf-Brisach", 7.752, 48.573), (1, "b", "Oppidum du Bärengraben", "Emmendingen", 7.96, 48.11)]) < 0.85
-    clusters, review = dedup.deduplicate(_site(spark, [(0, "a", "Ensisheim nord", "Ensisheim", 7.35, 47.97), (1, "b", "Ensisheim sud", "Ensisheim", 7.351, 47.971)]))
-    assert clusters.select("cluster").distinct().count() == 1 and review.count() == 0
+    labels, review, report = dedup.clusters(_site(spark, [(0, "a", "Ensisheim nord", "Ensisheim", 7.35, 47.97), (1, "b", "Ensisheim sud", "Ensisheim", 7.351, 47.971)]))
+    assert labels.select("cluster").distinct().count() == 1 and review.count() == 0 and report.first().pairwise_merges == 1
+
+
+def test_review_lists_pairs_within_a_cluster(spark):
+    """a-b and b-c merge, a-c is for review though all three end in one cluster."""
+    rows = [(0, "a", "abcdefghij klmnop", "X", 7.35, 47.97), (1, "b", "abcdefghij klm", "X", 7.35, 47.97), (2, "c", "abcdefgh", "X", 7.35, 47.97)]
+    labels, review, _ = dedup.clusters(_site(spark, rows))
+    scores = {(r.a_ord, r.b_ord): r.score for r in dedup.score_pairs(dedup.self_pairs(_site(spark, rows).withColumn("all", F.lit(1)), "ord", "all"), 0.7).collect()}
+    want = {(a, b) for (a, b), s in scores.items() if s < 0.85}
+    got = {(r.site_id_a, r.site_id_b) for r in review.collect()}
+    assert got == {("abc"[a], "abc"[b]) for a, b in want}
+    assert labels.select("cluster").distinct().count() < 3
+
+
+def test_candidates_lose_no_pair(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 7)))
+    names, communes = [" ".join(word() for _ in range(rng.randint(1, 3))) for _ in range(25)], [word() for _ in range(8)]
+    rows = [(i, f"s{i}", rng.choice(names) + rng.choice(("", "x", " b")), rng.choice(communes), *((7 + rng.random(), 48 + rng.random()) if rng.random() < 0.6 else (None, None))) for i in range(120)]
+    ids = F.array(F.when(F.col("ord") % 17 == 0, (F.col("ord") % 2).cast("string")).otherwise(""), F.lit(""))
+    sites = _site(spark, rows).withColumn("ids", ids)
+    found = dedup.candidates(sites)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    key = lambda df: {(r.a_ord, r.b_ord) for r in df.select("a_ord", "b_ord").collect()}
+    everything = dedup.score_pairs(dedup.self_pairs(sites.withColumn("all", F.lit(1)), "ord", "all"), 0.7)
+    assert key(dedup.score_pairs(found, 0.7)) == key(everything) != set()
+
+
+def test_merge_of_two_records(spark):
+    kind = "site_id string, nom_site string, variantes_nom array<string>, commune string, x_l93 double, region_admin string, description string, surface_m2 double, identifiants_externes map<string,string>, phases array<struct<phase_id:string,site_id:string,periode:string>>, sources array<struct<source_id:string,site_id:string>>"
+    poor = ("p", "Alpha", ["A"], "Here", None, "", "told", None, {"k": "1", "m": "1"}, [("p1", "p", "Ha")], [("x", "p")])
+    full = ("f", "Beta", ["B", "A"], "There", 1.0, "Alsace", None, 5.0, {"k": "2"}, [("f1", "f", "Ha"), ("f2", "f", "LT")], [("x", "f"), ("y", "f")])
+    df = spark.createDataFrame([(poor, full)], f"a struct<{kind.replace(' ', ':').replace(',:', ', ')}>, b struct<{kind.replace(' ', ':').replace(',:', ', ')}>")
+    schema = df.schema["a"].dataType
+    for first, second in (("a", "b"), ("b", "a")):
+        r = df.select(dedup.merge(F.col(first), F.col(second), schema).alias("m")).first().m
+        assert (r.site_id, r.nom_site, r.commune, r.x_l93, r.region_admin, r.description, r.surface_m2) == ("f", "Beta", "There", 1.0, "Alsace", "told", 5.0)
+        assert r.variantes_nom == ["B", "A", "Alpha"] and r.identifiants_externes == {"k": "1", "m": "1"}
+        assert [p.phase_id for p in r.phases] == ["f1", "f2"] and [x.source_id for x in r.sources] == ["x", "y"]
 
 
 def test_similarity():
