@@ -3,11 +3,14 @@
 The automaton holds every substring of a stated set of texts (benchmark items, licence templates).
 Streaming a document's words through it yields, at each word, the longest suffix that occurs in the
 set (matching statistics). A text of at least ``window`` words reports its windows; a shorter one
-reports only its whole sequence.
+reports only its whole sequence. Once built, states and transitions are flat arrays: about thirty bytes
+a word, which is what a broadcast of a block carries.
 """
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import repeat
 
@@ -68,10 +71,18 @@ class SuffixAutomaton:
             last = cur
 
     def _finish(self) -> None:
+        nxt = self.next
+        self.first, self.label, self.target = array("i", [0]), array("i"), array("i")
+        for held in nxt:
+            for c in sorted(held):
+                self.label.append(c)
+                self.target.append(held[c])
+            self.first.append(len(self.label))
+        self.next = []
         order = sorted(range(1, len(self.link)), key=self.length.__getitem__)
         w = self.window
         #: the suffix-chain state that holds the suffix of exactly ``window`` words
-        self.holder = [0] * len(self.link)
+        self.holder = array("i", bytes(4 * len(self.link)))
         for s in order:
             if self.length[s] >= w:
                 up = self.link[s]
@@ -80,24 +91,30 @@ class SuffixAutomaton:
         whole: dict[int, list] = {}
         pairs: set[tuple[int, int]] = set()
         ends: set[int] = set()
+        self.keys = sorted({key for key, _ in self._texts}, key=lambda k: (k is None, str(k)))
+        number = {key: i for i, key in enumerate(self.keys)}
         for key, ids in self._texts:
             pairs.update(zip(ids, ids[1:]))
             s = 0
             for i, c in enumerate(ids, 1):
-                s = self.next[s][c]
+                s = nxt[s][c]
                 if i >= w and len(ids) >= w:
-                    windows.setdefault(self.holder[s], set()).add(key)
+                    windows.setdefault(self.holder[s], set()).add(number[key])
             if len(ids) < w:
                 whole.setdefault(s, []).append((len(ids), key))
                 ends.add(ids[-1])
-        self.windows = {s: tuple(sorted(k, key=str)) for s, k in windows.items()}
+        #: numbers of the keys whose window a state is, by state
+        self.window_first, self.window_keys = array("i", [0]), array("i")
+        for s in range(len(self.link)):
+            self.window_keys.extend(sorted(windows.get(s, ())))
+            self.window_first.append(len(self.window_keys))
         #: per state: its own short texts, and the nearest suffix state that has any
         self.whole = whole
-        self.whole_up = [0] * len(self.link)
+        self.whole_up = array("i", bytes(4 * len(self.link)))
         for s in order:
             up = self.link[s]
             self.whole_up[s] = up if up in whole else self.whole_up[up] if up > 0 else 0
-        self.text_words = {key: len(ids) for key, ids in self._texts}
+        self.link, self.length = array("i", self.link), array("i", self.length)
         self._texts = []
         bits = max(16, (16 * len(pairs) + 1).bit_length())
         self._mask = (1 << bits) - 1
@@ -108,6 +125,18 @@ class SuffixAutomaton:
         self._end = np.zeros(len(self.vocab) + 1, dtype=bool)
         self._end[list(ends)] = True
 
+    def step(self, s: int, c: int) -> int:
+        """The state after word ``c``, or -1."""
+        a, b = self.first[s], self.first[s + 1]
+        if b - a > 1:
+            a = bisect_left(self.label, c, a, b)
+        return self.target[a] if a < b and self.label[a] == c else -1
+
+    def window_of(self, state: int) -> list:
+        """Keys of the texts with the window that ends here."""
+        h = self.holder[state]
+        return [self.keys[i] for i in self.window_keys[self.window_first[h] : self.window_first[h + 1]]]
+
     def _slot(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((a * 0x9E3779B1) ^ (b * 0x85EBCA77) ^ ((a * 0x9E3779B1) >> 15)) & self._mask
 
@@ -139,14 +168,15 @@ class SuffixAutomaton:
 
     def stream(self, ids: list[int]) -> Iterator[tuple[int, int]]:
         """(state, matched length) after each word."""
-        nxt, link, length = self.next, self.link, self.length
+        step, link, length = self.step, self.link, self.length
         s = n = 0
         for c in ids:
-            while s and c not in nxt[s]:
+            t = step(s, c)
+            while t < 0 and s:
                 s = link[s]
                 n = length[s]
-            t = nxt[s].get(c)
-            if t is None:
+                t = step(s, c)
+            if t < 0:
                 s = n = 0
             else:
                 s, n = t, n + 1

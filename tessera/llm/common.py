@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,14 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for cut lineage: spark.checkpoint.dir, or (unset, as in tests) a local one."""
+    """Shared folder for cut lineage: spark.checkpoint.dir. Only a session on one machine (as in tests) gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.sparkContext.setCheckpointDir(root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        made = tempfile.mkdtemp(prefix="tessera-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir("file://" + made)
         root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     return root.rstrip("/")
 

@@ -11,29 +11,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import alnum_words, binary, runs
+from .common import alnum_words, binary, materialise, runs
 
 WINDOW = 13
 #: n_hit * COVERAGE >= n_words marks a document.
 COVERAGE = 20
-#: Benchmark words per automaton; a larger benchmark takes further passes over the rows.
+#: Benchmark words per automaton, the bound of what is broadcast; a larger benchmark takes further passes
+#: over the rows, which are written in between.
 BLOCK_WORDS = 500_000
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
-
 def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[SuffixAutomaton]:
-    """Automata over blocks of at most ``block_words`` words (one item may exceed it alone)."""
+    """Automata over blocks of at most ``block_words`` words; a longer item comes in pieces that share its windows.
+
+    Items without an id mark words like others under the key None.
+    """
     block, size = [], 0
-    rows = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text").orderBy("item_id", "text")
+    most = max(block_words, 2 * window)
+    rows = benchmark.select("item_id", "text").orderBy("item_id", "text")
     for item, text in rows.toLocalIterator():
         words = alnum_words(text.encode() if text else None)
-        if block and size + len(words) > block_words:
-            yield SuffixAutomaton.build(block, window)
-            block, size = [], 0
-        block.append((item, words))
-        size += len(words)
+        pieces = [words] if len(words) <= most else [words[i : i + most] for i in range(0, len(words) - window + 1, most - window + 1)]
+        for piece in pieces:
+            if block and size + len(piece) > most:
+                yield SuffixAutomaton.build(block, window)
+                block, size = [], 0
+            block.append((item, piece))
+            size += len(piece)
     yield SuffixAutomaton.build(block, window)
 
 
@@ -45,12 +51,13 @@ def match(auto: SuffixAutomaton, words: list[bytes], covered: np.ndarray, items:
         for i, (s, n) in enumerate(auto.stream(ids[a:b].tolist()), a + 1):
             longest = max(longest, n)
             if n >= auto.window:
-                if held := auto.windows.get(auto.holder[s]):
+                if held := auto.window_of(s):
                     covered[i - auto.window : i] = True
                     items.update(held)
             for size, key in auto.shorts(s, n):
                 covered[i - size : i] = True
                 items.add(key)
+    items.discard(None)
     return longest
 
 
@@ -98,18 +105,20 @@ def _pass(auto, first: bool, cleaned: bool, text_col: str, carried: list[str]):
 
 
 def annotate(
-    docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, text: str = "text", carry: list[str] | None = None, cleaned: bool = False
+    docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, text: str = "text", carry: list[str] | None = None, cleaned: bool = False, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """``docs`` (its columns ``carry``, all if None) with a struct column ``__hits``.
 
-    Narrow: one map per benchmark block, no shuffle. ``__hits``: n_words, n_hit, longest_match, items,
-    spans (word positions, inclusive), and with ``cleaned`` the text without the covered spans. Null or
-    wordless text has no words and no hits; a wordless or null-id item has no window; repeated rows are
-    judged one by one.
+    Narrow: one map per benchmark block, no shuffle; between blocks the rows are written to the shared
+    folder and the block's broadcast is dropped, so one automaton is held at a time. ``__hits``: n_words,
+    n_hit, longest_match, items, spans (word positions, inclusive), and with ``cleaned`` the text without
+    the covered spans. Null or wordless text has no words and no hits; a wordless item has no window, one
+    without an id marks words but is not among the items; repeated rows are judged one by one, a very long
+    text is streamed whole; columns of any name but ``__hits`` pass.
     """
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     carry = docs.columns if carry is None else carry
-    out, blocks, first = docs, automata(benchmark, window), True
+    out, blocks, first = docs, automata(benchmark, window, block_words), True
     auto = next(blocks)
     while auto is not None:
         after = next(blocks, None)
@@ -117,7 +126,11 @@ def annotate(
         carried = carry if last else list(dict.fromkeys([*carry, text]))
         hits = "struct<n_words:bigint,n_hit:bigint,longest_match:bigint,items:array<bigint>,spans:array<struct<first:bigint,last:bigint>>" + (",clean_text:string>" if cleaned and last else ">")
         shape = ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), f"`__hits` {hits}"])
-        out = out.mapInArrow(_pass(docs.sparkSession.sparkContext.broadcast(auto), first, cleaned and last, text, carried), shape)
+        shared = docs.sparkSession.sparkContext.broadcast(auto)
+        out = out.mapInArrow(_pass(shared, first, cleaned and last, text, carried), shape)
+        if not last:
+            out = materialise(out, "decontaminate-block")
+            shared.destroy()
         first, auto = False, after
     return out
 
@@ -132,28 +145,29 @@ def items_digest(col):
     return F.sha2(F.array_join(F.array_sort(F.transform(col, lambda x: x.cast("string"))), ","), 256)
 
 
-def report(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
+def report(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: int = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document with its contamination figures, spans and items.
 
     Handles: null text (no words), empty tables (empty result / no hits), null ids (kept as null),
-    extra columns (ignored), very long texts (streamed), repeated rows (one result each).
+    extra columns (ignored), very long texts (streamed), repeated rows (one result each), equal items
+    (all are named).
     """
-    hits = annotate(docs.select("doc_id", "text"), benchmark, window=window, carry=["doc_id"])
+    hits = annotate(docs.select("doc_id", "text"), benchmark, window=window, carry=["doc_id"], block_words=block_words)
     return hits.select(
         "doc_id", "__hits.n_words", "__hits.n_hit", F.size("__hits.items").cast("long").alias("n_items"), items_digest(F.col("__hits.items")).alias("items_sha256"),
         contaminated(coverage=coverage).alias("contaminated"), "__hits.longest_match", "__hits.items", "__hits.spans",
     )
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
-    """``docs`` with every span of ``window`` matched words or more cut out of the text."""
-    hits = annotate(docs, benchmark, window=window, cleaned=True)
+def remove_spans(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` with every span of ``window`` matched words or more cut out of the text; cases as in ``annotate``, null text stays null."""
+    hits = annotate(docs, benchmark, window=window, cleaned=True, block_words=block_words)
     return hits.withColumn("text", F.col("__hits.clean_text")).drop("__hits")
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
-    """``docs`` without those over the coverage limit; the rest unchanged."""
-    return annotate(docs, benchmark, window=window).where(~contaminated(coverage=coverage)).drop("__hits")
+def keep_clean(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: int = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` without those over the coverage limit; the rest unchanged. Cases as in ``annotate``; a text without words stays."""
+    return annotate(docs, benchmark, window=window, block_words=block_words).where(~contaminated(coverage=coverage)).drop("__hits")
 
 
 def digest(items) -> str:
@@ -175,7 +189,7 @@ hit AS (
     FROM (SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, lens WHERE len(ws) >= n)) p
   JOIN win ON win.n = p.n AND win.g = p.g),
 cov AS (SELECT id, count(DISTINCT j) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY id),
-its AS (SELECT id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS s FROM hit GROUP BY id)
+its AS (SELECT id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR)) FILTER (item_id IS NOT NULL)) AS s FROM hit GROUP BY id)
 SELECT w.id AS doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(s), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(s, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN cov ON cov.id = w.id LEFT JOIN its ON its.id = w.id

@@ -52,7 +52,7 @@ class Templates:
         for i, w in enumerate(words):
             s = 0
             for end, x in enumerate(w, 1):
-                s = self.auto.next[s][self.auto.vocab[x]]
+                s = self.auto.step(s, self.auto.vocab[x])
                 at = s
                 while at > 0:
                     self.ends.setdefault(at, []).append((i, end))

@@ -25,6 +25,8 @@ BUNDLES = 64
 #: Weights of bytes, tokens and rows in the dot product.
 WEIGHTS = (4.0, 1.0, 1.0)
 OVERHEAD = 16
+#: Rows that one task numbers, about.
+ROWS_PER_PIECE = 200_000
 
 
 def pack(items: Sequence[tuple[int, int, int, int]], shards: int = SHARDS, weights: Sequence[float] = WEIGHTS) -> dict[int, tuple[int, int]]:
@@ -49,64 +51,89 @@ def pack(items: Sequence[tuple[int, int, int, int]], shards: int = SHARDS, weigh
     return out
 
 
-def place(docs: DataFrame, *, shards: int = SHARDS, bundles: int = BUNDLES, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(rows with __item, pieces of items with shard and first slot); the second is at most a few times shards * bundles rows."""
-    spark = docs.sparkSession
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(
-        F.col(key).alias("doc_id"), F.xxhash64(t).alias("g"), (F.octet_length(t) + OVERHEAD).cast("long").alias("size"), size_of(F.col(text)).alias("tokens"), F.crc32(t.cast("binary")).alias("text_crc32")
-    )
-    rows = materialise(rows, "shard-rows")
-    n = shards * bundles
-    total = rows.agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).first()
-    part = [max(1, int(x or 0) // n) for x in total]
-    share = [max(1.0, (x or 0) / shards) for x in total]
-    sums = rows.groupBy("g").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("r"))
-    # At most n groups can exceed one n-th of each measure: 3 n groups with, in all, 6 n pieces.
-    most = lambda parts: F.greatest(*[F.col(c) / p for c, p in zip("btr", parts)])
-    large = sums.where(most(part) > 1).select("g", *[F.least("r", F.ceil(most(p))).cast("int").alias(c) for c, p in (("pieces", part), ("lots", share))])
-    firsts, lot_of, at = [], {}, n
-    for g, pieces, lots in large.orderBy("g").collect():
-        firsts.append((g, pieces, at))
-        lot_of.update((at + i, at + i % lots) for i in range(pieces))
-        at += pieces
-    itemed = rows.join(F.broadcast(spark.createDataFrame(firsts, "g long, pieces int, first long")), "g", "left").select(
-        "doc_id", "size", "tokens", "text_crc32",
-        F.when(F.col("first").isNotNull(), F.col("first") + F.pmod(F.hash("doc_id"), F.col("pieces"))).otherwise(F.pmod(F.col("g"), F.lit(n))).alias("__item"),
-    )
-    loads = sorted(itemed.groupBy("__item").agg(F.sum("size"), F.sum("tokens"), F.count(F.lit(1))).collect())
-    items: dict[int, list[int]] = {}
-    for i, *load in loads:
-        lot = items.setdefault(lot_of.get(i, i), [0, 0, 0])
-        lot[:] = [x + y for x, y in zip(lot, load)]
-    placed = pack([(i, *load) for i, load in items.items()], shards)
-    slots, out = {i: at for i, (_, at) in placed.items()}, []
-    for i, *_, r in loads:
-        lot = lot_of.get(i, i)
-        out.append((i, placed[lot][0], slots[lot]))
-        slots[lot] += r
-    return itemed, spark.createDataFrame(out, "__item long, shard int, first_slot long")
+    return docs.withColumns({"__g": F.xxhash64(t), "__size": (F.octet_length(t) + OVERHEAD).cast("long"), "__tokens": size_of(F.col(text)), "__crc": F.crc32(t.cast("binary"))})
+
+
+class Placement:
+    """Where each row goes: by its group or bundle, then by the piece of it that the id's hash names.
+
+    All tables are bounded: large groups by 3 * shards * bundles, pieces by the rows over ROWS_PER_PIECE.
+    """
+
+    def __init__(self, rows: DataFrame, key: str, shards: int, bundles: int):
+        """rows: narrow, with the columns of ``_keyed`` and the key."""
+        spark, n = rows.sparkSession, shards * bundles
+        self.key, self.n = key, n
+        total = rows.agg(F.sum("__size"), F.sum("__tokens"), F.count(F.lit(1))).first()
+        part = [max(1, int(x or 0) // n) for x in total]
+        share = [max(1.0, (x or 0) / shards) for x in total]
+        self.pieces = -(-(total[2] or 0) // (n * ROWS_PER_PIECE)) or 1
+        sums = rows.groupBy("__g").agg(F.sum("__size").alias("b"), F.sum("__tokens").alias("t"), F.count(F.lit(1)).alias("r"))
+        # At most n groups can exceed one n-th of each measure: 3 n groups with, in all, 6 n lots.
+        most = lambda parts: F.greatest(*[F.col(c) / p for c, p in zip("btr", parts)])
+        large = sums.where(most(part) > 1).select("__g", *[F.least("r", F.ceil(most(p))).cast("int").alias(c) for c, p in (("parts", part), ("lots", share))])
+        firsts, lot_of, at = [], {}, n
+        for g, parts, lots in large.orderBy("__g").collect():
+            firsts.append((g, parts, at))
+            lot_of.update((at + i, at + i % lots) for i in range(parts))
+            at += parts
+        self.large = F.broadcast(spark.createDataFrame(firsts, "__g long, __parts int, __first long"))
+        counted = materialise(self.itemed(rows).groupBy("__item", "__piece").agg(F.sum("__size").alias("b"), F.sum("__tokens").alias("t"), F.count(F.lit(1)).alias("r")), "shard-pieces")
+        loads = sorted(counted.groupBy("__item").agg(F.sum("b"), F.sum("t"), F.sum("r")).collect())
+        items: dict[int, list[int]] = {}
+        for i, *load in loads:
+            lot = items.setdefault(lot_of.get(i, i), [0, 0, 0])
+            lot[:] = [x + y for x, y in zip(lot, load)]
+        placed = pack([(i, *load) for i, load in items.items()], shards)
+        slots, out = {i: at for i, (_, at) in placed.items()}, []
+        for i, *_, r in loads:
+            lot = lot_of.get(i, i)
+            out.append((i, placed[lot][0], slots[lot]))
+            slots[lot] += r
+        begun = F.sum("r").over(Window.partitionBy("__item").orderBy("__piece")) - F.col("r")
+        shard_of = spark.createDataFrame(out, "__item long, shard int, __slot long")
+        self.table = counted.select("__item", "__piece", begun.alias("__begun")).join(F.broadcast(shard_of), "__item").select("__item", "__piece", "shard", (F.col("__slot") + F.col("__begun")).alias("__from"))
+
+    def itemed(self, rows: DataFrame) -> DataFrame:
+        joined = rows.join(self.large, "__g", "left")
+        h = F.xxhash64(self.key)
+        item = F.when(F.col("__first").isNotNull(), F.col("__first") + F.pmod(h, F.col("__parts"))).otherwise(F.pmod("__g", F.lit(self.n)))
+        return joined.withColumn("__item", item).withColumn("__piece", F.pmod(F.shiftright(h, 32), F.lit(self.pieces)).cast("int")).drop("__parts", "__first")
+
+    def numbered(self, rows: DataFrame, *ties) -> DataFrame:
+        """rows with shard and slot; each piece numbers its own rows, so this is one shuffle of what they hold."""
+        nth = F.row_number().over(Window.partitionBy("__item", "__piece").orderBy(F.col(self.key).asc_nulls_last(), "__crc", "__size", *ties)) - 1
+        return self.itemed(rows).join(F.broadcast(self.table), ["__item", "__piece"]).withColumn("slot", (F.col("__from") + nth).cast("long"))
+
+
+def _place(docs: DataFrame, shards: int, bundles: int, text: str, key: str) -> tuple[DataFrame, Placement]:
+    rows = materialise(_keyed(docs.select(key, text), text).drop(text), "shard-rows")
+    return rows, Placement(rows, key, shards, bundles)
 
 
 def shard(docs: DataFrame, *, shards: int = SHARDS, bundles: int = BUNDLES, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
     Slots number a shard's rows from 0 without gaps: each piece owns a range and numbers only its own
-    rows. Equal texts share a shard unless together they exceed an even shard's bytes, tokens or rows. Null text counts as empty (16 bytes); null ids share a piece; repeated rows get slots of
-    their own; an empty table gives an empty result; further columns are ignored.
+    rows. Equal texts share a shard unless together they exceed an even shard's bytes, tokens or rows.
+    Null text counts as empty (16 bytes); null ids share a piece; repeated rows get slots of their own; a
+    very long text is one row like any other; an empty table gives an empty result; further columns are
+    ignored.
     """
-    itemed, placed = place(docs, shards=shards, bundles=bundles, text=text, key=key)
-    at = F.row_number().over(Window.partitionBy("__item").orderBy(F.col("doc_id").asc_nulls_last(), "text_crc32", "size")) - 1
-    return itemed.join(F.broadcast(placed), "__item").select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first_slot") + at).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
+    rows, at = _place(docs, shards, bundles, text, key)
+    return at.numbered(rows).select(
+        F.col(key).alias("doc_id"), F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
 def attach(docs: DataFrame, *, shards: int = SHARDS, bundles: int = BUNDLES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``: joined to the placement by id and occurrence number."""
-    nth = Window.partitionBy("__id", "__crc").orderBy("__crc")
-    placed = shard(docs, shards=shards, bundles=bundles, text=text, key=key).select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "shard", "slot")
-    placed = placed.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__crc").orderBy("shard", "slot")))
-    keyed = docs.drop("shard", "slot").withColumn("__id", F.col(key)).withColumn("__crc", F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))).withColumn("__nth", F.row_number().over(nth))
-    same = keyed["__id"].eqNullSafe(placed["__id"]) & (keyed["__crc"] == placed["__crc"]) & (keyed["__nth"] == placed["__nth"])
-    return keyed.join(placed, same).select(*[keyed[c] for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    """``docs`` with ``shard`` and ``slot``, which replace columns of these names; other columns but those with two leading underscores pass.
+
+    Cases as in ``shard``. The texts are shuffled once, to where their slots are counted.
+    """
+    _, at = _place(docs, shards, bundles, text, key)
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    ties = [F.xxhash64(*[f"`{c}`" for c, kind in docs.dtypes if c in kept and "map<" not in kind])]
+    return at.numbered(_keyed(docs.select(*[f"`{c}`" for c in kept]), text), *ties).select(*[f"`{c}`" for c in kept], "shard", "slot")

@@ -57,7 +57,7 @@ def empty(spark):
 @pytest.fixture(scope="module")
 def bench(spark):
     _, item = texts()
-    return spark.createDataFrame([(10, item), (9, item.upper()), (3, "short item here"), (4, None), (5, "..."), (None, "zz")], "item_id long, text string")
+    return spark.createDataFrame([(10, item), (9, item.upper()), (3, "short item here"), (4, None), (5, "..."), (None, "zz"), (None, " ".join(item.split()[2:20]))], "item_id long, text string")
 
 
 def words(t):
@@ -66,7 +66,7 @@ def words(t):
 
 def test_decontamination(docs, bench, rows, empty):
     _, item = texts()
-    items = {10: words(item), 9: words(item), 3: words("short item here")}
+    items = {10: words(item), 9: words(item), 3: words("short item here"), None: words(item)[2:20]}
     got = {r.doc_id: r for r in decontaminate.report(docs, bench).collect()}
     for i, t, *_ in rows:
         w, hit, found = words(t), set(), set()
@@ -78,6 +78,7 @@ def test_decontamination(docs, bench, rows, empty):
                     hit.update(range(j, j + n))
                     found.add(key)
         r = got[i]
+        found.discard(None)
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == (len(w), len(hit), len(found), decontaminate.digest(found))
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(w))
     assert sum(r.contaminated for r in got.values()) == 3
@@ -89,17 +90,17 @@ def test_decontamination(docs, bench, rows, empty):
 
 
 def test_benchmark_in_blocks(docs, bench, rows):
-    blocks = list(decontaminate.automata(bench, 13, block_words=20))
-    assert len(blocks) > 1
-    covered = {}
-    for i, t, *_ in rows:
-        w = words(t)
-        c, items = np.zeros(len(w), dtype=bool), set()
-        for b in blocks:
-            decontaminate.match(b, [x.encode() for x in w], c, items)
-        covered[i] = (int(c.sum()), len(items))
-    got = decontaminate.report(docs, bench).collect()
-    assert {r.doc_id: (r.n_hit, r.n_items) for r in got} == covered
+    """Several automata, one after the other, say what one says; items over a block come in pieces."""
+    assert len(list(decontaminate.automata(bench, 13, block_words=27))) > 2
+    whole = decontaminate.report(docs, bench)
+    blocks = decontaminate.report(docs, bench, block_words=27)
+    key = lambda df: sorted((r.doc_id, r.n_words, r.n_hit, r.items_sha256, r.contaminated, tuple(map(tuple, r.spans))) for r in df.collect())
+    assert key(blocks) == key(whole) and any(r[2] for r in key(whole))
+    clash = docs.withColumn("n_hit", F.lit("mine")).withColumn("items", F.lit(1))
+    kept = decontaminate.keep_clean(clash, bench, block_words=27)
+    assert kept.columns == clash.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in whole.where("not contaminated").collect()}
+    cut = decontaminate.remove_spans(clash, bench, block_words=27)
+    assert cut.columns == clash.columns and cut.where("n_hit = 'mine'").count() == len(rows)
 
 
 def test_exact_dedup(spark, docs, rows, empty):
@@ -217,9 +218,22 @@ def test_sharding(docs, rows, empty):
     for k, (s, _) in shard_pack.pack([(i, 100 + i % 7, 10, 1) for i in range(4000)]).items():
         loads[s] = loads.get(s, 0) + 100 + k % 7
     assert max(loads.values()) - min(loads.values()) <= 110
+    clash = docs.withColumn("shard", F.lit("mine")).withColumn("size", F.lit(1)).withColumn("r", F.lit(2))
+    placed = shard_pack.attach(clash)
+    assert placed.columns == [*docs.columns, "size", "r", "shard", "slot"] and placed.where("size = 1 and r = 2").count() == len(rows)
     again = shard_pack.attach(docs.union(docs))
     assert again.count() == 2 * len(rows) and again.select("shard", "slot").distinct().count() == 2 * len(rows)
-    assert shard_pack.shard(empty).count() == 0
+    assert shard_pack.shard(empty).count() == 0 and shard_pack.attach(empty).count() == 0
+
+
+def test_pieces_number_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(shard_pack, "ROWS_PER_PIECE", 1)
+    rng = random.Random(3)
+    rows = [(i, prose(rng, rng.randrange(30))) for i in range(900)]
+    by = {}
+    for r in shard_pack.shard(spark.createDataFrame(rows, "doc_id long, text string"), shards=3, bundles=4).collect():
+        by.setdefault(r.shard, []).append(r.slot)
+    assert len(by) == 3 and all(sorted(s) == list(range(len(s))) for s in by.values())
 
 
 def test_equal_texts_share_a_shard(spark):
@@ -302,12 +316,18 @@ def test_fusion_against_its_formula(spark):
 
 def test_compact_windows_cover_all_subsequences():
     rng = np.random.default_rng(1)
-    h = rng.integers(0, 2**63, 70).astype(np.uint64)
-    c, left, right = passages.compact_windows(h, 8)
-    for i in range(70):
-        for j in range(i + 7, 70):
-            k = i + int(np.argmin(h[i : j + 1]))
-            assert sum(a <= i <= x <= j <= b for x, a, b in zip(c, left, right)) == 1 and k in c
+    n, least = (90, 130), passages.LEAST
+    chunk = passages.Chunk([rng.integers(0, 2**63, m).astype(np.uint64) for m in n])
+    h = chunk.hashes(0)
+    c, left, right = passages.compact_windows(chunk, h)
+    for start, m in zip(chunk.start.tolist(), n):
+        last = start + m - passages.SHINGLE
+        inside = [(x, a, b) for x, a, b in zip(c, left, right) if start <= x <= last]
+        assert all(start <= a and b <= last for _, a, b in inside)
+        for i in range(start, last + 1):
+            for j in range(i + least - 1, last + 1):
+                k = i + int(np.argmin(h[i : j + 1]))
+                assert sum(a <= i <= x <= j <= b for x, a, b in inside) == 1 and k in c
 
 
 def test_substring_dedup(docs, rows, empty):
@@ -323,6 +343,15 @@ def test_substring_dedup(docs, rows, empty):
     assert len(got) == len(rows) and passages.classes(empty).count() == 0
 
 
+def test_passages_repeated_in_one_text(spark):
+    rng = random.Random(21)
+    passage = prose(rng, 80)
+    made = [prose(rng, 70) + " " + passage + " " + prose(rng, 90) + " " + passage, prose(rng, 300), " ".join(["same"] * 400)]
+    got = {r.doc_id: r for r in passages.classes(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    assert got[0].spans == "240-319:0" and got[0].n_links == 0 and got[0].dup_words == 80 and got[1].spans == ""
+    assert all(r.class_id == i for i, r in got.items())
+
+
 def test_run_hashes_know_no_position():
     s = np.random.default_rng(2).integers(0, 2**63, 300).astype(np.uint64)
     at = passages.run_hashes(np.concatenate((s[200:], s)), 46)
