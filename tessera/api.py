@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,26 +16,68 @@ ALLOWED = {
 }
 
 
+#: Functions that reach beyond the data.
+DENIED = {"reflect", "java_method", "try_reflect", "input_file_name", "input_file_block_start", "input_file_block_length", "current_user", "session_user", "user", "version", "try_variant_get_path"}
+#: Table functions a query may call.
+TABLE_FUNCTIONS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "stack", "json_tuple"}
+
+
 class NotAQuery(ValueError):
-    """The text is not a plain query."""
+    """The text is not a plain query over the registered relations."""
+
+
+def _tree(spark: SparkSession, plan):
+    """All nodes of a parsed plan: plans, expressions and the plans within these."""
+    kind = lambda name: spark._jvm.java.lang.Class.forName("org.apache.spark.sql.catalyst." + name)
+    node, query, subquery = kind("trees.TreeNode"), kind("plans.QueryPlan"), kind("expressions.PlanExpression")
+    todo = [plan]
+    while todo:
+        at = todo.pop()
+        yield at, query.isInstance(at)
+        groups = [at.children(), at.innerChildren()] + ([at.expressions()] if query.isInstance(at) else [])
+        for group in groups:
+            it = group.iterator()
+            while it.hasNext():
+                child = it.next()
+                if not isinstance(child, str) and node.isInstance(child):
+                    todo.append(child)
+        if subquery.isInstance(at):
+            todo.append(at.plan())
+
 
+def _strings(seq) -> list[str]:
+    it, out = seq.iterator(), []
+    while it.hasNext():
+        out.append(it.next())
+    return out
 
-def _nodes(plan):
-    yield plan
-    for group in (plan.children(), plan.innerChildren()):
-        it = group.iterator()
-        while it.hasNext():
-            child = it.next()
-            if hasattr(child, "children") and hasattr(child, "nodeName"):
-                yield from _nodes(child)
 
+def guarded_sql(spark: SparkSession, text: str, relations: Collection[str] | None = None) -> DataFrame:
+    """Run a query over ``relations`` (all temporary views if None).
 
-def guarded_sql(spark: SparkSession, text: str) -> DataFrame:
-    """Run a query; every node of its parsed plan must be of an allowed kind."""
+    Every node of its parsed plan must be of an allowed kind, every relation one of these or a common
+    table expression, and no function one that reaches beyond the data.
+    """
+    known = {r.lower() for r in (relations if relations is not None else (t.name for t in spark.catalog.listTables() if t.isTemporary))}
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
-    for node in _nodes(plan):
-        if node.nodeName() not in ALLOWED:
-            raise NotAQuery(f"{node.nodeName()} is not allowed")
+    nodes = list(_tree(spark, plan))
+    for node, is_plan in nodes:
+        if is_plan and node.nodeName() == "UnresolvedWith":
+            it = node.cteRelations().iterator()
+            while it.hasNext():
+                known.add(it.next()._1().lower())
+    for node, is_plan in nodes:
+        name = node.nodeName()
+        if is_plan and name not in ALLOWED:
+            raise NotAQuery(f"{name} is not allowed")
+        if name == "UnresolvedRelation":
+            parts = _strings(node.multipartIdentifier())
+            if len(parts) != 1 or parts[0].lower() not in known:
+                raise NotAQuery(f"{'.'.join(parts)} is not a registered relation")
+        if name == "UnresolvedTableValuedFunction" and _strings(node.name())[-1].lower() not in TABLE_FUNCTIONS:
+            raise NotAQuery("this table function is not allowed")
+        if "UnresolvedFunction" in node.getClass().getName() and _strings(node.nameParts())[-1].lower() in DENIED:
+            raise NotAQuery(f"{_strings(node.nameParts())[-1]} is not allowed")
     return spark.sql(text)
 
 

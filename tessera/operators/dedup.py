@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -21,12 +24,20 @@ COMMUNE_SPLIT = 0.5
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the shared checkpoint folder (spark.checkpoint.dir) and read back."""
+    """Written to the shared checkpoint folder (spark.checkpoint.dir) and read back.
+
+    Only a session on one machine gets a folder of its own where none is set.
+    """
     spark = df.sparkSession
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     root = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else None)
     if not root:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        made = tempfile.mkdtemp(prefix="tessera-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        root = "file://" + made
+        spark.sparkContext.setCheckpointDir(root)
     path = f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

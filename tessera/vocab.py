@@ -128,6 +128,71 @@ FLAG_COLUMNS = {"BF3_HaC": ("Ha C",), "HaD": ("Ha D",), "LTAB": ("LT A", "LT B")
 PARASITIC = r"(?i)^(?:TOTAL|Supprimé|Département|$)"
 PARASITIC_DEPARTMENT = r"(?i)^(?:Manque|Total|$|\s*$)"
 COMMENT_KEYS = ("GENAUIGK_T", "DAT_FEIN", "TYP_FEIN", "TYP_GROB", "DAT_GROB", "LISTENTEXT")
+TERM_CATEGORIES = (
+    ("funéraire", ("tombe", "tumulus", "nécropole", "sépulture", "inhumation", "crémation", "urne", "sarcophage", "squelette")),
+    ("mobilier", ("fibule", "bracelet", "anneau", "épée", "lance", "céramique", "amphore", "vase", "perle", "monnaie", "hache", "couteau", "agrafe", "arme", "applique", "boucle", "clou", "aiguille")),
+    ("structure", ("mur", "four", "fossé", "silo", "cave", "fosse", "puits", "fondation", "sol", "aire", "enclos", "palissade")),
+    ("période", ("hallstatt", "tène", "bronze", "néolith", "romain", "méroving", "médiéval", "antiq")),
+    ("matériau", ("bronze", "fer", "or", "argent", "verre", "os", "silex", "lignite", "ambre", "argile")),
+    ("voirie", ("voie", "route", "chemin", "pont", "aqueduc", "borne")),
+)
+STRONG_TYPES = ("oppidum", "nécropole", "tumulus", "dépôt", "sanctuaire", "atelier")
+TYPE_RANK = ("oppidum", "sanctuaire", "tumulus", "nécropole", "dépôt", "atelier", "habitat", "voie")
+IRON_WORDING = (
+    r"\bha\s*[abcd][0-9]?(?:\s*[-/]\s*[bcd][0-9]?)?", r"\blt\s*[abcd][0-9]?(?:\s*[-/]\s*[abcd][0-9]?)?", r"bze\s*d", r"bze\s*c\s*[-/]\s*d", r"bze\s*d\s*[-/]\s*ha", r"hallstatt", r"lat[eè]ne",
+    r"charni[eè]re", r"transition\s+hallstatt", r"ha\s*d3\s*/\s*lt", r"âge\s+du\s+fer", r"age\s+du\s+fer",
+)
+OTHER_PERIODS = (
+    ("BRONZE_FINAL", r"[Bb]ronze\s+final|BF\s*III"), ("NEOLITHIQUE", r"[Nn]éolith"), ("GALLO_ROMAIN", r"[Gg]allo[- ]?romain|[ée]poque\s+romaine|[Rr]omaine?\b"),
+    ("MEROVINGIEN", r"[Mm]érovingi"), ("MEDIEVAL", r"[Mm]édiéval|[Mm]oyen\s+[âa]ge"),
+)
+SUB_PERIOD_WORDING = (
+    (r"La\s+Tène\s*I\s*a?", "LT A"), (r"La\s+Tène\s*I\s*b", "LT B1"), (r"Hallstatt\s*C(?:\s*[-–/]\s*D\d?)?", "Ha C"), (r"Hallstatt\s*D\s*1|Hallstatt\s*moyen\s*I", "Ha D1"),
+    (r"Hallstatt\s*D\s*2", "Ha D2"), (r"Hallstatt\s*D\s*3", "Ha D3"), (r"Hallstatt\s*D\b(?!\d)", "Ha D"),
+)
+PERIOD_CODES = {
+    "EURFER": "Âge du Fer", "EURBRO": "Âge du Bronze", "EURGAL": "Gallo-romain", "EURNEO": "Néolithique", "EURMER": "Mérovingien", "EURMED": "Médiéval", "EURMOD": "Moderne", "EURPAL": "Paléolithique", "EURMES": "Mésolithique",
+}
+CODE_PAIRS = {
+    ("EURFER", "EURFER"): ("Âge du Fer", "Hallstatt – La Tène", -800, -25), ("EURBRO", "EURFER"): ("Âge du Bronze – Âge du Fer", "", -2300, -25), ("EURFER", "EURGAL"): ("Âge du Fer – Gallo-romain", "", -800, 500),
+    ("EURBRO", "EURBRO"): ("Âge du Bronze", "", -2300, -800), ("EURGAL", "EURGAL"): ("Gallo-romain", "", -25, 500),
+}
+OCCUPATION_TYPES = {
+    "hab_ouv": "habitat", "habitat ouvert": "habitat", "habitat": "habitat", "habitat groupé": "habitat", "nécropole": "nécropole", "necropole": "nécropole", "tumulus": "tumulus", "tombe": "nécropole",
+    "sépulture": "nécropole", "oppidum": "oppidum", "fortification": "oppidum", "enceinte": "oppidum", "dépôt": "dépôt", "atelier": "atelier", "sanctuaire": "sanctuaire", "voie": "voie",
+}
+NOTICE_HEADER = r"^(\d{3})\s*[-–—]\s*(.+)$"
+SUB_NOTICE = r"\n\s*\((\d{3}\s*[A-Z]{2}(?:,\s*\d{3}\s*[A-Z]{2})*)\)\s*[-–—]?\s*"
+NOTICE_DATING = (
+    r"(?i)\b(?:hallstatt|la\s+tène|âge\s+du\s+fer|âge\s+du\s+bronze|"
+    r"protohistor|gallo[- ]?romain|néolith|tumulus|Ha\s*[CD]\d?|LT\s*[A-D]\d?|"
+    r"premier\s+âge|second\s+âge)\b"
+)
+NOTICE_REMAINS = (
+    r"(?i)\b(?:tumulus|tertre|sépulture|nécropole|habitat|oppidum|"
+    r"fortification|enceinte|silo|fosse|four|atelier|dépôt|"
+    r"tombe|inhumation|incinération|urne|céramique|tessons?|"
+    r"fibule|bracelet|épée|monnaie)\b"
+)
+CITATION = r"([A-Z][a-zà-ÿ]+(?:\s+et\s+alii)?,\s*\d{4}[a-z]?)"
+INDEX_ENTRY = r"^([A-Za-zÀ-ÿ][A-Za-zÀ-ÿ\s,\-\'()«»]+?)\s*:\s*(\d{3}.*)"
+INDEX_SKIP = r"^\s*-\s*[A-Z]\s*-\s*$|^\s*Index alphabétique|^\s*68\s+Haut-Rhin\s*$|^\s*$"
+INDEX_CROSS = r"(?i)cf\.?\s+(?:aussi\s+|surtout\s+)?([a-zéèêàâîôùüö\s,]+)"
+SCOPE_PLACE = r"^[A-ZÀÂÄÉÈÊËÏÎÔÙÛÜÇŒÆ][\wÀ-ÿ'\-]+(?:\s*[-–]\s*[\wÀ-ÿ'\-]+)?"
+SCOPE_STOPWORDS = (
+    "Carte", "Gaule", "Nouvelle", "Musée", "Alsace", "France", "Europe", "Manuel", "Archéologie", "Bronzes", "Essai", "Cahiers", "Histoire", "Ancienne", "Premier", "Haut", "Bas", "Étude", "Éditions",
+    "Série", "Table", "Les", "Des", "Sur", "Par", "Dans", "Pour",
+)
+SCOPE_TYPES = ("nécropole", "oppidum", "habitat", "tumulus", "sanctuaire", "dépôt", "atelier")
+PLACE_SPLIT = r"^([A-Za-zÀ-ÿ\-]+(?:\s+[A-Za-zÀ-ÿ\-]+)?)\s+(.+)$"
+ID_COLUMNS = ("SITE_AKG_ID", "id_site", "id", "EA", "Code_national_de_l_EA", "EA_NATCODE")
+GEO_COLUMNS = {
+    "lat": ("latitude", "y", "y(l93)", "coordonnées y (lambert 93)"), "lon": ("longitude", "x", "x(l93)", "coordonnées x (lambert 93)"), "epsg": ("projection_system", "epsg_coord", "epsg"),
+}
+PLATFORMS = (
+    ("Patriarche", "Patriarche (base nationale EA)"), ("AFEAF", "AFEAF (Association Française pour l'Étude de l'Âge du Fer)"), ("afeaf", "AFEAF (Association Française pour l'Étude de l'Âge du Fer)"),
+    ("cag_68", "Carte Archéologique de la Gaule — Haut-Rhin (68)"), ("ea_fr", "Entités Archéologiques (base nationale France)"), ("Proto_Alsace", "Base de données Protohistoire Alsace"), ("Alsace_Basel", "Base Alsace–Bâle âge du Fer"),
+)
 GERMAN_DATABASES = ("bade", "baden", "adab", "nordbaden", "südbaden", "wurtemberg")
 LAST_ROMAN_YEAR = 500
 

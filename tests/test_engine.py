@@ -126,7 +126,12 @@ def test_plans(spark, tmp_path):
 def test_guarded_sql(spark):
     spark.range(3).createOrReplaceTempView("sites")
     assert api.guarded_sql(spark, "WITH a AS (SELECT id FROM sites) SELECT count(*) FROM a WHERE id > 0").first()[0] == 2
-    for bad in ("DROP TABLE sites", "CREATE VIEW v AS SELECT 1", "SET x = 1", "SHOW TABLES"):
+    assert api.guarded_sql(spark, "SELECT id, (SELECT max(id) FROM sites) AS m FROM sites WHERE id IN (SELECT id FROM sites WHERE id < 2) ORDER BY id LIMIT 5").count() == 2
+    bad_ = (
+        "DROP TABLE sites", "CREATE VIEW v AS SELECT 1", "SET x = 1", "SHOW TABLES", "SELECT reflect('java.lang.System', 'currentTimeMillis')", "SELECT (SELECT java_method('java.lang.System', 'getenv', 'HOME'))",
+        "SELECT * FROM parquet.`/tmp/x`", "SELECT * FROM sites WHERE id IN (SELECT id FROM csv.`/etc/passwd`)", "WITH a AS (SELECT * FROM text.`/etc/passwd`) SELECT * FROM a", "SELECT * FROM other", "INSERT INTO sites VALUES (1)",
+    )
+    for bad in bad_:
         with pytest.raises(api.NotAQuery):
             api.guarded_sql(spark, bad)
 
