@@ -427,6 +427,25 @@ def test_links_lose_no_pair(spark):
     assert {f: got.get(f, f) for f in signed} == {f: least[want[i]] for i, f in enumerate(signed)}
 
 
+def test_components_of_stars_and_chains(spark):
+    from tessera.llm.components import components
+
+    rng = random.Random(9)
+    edges = [(i, 5000) for i in range(3000)] + [(i, i + 1) for i in range(6000, 6200)] + [(rng.randrange(7000, 7300), rng.randrange(7000, 7300)) for _ in range(200)] + [(7, 7), (None, 3)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {x: x for e in edges for x in e if x is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges[:-1]:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    assert got == {x: find(x) for x in root if find(x) != x}
+
+
 def test_rows_without_id_link_others(spark, monkeypatch):
     """Of fingerprints 0, 15 and 255 only the row without an id lies within the radius of both others."""
     rows = spark.createDataFrame([(1, 0, ""), (None, 15, ""), (2, 255, ""), (3, -1, ""), (None, -2, "")], "doc_id long, fp long, text string")
