@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import domain, fuzzy, inventory, matching, relational  # noqa: F401  all fill the registries
+from .plans import domain, fuzzy, inventory, matching, relational, rules  # noqa: F401  all fill the registries
 
 QUERIES = relational.Q
 ORACLES = relational.S

@@ -314,20 +314,17 @@ def quarantine_reasons(spark, sf):
     return bad.select("k", F.array_join("rejects", ";").alias("reasons"))
 
 
-@query("SELECT doc_id, CASE WHEN contains(t, 'th') AND contains(t, 'que') THEN 'mixed' WHEN contains(t, 'th') THEN 'english' WHEN contains(t, 'que') THEN 'romance' ELSE 'other' END AS category FROM (SELECT doc_id, lower(text) AS t FROM documents)")
-def category_priority(spark, sf):
-    low = F.lower("text")
-    return t(spark, sf, "documents").select("doc_id", F.when(low.rlike("th") & low.rlike("que"), "mixed").when(low.rlike("th"), "english").when(low.rlike("que"), "romance").otherwise("other").alias("category"))
-
-
-@query()
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS site_id, c_name AS nom_site, 'Hallstatt, Hallstatt' AS periodes, round(6.5 + (c_custkey % 1000) / 500.0, 6)::DOUBLE AS lon, round(47.5 + (c_custkey * 7 % 1000) / 800.0, 6)::DOUBLE AS lat FROM customer WHERE c_custkey % 9 <> 0""")
 def geojson_features(spark, sf):
+    """Features read back: rows without a position left out, positions back in degrees."""
     from ..sources.writers import features
 
     k = F.col("c_custkey")
     x, y = geo.to_lambert93(lon(k), lat(k))
-    s = t(spark, sf, "customer").select(k.cast("string").alias("site_id"), F.col("c_name").alias("nom_site"), F.lit("").alias("commune"), F.lit("FR").alias("pays"), F.col("c_mktsegment").alias("type_site"), x.alias("x_l93"), y.alias("y_l93"), F.array(F.struct(F.lit("Hallstatt").alias("periode"))).alias("phases"))
-    return features(s)
+    phase = F.struct(F.lit("Hallstatt").alias("periode"))
+    s = t(spark, sf, "customer").select(k.cast("string").alias("site_id"), F.col("c_name").alias("nom_site"), F.lit("").alias("commune"), F.lit("FR").alias("pays"), F.col("c_mktsegment").alias("type_site"), F.when(k % 9 != 0, x).alias("x_l93"), y.alias("y_l93"), F.array(phase, phase).alias("phases"))
+    read = features(s).select(F.from_json("value", "geometry struct<coordinates:array<double>>, properties struct<site_id:string,nom_site:string,periodes:string>").alias("f"))
+    return read.select("f.properties.site_id", "f.properties.nom_site", "f.properties.periodes", F.round(F.col("f.geometry.coordinates")[0], 6).alias("lon"), F.round(F.col("f.geometry.coordinates")[1], 6).alias("lat"))
 
 
 @query("SELECT page_id, coalesce(arg_max(n_name, (length(n_name), n_name)), '') AS place FROM pages LEFT JOIN nation ON contains(lower(html), lower(n_name)) GROUP BY 1")

@@ -97,15 +97,3 @@ def flags_to_phases(spark, sf):
     k = F.col("c_custkey")
     flags = [F.when(text.truthy(k % m), F.struct(F.lit(sub).alias("sub"), F.lit(-800 + 100 * i).alias("start_year"))) for sub, i, m in (("Ha C", 0, 2), ("Ha D", 2, 3), ("LT A", 4, 5))]
     return t(spark, sf, "customer").select(k.alias("site_id"), F.inline(F.array_compact(F.array(*flags))))
-
-
-@query("SELECT s_suppkey AS site_id, 'FOUILLE : ' || CAST(s_suppkey AS VARCHAR) || '#' AS raw, CAST(s_suppkey AS VARCHAR) AS dig, s_name AS source FROM supplier")
-def comment_tags(spark, sf):
-    """``KEY : value #`` comments as a map."""
-    raw = F.concat(F.lit("FOUILLE : "), F.col("s_suppkey").cast("string"), F.lit("#"))
-    tagged = F.concat(raw, F.lit(" SOURCE : "), F.col("s_name"), F.lit("#"))
-    pieces = F.filter(F.transform(F.split(tagged, "#"), lambda x: F.trim(x)), lambda x: F.contains(x, F.lit(":")))
-    # Values may hold the '#' that ends a tag (as these names do): a piece without a key continues the last value.
-    parsed = F.map_from_entries(F.transform(pieces, lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.trim(F.regexp_replace(x, "^[^:]*:", "")))))
-    rest = F.concat_ws("#", F.filter(F.transform(F.split(tagged, "#"), lambda x: F.trim(x)), lambda x: ~F.contains(x, F.lit(":")) & (x != "")))
-    return t(spark, sf, "supplier").select(F.col("s_suppkey").alias("site_id"), raw.alias("raw"), F.element_at(parsed, "FOUILLE").alias("dig"), F.concat(F.element_at(parsed, "SOURCE"), F.lit("#"), rest).alias("source"))
