@@ -63,7 +63,7 @@ def sha_key(c: Column, digits: int = 16) -> Column:
 
 def pairs_text(cols: Sequence[str]) -> Column:
     """'k=v | k=v' over the non-empty cells."""
-    return F.concat_ws(" | ", *[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.concat(F.lit(c + "="), F.col(c).cast("string"))) for c in cols])
+    return F.concat_ws(" | ", *[F.when(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) != "", F.concat(F.lit(c + "="), F.col(f"`{c}`").cast("string"))) for c in cols])
 
 
 def mentions(c: Column, pattern: str) -> Column:

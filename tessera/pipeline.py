@@ -79,7 +79,7 @@ def _ingest(spark: SparkSession, config: Config) -> tuple[list[DataFrame], list[
             failed.append((s["path"], str(e)))
             continue
         method = F.lit(s.get("method", s.get("type", "csv")))
-        kept = {"source_path": F.lit(s["path"]), "extraction_method": method}
+        kept = {"source_path": F.lit(s["path"]), "extraction_method": method}  # unless the rows say it themselves
         frames.append(raw_records(read.withColumns({c: F.coalesce(F.col(c), v) if c in read.columns else v for c, v in kept.items()})))
     return frames, failed
 
