@@ -92,11 +92,13 @@ def _code(col: Column) -> Column:
 def fit(docs: DataFrame, *, text: str = "text", declared: str = "lang", key: str = "doc_id", rows: int = LANGUAGE_ROWS, most: int = SAMPLE_ROWS) -> TrigramModel:
     """Fit on at most ``rows`` documents of each declared language, drawn by the hash of their id; of a repeated id the least text."""
     stated = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("__id"), _code(F.col(declared)).alias("__code")).where(F.col("__code").rlike(CODE))
-    languages = stated.select("__code").distinct().count()
-    each = min(rows, max(FEWEST_ROWS, most // max(1, languages)))
-    # The window keeps its first rows before the shuffle, so a hot language sends few.
+    counts = stated.groupBy("__code").agg(F.count(F.lit(1)).alias("__rows"))
+    each = min(rows, max(FEWEST_ROWS, most // max(1, counts.count())))
+    # A hash threshold of a language thins it to about twice the rows it may give, so none fills a task.
+    share = F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) * F.col("__rows") < F.lit(2 * each + 20).cast("double") * (1 << 30)
     order = Window.partitionBy("__code").orderBy(F.xxhash64("__id"), "__id")
-    drawn = stated.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= each).select("__id", "__code").distinct()
+    thinned = stated.join(F.broadcast(counts), "__code").where(share)
+    drawn = thinned.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= each).select("__id", "__code").distinct()
     found = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(drawn), "__id").groupBy("__id", "__code").agg(F.min("__text").alias("__text"))
     got = sorted(((r[1], r[0], r[2] or "") for r in found.toLocalIterator()), key=lambda r: r[:2])
     return TrigramModel.fit([(t.encode(), lang) for lang, _, t in got])

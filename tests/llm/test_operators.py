@@ -478,9 +478,34 @@ def test_secrets(docs, rows, empty):
     assert got[len(rows) - 1].spans.startswith("random:2:") and secrets.scan(empty).count() == 0
 
 
-def test_secret_model_separates_held_out():
-    table = secrets.train(*secrets.samples(4000, seed=1))
+def test_secret_model_on_held_out_documents(spark):
+    """Fitted on one half of real documents; the other half, with random strings planted in a third, is the test."""
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    table = secrets.fit(d.where(part == 0))
+    rng = random.Random(17)
+    planted = ["".join(rng.choices(secrets.ALPHABET[:62], k=rng.choice((16, 20, 24, 32, 40)))) for _ in range(300)]
+    held = d.where(part == 1).where("text is not null").select("doc_id", F.regexp_replace("text", r"[A-Za-z0-9+/_=-]*[0-9][A-Za-z0-9+/_=-]*", "").alias("text"))
+    clean = secrets.scan(held, table=table)
+    told = clean.where("contains(spans, 'random')").count()
+    assert told <= 0.001 * held.count()
+    frame = spark.createDataFrame([(i, f"mot {x} fin") for i, x in enumerate(planted)], "doc_id long, text string")
+    assert secrets.scan(frame, table=table).where("spans <> ''").count() >= 0.97 * len(planted)
+    words_ = spark.createDataFrame([(0, "getUserNameFromConfig set_default_value_of_column /usr/local/share/words incomprehensibilities anticonstitutionnellement")], "doc_id long, text string")
+    assert secrets.scan(words_, table=table).first().spans == ""
+
+
+def test_positions_of_very_many_matches(spark):
+    rng = random.Random(3)
+    text = " ".join(rng.choice(("é", "word", "")) + " " + "".join(rng.choices("0123456789abcdef", k=rng.randint(14, 20))) for _ in range(1500))
+    r = secrets.scan(spark.createDataFrame([(0, text)], "doc_id long, text string"), table=[-1.0] * len(secrets.ALPHABET) ** 2).first()
+    want = [f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 16]
+    assert r.n_hex == len(want) > 600 and r.spans == ",".join(want)
+
+
+def test_ratio_against_its_definition(spark):
+    table = secrets.train(*map(secrets.transitions, secrets.samples(500)))
     k, at = len(secrets.ALPHABET), {c: i for i, c in enumerate(secrets.ALPHABET)}
-    score = lambda t: sum(table[at[a] * k + at[b]] for a, b in zip(t, t[1:])) / (len(t) - 1)
-    noise, plain = secrets.samples(1000, seed=99)
-    assert sum(score(x) > secrets.THRESHOLD for x in noise) > 900 and sum(score(x) > secrets.THRESHOLD for x in plain if len(x) >= 20) < 50
+    tokens = ["aZ09", "abcdefabcdef", "x", "token_secret-key", "====/+"]
+    got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secrets.ratio(F.col("t"), table).alias("r")).collect()
+    assert all(abs(r.r - sum(table[at[a] * k + at[b]] for a, b in zip(r.t, r.t[1:]))) < 1e-9 for r in got)
