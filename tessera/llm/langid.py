@@ -95,7 +95,7 @@ def fit(docs: DataFrame, *, text: str = "text", declared: str = "lang", key: str
     counts = stated.groupBy("__code").agg(F.count(F.lit(1)).alias("__rows"))
     each = min(rows, max(FEWEST_ROWS, most // max(1, counts.count())))
     # A hash threshold of a language thins it to about twice the rows it may give, so none fills a task.
-    share = F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) * F.col("__rows") < F.lit(2 * each + 20).cast("double") * (1 << 30)
+    share = F.pmod(F.xxhash64("__id"), F.lit(1 << 30)).cast("double") * F.col("__rows") < F.lit(2 * each + 20).cast("double") * (1 << 30)
     order = Window.partitionBy("__code").orderBy(F.xxhash64("__id"), "__id")
     thinned = stated.join(F.broadcast(counts), "__code").where(share)
     drawn = thinned.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= each).select("__id", "__code").distinct()
