@@ -194,7 +194,7 @@ class Fusion:
         joined = joined.withColumn("__post", add(text, stated(self.declared, "__declared"), stated(self.suffix, "__suffix"), prior))
         top = F.array_max("__post")
         mass = _total(F.transform("__post", lambda x: F.exp(x - top)))
-        odd = (F.col("__n") > 0) & (F.col("__fit") < -MISFIT - MISFIT_SPREAD / F.sqrt(F.col("__words")))
+        odd = (F.col("__n") > 0) & (F.col("__fit") < -MISFIT - MISFIT_SPREAD / F.sqrt(F.greatest(F.col("__words"), F.lit(1))))
         # A text of none of the languages may still be of a stated one that the sample has no rows of.
         other = odd & (_index(F.col("__declared"), self.model.languages) == k) & _code(F.col("__declared")).rlike(CODE)
         judged = joined.withColumn("__confidence", F.round(1 / mass, 9)).withColumn("__other", F.coalesce(other, F.lit(False))).withColumn("__odd", odd)

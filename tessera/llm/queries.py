@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import content_sort, decontaminate, langid, licenses, mixing, passages, secrets, shard_pack, simhash_bk, toxicity
 from .common import table
@@ -59,12 +60,33 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence scan, the columns that SQL can say again."""
+    return licenses.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret scan, the columns that SQL can say again."""
+    return secrets.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def shard_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sharding: sizes, and what holds of every shard: gapless slots, and no load of bytes over the mean by more than a twentieth and the largest text."""
+    placed = shard_pack.shard(table(spark, sf_dir, "documents"))
+    sums = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("least"), F.max("slot").alias("most"), F.sum("size").alias("bytes"), F.max("size").alias("largest"))
+    held = sums.agg(F.count(F.lit(1)).alias("shards"), F.sum("bytes").alias("bytes"), F.sum("n").alias("rows"), F.bool_and((F.col("least") == 0) & (F.col("most") == F.col("n") - 1)).alias("gapless"), (F.max("bytes") <= 1.05 * F.avg("bytes") + F.max("largest")).alias("even"))
+    return held
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_exact_dedup, op3_mix_sources, op4_license_scan, op5_toxicity, op6_shard, op7_language_id, language_id_pages,
-        op8_substring_dedup, op9_simhash_near_dedup, op10_secret_scan,
+        op8_substring_dedup, op9_simhash_near_dedup, op10_secret_scan, license_base, secret_base, shard_base,
     )
 }
 
-ORACLES: dict[str, str] = {"op1_decontaminate": decontaminate.SQL, "op2_exact_dedup": content_sort.SQL, "op3_mix_sources": mixing.SQL}
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": decontaminate.SQL, "op2_exact_dedup": content_sort.SQL, "op3_mix_sources": mixing.SQL, "license_base": licenses.BASE_SQL, "secret_base": secrets.BASE_SQL,
+    "shard_base": "SELECT CAST(40 AS BIGINT) AS shards, CAST(sum(coalesce(strlen(text), 0) + 16) AS BIGINT) AS bytes, count(*) AS rows, true AS gapless, true AS even FROM documents",
+}

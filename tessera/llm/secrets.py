@@ -181,3 +181,23 @@ def scan(docs: DataFrame, *, text: str = "text", least: float = LEAST_NATS, tabl
         told(F.concat("base", "r")).alias("spans"),
         F.transform(ordered(F.concat("base", "r")), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found"),
     )
+
+
+def _sql(kind: str, pattern: str, keep: str) -> str:
+    """Places of one kind in SQL: lengths of matches and of what lies between them."""
+    p = pattern.replace("'", "''")
+    return f"""{kind}0 AS (SELECT r, regexp_extract_all(t, '{p}') AS h, list_transform(regexp_split_to_array(t, '{p}'), lambda x: length(x)) AS g FROM d WHERE regexp_matches(t, '{p}')),
+{kind}1 AS (SELECT r, h, g, unnest(range(1, len(h) + 1)) AS i FROM {kind}0),
+{kind} AS (SELECT r, '{kind}' AS kind, CAST(list_sum(g[1:i]) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a, length(h[i]) AS n, h[i] AS m FROM {kind}1 WHERE {keep.format(m="h[i]")})"""
+
+
+#: The base columns alone.
+BASE_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+{_sql("assign", ASSIGN, "length(regexp_extract({m}, '" + ASSIGN.replace("'", "''") + "', 2)) >= 12")},
+{_sql("access", "AKIA[A-Z0-9]+", "length({m}) >= 18")},
+{_sql("hex", "[0-9a-f]+", "length({m}) >= 16")},
+u AS (SELECT *, 0 AS k FROM assign UNION ALL SELECT *, 1 FROM access UNION ALL SELECT *, 2 FROM hex),
+s AS (SELECT r, string_agg(kind || ':' || a || ':' || (a + n), ',' ORDER BY a, k) AS told, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex FROM u GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(told, '')) AS base_sha256 FROM d LEFT JOIN s ON s.r = d.r
+"""

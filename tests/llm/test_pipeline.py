@@ -1,7 +1,11 @@
 """The pipeline against brute-force versions of its decisions."""
 
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from tessera.llm import decontaminate
+from tessera.llm import decontaminate, queries
 from tessera.llm.queries import table
 from tests.llm.test_operators import brute_fingerprint, words
 
@@ -45,3 +49,32 @@ def test_stages(spark):
     for r in out:
         slots.setdefault(r.shard, []).append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_queries_equal_sql(spark, name):
+    db = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SF)
+    cols = sorted(df.columns)
+    got = sorted(tuple(map(str, r)) for r in df.select(*cols).collect())
+    want = sorted(tuple(map(str, r)) for r in db.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLES[name]})").fetchall())
+    assert got and got == want
+
+
+def test_stages_on_odd_tables(spark):
+    """Each stage, and all: empty tables, null cells, repeated rows, very long texts, columns of clashing names."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, base int, n string, root long, fp long, size long"
+    rows = [(1, "the quick brown fox jumps over the lazy dog again and again", "en", "a", 1, 1, "n", 2, 3, 4)] * 2 + [(None, None, None, None, None, None, None, None, None, None), (2, "", "en", None, 0, 1, "", 0, 0, 0), (3, "mot " * 20_000, "fr", "b", 9, 9, "x", 1, 1, 1), (4, "x" * 2_000_000, None, "b", 9, 9, "x", 1, 1, 1)]
+    odd, none = spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (odd, none):
+            out = stage(spark, docs, SF)
+            assert out.columns[: len(docs.columns)] == docs.columns
+            out.write.format("noop").mode("overwrite").save()
+        assert stage(spark, none, SF).count() == 0
+    at = odd
+    for name, stage in corpus_pipeline.STAGES:
+        at = stage(spark, at, SF)
+    assert at.where(F.col("text").isNull()).count() == 0 and at.where("doc_id = 1").count() >= 1
