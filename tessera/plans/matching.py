@@ -11,26 +11,26 @@ from .common import FOLD, XY, metre_x, metre_y, t
 from .relational import query
 
 
-@query("""WITH c AS (SELECT c_nationkey AS k, arg_max(c_acctbal, c_custkey) AS v FROM customer WHERE c_nationkey < 12 GROUP BY 1), r AS (SELECT n_regionkey AS g, arg_max(n_nationkey, n_nationkey)::DOUBLE AS v FROM nation WHERE n_regionkey < 3 GROUP BY 1)
+@query("""WITH c AS (SELECT c_nationkey AS k, arg_max(c_acctbal, c_custkey) AS v FROM customer WHERE c_acctbal > 9500 GROUP BY 1), r AS (SELECT n_regionkey AS g, arg_max(n_nationkey, n_nationkey)::DOUBLE AS v FROM nation GROUP BY 1)
 SELECT s_suppkey AS id, coalesce(c.v, r.v) AS value FROM supplier JOIN nation ON n_nationkey = s_nationkey LEFT JOIN c ON c.k = s_nationkey LEFT JOIN r ON r.g = n_regionkey""")
 def two_key_lookup(spark, sf):
     """Primary key, else the secondary one; of repeated keys the last row counts."""
     nation = t(spark, sf, "nation")
-    first = t(spark, sf, "customer").where("c_nationkey < 12").groupBy(F.col("c_nationkey").alias("k")).agg(F.max_by("c_acctbal", "c_custkey").alias("v1"))
-    second = nation.where("n_regionkey < 3").groupBy(F.col("n_regionkey").alias("g")).agg(F.max("n_nationkey").cast("double").alias("v2"))
+    first = t(spark, sf, "customer").where("c_acctbal > 9500").groupBy(F.col("c_nationkey").alias("k")).agg(F.max_by("c_acctbal", "c_custkey").alias("v1"))
+    second = nation.groupBy(F.col("n_regionkey").alias("g")).agg(F.max("n_nationkey").cast("double").alias("v2"))
     s = t(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_nationkey", "n_regionkey")
     found = s.join(first, F.col("s_nationkey") == F.col("k"), "left").join(second, F.col("n_regionkey") == F.col("g"), "left")
     return found.select(F.col("s_suppkey").alias("id"), F.coalesce("v1", "v2").alias("value"))
 
 
-@query("""WITH g AS (SELECT c_nationkey AS k, min(c_custkey) AS ref FROM customer WHERE c_custkey % 50 = 0 GROUP BY 1), s AS (SELECT c_nationkey AS k, min(c_custkey) AS ref FROM customer GROUP BY 1)
+@query("""WITH g AS (SELECT c_nationkey AS k, min(c_custkey) AS ref FROM customer WHERE c_acctbal > 9500 GROUP BY 1), s AS (SELECT c_nationkey AS k, min(c_custkey) AS ref FROM customer GROUP BY 1)
 SELECT s_suppkey AS id, 'golden' AS origin, g.ref FROM supplier JOIN g ON g.k = s_nationkey UNION ALL SELECT s_suppkey, CASE WHEN s.ref IS NULL THEN 'none' ELSE 'second' END, s.ref FROM supplier LEFT JOIN s ON s.k = s_nationkey WHERE s_nationkey NOT IN (SELECT k FROM g)""")
 def golden_then_second(spark, sf):
     """The second reference is asked only for what the first does not know."""
-    c = t(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), "c_custkey")
+    c = t(spark, sf, "customer").select(F.col("c_nationkey").alias("k"), "c_custkey", "c_acctbal")
     least = lambda df: df.groupBy("k").agg(F.min("c_custkey").alias("ref"))
     left = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("k"))
-    golden = least(c.where("c_custkey % 50 = 0"))
+    golden = least(c.where("c_acctbal > 9500"))
     rest = left.join(golden, "k", "left_anti").join(least(c), "k", "left")
     return left.join(golden, "k").select("id", F.lit("golden").alias("origin"), "ref").union(rest.select("id", F.when(F.col("ref").isNull(), "none").otherwise("second"), "ref"))
 
@@ -57,17 +57,18 @@ def first_five_ids(spark, sf):
     return ranked.groupBy(F.col("s_nationkey").alias("commune")).agg(F.array_join(F.array_sort(F.collect_list("s_suppkey")).cast("array<string>"), ";").alias("ids"))
 
 
-@query("SELECT c_custkey AS id FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0)")
+@query("SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
 def isolates(spark, sf):
-    known = t(spark, sf, "supplier").where("s_suppkey % 3 = 0").select("s_nationkey")
-    return t(spark, sf, "customer").join(known, F.col("c_nationkey") == F.col("s_nationkey"), "left_anti").select(F.col("c_custkey").alias("id"))
+    """What the other table does not know."""
+    return t(spark, sf, "orders").join(t(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select(F.col("o_orderkey").alias("id"))
 
 
-@query("WITH v(n) AS (SELECT DISTINCT split_part(p_type, ' ', 1) FROM part UNION SELECT DISTINCT split_part(p_type, ' ', 1) || ' ' || split_part(p_type, ' ', 2) FROM part WHERE p_size < 3) SELECT p_partkey AS id, arg_max(n, length(n)) AS name FROM part JOIN v ON starts_with(p_type, n) GROUP BY 1")
+@query("WITH v(n) AS (SELECT DISTINCT split_part(p_type, ' ', 1) FROM part UNION SELECT DISTINCT p_brand FROM part) SELECT p_partkey AS id, coalesce(arg_max(n, length(n)), '') AS name FROM part LEFT JOIN v ON starts_with(p_type || ' ' || p_brand, n) GROUP BY 1")
 def longest_name_prefix(spark, sf):
-    p = t(spark, sf, "part").select("p_partkey", "p_type", "p_size")
-    names = p.select(F.substring_index("p_type", " ", 1).alias("n")).union(p.where("p_size < 3").select(F.substring_index("p_type", " ", 2))).distinct()
-    return M.longest_contained(p, "p_type", names, "n", prefix=True).select(F.col("p_partkey").alias("id"), F.col("found").alias("name"))
+    """The longest known name that a label begins with."""
+    p = t(spark, sf, "part").select("p_partkey", "p_brand", F.concat_ws(" ", "p_type", "p_brand").alias("label"), "p_type")
+    names = p.select(F.substring_index("p_type", " ", 1).alias("n")).union(p.select("p_brand")).distinct()
+    return M.longest_contained(p, "label", names, "n", prefix=True).select(F.col("p_partkey").alias("id"), F.coalesce("found", F.lit("")).alias("name"))
 
 
 _IDENT = "'67 / x / ' || n_name || ' /  / ' || CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE s_name END || CASE WHEN s_suppkey % 2 = 0 THEN ' / habitat / âge du fer' ELSE ' / hallstatt / tumulus' END"
