@@ -161,6 +161,30 @@ OCCUPATION_TYPES = {
     "hab_ouv": "habitat", "habitat ouvert": "habitat", "habitat": "habitat", "habitat groupé": "habitat", "nécropole": "nécropole", "necropole": "nécropole", "tumulus": "tumulus", "tombe": "nécropole",
     "sépulture": "nécropole", "oppidum": "oppidum", "fortification": "oppidum", "enceinte": "oppidum", "dépôt": "dépôt", "atelier": "atelier", "sanctuaire": "sanctuaire", "voie": "voie",
 }
+#: A dating dialect, in order: pattern, period, sub-period, first and last sub-period of the span.
+_BOTH = ("Hallstatt/La Tène", "Ha D3 / LT A", "Ha D3 / LT A", "Ha D3 / LT A")
+DATING_DIALECT = (
+    (r"Ha\s*D3\s*[-/]\s*LT\s*A\d?", *_BOTH),
+    (r"^Ha\s*C\s*[-/]\s*LT\s*A", *_BOTH),
+    (r"^Ha\s*C\s*[-/]\s*Ha\s*D3", "Hallstatt", "Ha C", "Ha C", "Ha D3"),
+    (r"Ha\s*C\s*[-/]\s*D1|hallstatt c-d[12]", "Hallstatt", "Ha C", "Ha C", "Ha D1"),
+    (r"^Ha\s*D1\s*[-/]\s*D2", "Hallstatt", "Ha D1", "Ha D1", "Ha D2"),
+    (r"^LT\s*B1\s*[-/]\s*C1|LT\s*B1\s*-\s*LT\s*C1", "La Tène", "LT B1", "LT B1", "LT C1"),
+    (r"^LT\s*A2\s*[-/]\s*B1", "La Tène", "LT A", "LT A", "LT B1"),
+    (r"^LT\s*A\s*[-/]\s*B", "La Tène", "LT A", "LT A", "LT A"),
+    (r"^LT\s*B\s*[-/]\s*C|la tène b-c1", "La Tène", "LT B1", "LT B1", "LT C1"),
+    (r"^LT\s*C2\s*[-/]\s*D2", "La Tène", "LT C2", "LT C2", "LT D2"),
+    (r"^LT\s*C1\s*$", "La Tène", "LT C1", "LT C1", "LT C1"),
+    (r"^LT\s*B\s*$", "La Tène", "LT B", "LT B1", "LT B2"),
+    (r"^LT\s*A\s*$", "La Tène", "LT A", "LT A", "LT A"),
+    (r"^Ha\s*D3\s*$", "Hallstatt", "Ha D3", "Ha D3", "Ha D3"),
+    (r"^Ha\s*D1\s*$", "Hallstatt", "Ha D1", "Ha D1", "Ha D1"),
+    (r"^Ha\s*D\s*$", "Hallstatt", "Ha D", "Ha D1", "Ha D3"),
+    (r"^Ha\s*C\s*$|^Hallstatt\s*C\d?|hallstatt c1-c2", "Hallstatt", "Ha C", "Ha C", "Ha C"),
+    (r"^Hallstatt\s*D1", "Hallstatt", "Ha D1", "Ha D1", "Ha D1"),
+    (r"^hallstatt$", "Hallstatt", None, "Ha C", "Ha D3"),
+)
+UNDATED_WORDING = r"bronze final|bz fin|bz final|néolithique|epoque historique|historique|attention : cette fosse"
 NOTICE_HEADER = r"^(\d{3})\s*[-–—]\s*(.+)$"
 SUB_NOTICE = r"\n\s*\((\d{3}\s*[A-Z]{2}(?:,\s*\d{3}\s*[A-Z]{2})*)\)\s*[-–—]?\s*"
 NOTICE_DATING = (
