@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import derived, domain, fuzzy, inventory, matching, relational, reports, rules  # noqa: F401  all fill the registries
+from .plans import derived, domain, fuzzy, inventory, matching, relational, reports, rules, sources  # noqa: F401  all fill the registries
 
 QUERIES = relational.Q
 ORACLES = relational.S
