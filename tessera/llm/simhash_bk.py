@@ -5,6 +5,8 @@ radius agree on at least BLOCKS - radius; each choice of so many blocks deals th
 fingerprints by their bits there. Every pair within the radius meets in a shard, none is lost, and a
 shard's BK-tree (children keyed by the integer distance to the parent, only edges within the radius
 followed) is built where its rows are, since a broadcast tree of the corpus would have no size bound.
+A shard of over TREE_NODES fingerprints is not searched in one task: its fingerprints are dealt over trees
+of about that size, and all of them are streamed through each tree.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ SHINGLE = 4
 SEED = 42
 BLOCKS = 6
 BITS = 64
+#: Fingerprints that one tree holds, about.
+TREE_NODES = 8_192
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -90,35 +94,65 @@ class BKTree:
         return found
 
 
-def shard_edges(fps: list[int], radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links within one shard: at most one edge a fingerprint."""
-    if len(fps) == 2:
-        return [(fps[0], fps[1])] if (fps[0] ^ fps[1]).bit_count() <= radius else []
-    tree, root, edges = BKTree(), list(range(len(fps))), []
+class Forest:
+    """A BK-tree with the components of its nodes."""
+
+    def __init__(self):
+        self.tree, self.fps, self.root = BKTree(), [], []
 
-    def find(x: int) -> int:
+    def find(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
-    for i, v in enumerate(fps):
-        for j in tree.within(v, radius):
-            a, b = find(i), find(j)
-            if a != b:
-                root[a] = b
-                edges.append((v, fps[j]))
-        tree.add(v, i)
+    def near(self, value: int, radius: int) -> dict[int, int]:
+        """component -> one node of it within the radius."""
+        return {self.find(j): j for j in self.tree.within(value, radius)}
+
+    def add(self, value: int, radius: int) -> list[tuple[int, int]]:
+        """Add a node; the links that join components, at most one a component."""
+        i, edges = len(self.fps), []
+        self.fps.append(value)
+        self.root.append(i)
+        for r, j in self.near(value, radius).items():
+            self.root[r] = i
+            edges.append((value, self.fps[j]))
+        self.tree.add(value, i)
+        return edges
+
+
+def shard_edges(fps: list[int], radius: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links within one shard: at most one edge a fingerprint."""
+    if len(fps) == 2:
+        return [(fps[0], fps[1])] if (fps[0] ^ fps[1]).bit_count() <= radius else []
+    forest, edges = Forest(), []
+    for v in fps:
+        edges += forest.add(v, radius)
     return edges
 
 
-def _shards(radius: int):
-    """Over rows sorted by shard key: the links of each shard, held one shard at a time."""
+def _batch(edges: list[tuple[int, int]], deferred: list[tuple[int, int]] = ()):
+    """Edges (a, b), and fingerprints a of shards that were put off."""
+    import pyarrow as pa
+
+    ends = np.array(edges, dtype=np.uint64).reshape(-1, 2).view(np.int64)
+    late = np.array([v for v, _ in deferred], dtype=np.uint64).view(np.int64)
+    cols = [
+        pa.array(np.concatenate((ends[:, 0], late))), pa.concat_arrays([pa.array(ends[:, 1]), pa.nulls(len(late), pa.int64())]),
+        pa.concat_arrays([pa.nulls(len(ends), pa.int64()), pa.array([k for _, k in deferred], type=pa.int64())]),
+    ]
+    return pa.RecordBatch.from_arrays(cols, ["a", "b", "shard"])
+
+
+def _shards(radius: int, most: int):
+    """Over rows sorted by shard key: the links of each shard, held one shard at a time; larger ones are put off."""
 
     def run(batches):
-        key, fps = None, []
+        key, fps, put_off = None, [], False
         for batch in batches:
-            edges = []
+            edges, late = [], []
             keys = batch.column("shard").to_numpy(zero_copy_only=False)
             values = batch.column("fp").to_numpy(zero_copy_only=False)
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)])).tolist()
@@ -126,24 +160,39 @@ def _shards(radius: int):
                 if a == b:
                     continue
                 if keys[a] != key:
-                    if len(fps) > 1:
+                    if len(fps) > 1 and not put_off:
                         edges += shard_edges(fps, radius)
-                    key, fps = keys[a], []
+                    key, fps, put_off = keys[a], [], False
                 fps += values[a:b].view(np.uint64).tolist()
-            yield _edges(edges)
-        if len(fps) > 1:
-            yield _edges(shard_edges(fps, radius))
+                if put_off or len(fps) > most:
+                    late += [(v, key) for v in fps]
+                    fps, put_off = [], True
+            yield _batch(edges, late)
+        if len(fps) > 1 and not put_off:
+            yield _batch(shard_edges(fps, radius))
 
-    def _edges(edges):
-        import pyarrow as pa
+    return run
+
+
+def _trees(radius: int):
+    """Over rows sorted by tree, its nodes before the rest: the links of all with the tree's nodes, one a component."""
 
-        ends = np.array(edges, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+    def run(batches):
+        key, forest = None, None
+        for batch in batches:
+            edges = []
+            names = ("shard", "part", "node", "fp")
+            for shard, part, node, fp in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (shard, part) != key:
+                    key, forest = (shard, part), Forest()
+                v = fp & (1 << BITS) - 1
+                edges += forest.add(v, radius) if node else [(v, forest.fps[j]) for j in forest.near(v, radius).values()]
+            yield _batch(edges)
 
     return run
 
 
-def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, most: int = TREE_NODES) -> DataFrame:
     """Edges (a, b) between the distinct fingerprints of ``fps`` (column fp) that connect what lies within the radius."""
     width = [BITS // blocks + (i < BITS % blocks) for i in range(blocks)]
     at = [sum(width[:i]) for i in range(blocks)]
@@ -152,8 +201,17 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFra
         mask = sum(((1 << width[i]) - 1) << at[i] for i in chosen)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])
+    kind = "a long, b long, shard long"
     dealt = fps.select("fp", F.explode(keys).alias("shard"))
-    return dealt.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(_shards(radius), "a long, b long")
+    found = materialise(dealt.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(_shards(radius, most), kind), "fp-links")
+    edges, late = found.where("b is not null").select("a", "b"), found.where("b is null").select(F.col("a").alias("fp"), "shard")
+    if late.isEmpty():
+        return edges
+    parts = late.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts"))
+    sized = late.join(parts, "shard").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    rows = sized.select("shard", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select("shard", "part", (F.col("own") == F.col("part")).alias("node"), "fp")
+    more = rows.repartition("shard", "part").sortWithinPartitions("shard", "part", F.desc("node"), "fp").mapInArrow(_trees(radius), kind)
+    return edges.union(more.select("a", "b"))
 
 
 def near_dedup(docs: DataFrame, *, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, text: str = "text", key: str = "doc_id") -> DataFrame:
