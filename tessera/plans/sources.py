@@ -139,3 +139,33 @@ def funerary_records(spark, sf):
     )
     r = typed.funerary_rows(d, keep=["id"])
     return r.select("id", "commune", _at("lieu_dit").alias("place"), F.coalesce("periode_mention", F.lit("")).alias("period"), _at("rite").alias("rite"))
+
+
+@query("""WITH d AS (SELECT s_suppkey AS id, n_name, n_nationkey AS n, CASE s_suppkey % 3 WHEN 0 THEN 'FR' WHEN 1 THEN 'DE' ELSE 'CH' END AS pays, CASE WHEN s_suppkey % 4 = 0 THEN CAST(s_suppkey AS DOUBLE) END AS x FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT id, CAST(coalesce(x, CASE WHEN pays = 'FR' AND n % 2 = 0 THEN 100 + n WHEN pays = 'DE' AND n % 3 = 0 THEN 200 + n WHEN n % 5 = 0 THEN 300 + n END) AS DOUBLE) AS x, CASE WHEN x IS NOT NULL THEN 'exact' WHEN (pays = 'FR' AND n % 2 = 0) OR (pays = 'DE' AND n % 3 = 0) OR n % 5 = 0 THEN 'centroïde' ELSE 'approx' END AS precision FROM d""")
+def geocoded_sites(spark, sf):
+    """Sites without a position by lookup tables of their country, then by one for all."""
+    from ..pipeline import geocode
+
+    k, n = F.col("s_suppkey"), t(spark, sf, "nation")
+    at = F.when(k % 4 == 0, k.cast("double"))
+    s = t(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(k.alias("id"), F.col("n_name").alias("commune"), F.when(k % 3 == 0, "FR").when(k % 3 == 1, "DE").otherwise("CH").alias("pays"), at.alias("x_l93"), at.alias("y_l93"), F.when(k % 4 == 0, "exact").otherwise("approx").alias("precision_localisation"))
+    table = lambda by, base: n.where(F.col("n_nationkey") % by == 0).select(F.lower("n_name").alias("commune"), (F.lit(base) + F.col("n_nationkey")).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    found = geocode(s, [("FR", table(2, 100)), ("DE", table(3, 200)), (None, table(5, 300))])
+    return found.select("id", F.col("x_l93").alias("x"), F.col("precision_localisation").alias("precision"))
+
+
+@query("""WITH d AS (SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'Hallstatt' WHEN 1 THEN 'Age du Bronze' WHEN 2 THEN 'romain' ELSE NULL END AS p, CASE WHEN o_orderkey % 3 = 0 THEN 'necropoles' ELSE 'csv' END AS m, o_orderkey % 5 = 0 AS flag, CASE WHEN o_orderkey % 7 = 0 THEN -900 + o_orderkey % 300 END AS a, CASE WHEN o_orderkey % 7 = 0 THEN -850 + o_orderkey % 300 END AS b, CASE o_orderkey % 11 WHEN 0 THEN '57' WHEN 1 THEN '67' WHEN 2 THEN 'BW' END AS dep, CASE WHEN o_orderkey % 13 = 0 THEN 'LU' END AS pays FROM orders)
+SELECT id FROM d WHERE CASE WHEN p = 'Hallstatt' THEN true WHEN flag THEN true WHEN a IS NOT NULL THEN b > -800 AND a <= -25 WHEN p = 'Age du Bronze' THEN false ELSE m = 'necropoles' END AND coalesce(dep <> '57', true) AND pays IS NULL""")
+def retained_records(spark, sf):
+    """Chronological and geographic filters on raw records, from their text map."""
+    from ..pipeline import Config, retained
+
+    k = F.col("o_orderkey")
+    cells = {
+        "phases_bool": F.when(k % 5 == 0, "HaD"), "datation_debut": F.when(k % 7 == 0, (F.lit(-900) + k % 300).cast("string")), "datation_fin": F.when(k % 7 == 0, (F.lit(-850) + k % 300).cast("string")),
+        "departement": F.when(k % 11 == 0, "57").when(k % 11 == 1, "67").when(k % 11 == 2, "BW"), "pays": F.when(k % 13 == 0, "LU"),
+    }
+    extra = F.map_filter(F.create_map(*[x for c, v in cells.items() for x in (F.lit(c), v)]), lambda _, v: v.isNotNull())
+    raw = t(spark, sf, "orders").select(k.alias("id"), F.when(k % 4 == 0, "Hallstatt").when(k % 4 == 1, "Age du Bronze").when(k % 4 == 2, "romain").alias("periode_mention"), F.when(k % 3 == 0, "necropoles").otherwise("csv").alias("extraction_method"), extra.alias("extra"))
+    return retained(raw, Config([], "")).select("id")
