@@ -17,9 +17,21 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
 
 
-def duplicated(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Whether a row shares its key with another."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+def duplicated(df: DataFrame, keys: Sequence[str], name: str = "duplicated") -> DataFrame:
+    """``df`` with a flag: whether a row shares its key (nulls are equal) with another.
+
+    Counts are partly aggregated before the shuffle and joined back, where adaptive execution splits a hot key.
+    """
+    counts = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    joined = df.join(counts, same[0] if len(same) == 1 else [*same])
+    return joined.select(*df.columns, (F.col("__n") > 1).alias(name))
+
+
+def seen_before(df: DataFrame, key: str, order: str, name: str = "seen") -> DataFrame:
+    """``df`` with a flag: whether an earlier row in ``order`` has the same key."""
+    first = df.groupBy(F.col(key).alias("__k")).agg(F.min(order).alias("__first"))
+    return df.join(first, F.col(key).eqNullSafe(F.col("__k"))).select(*df.columns, (F.col(order) > F.col("__first")).alias(name))
 
 
 def radius_join(left: DataFrame, right: DataFrame, radius: float, *, x: str = "x", y: str = "y", prefix: str = "r_") -> DataFrame:

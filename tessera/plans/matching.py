@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text
 from ..operators import match as M
@@ -133,8 +132,8 @@ def chronology_extent(spark, sf):
 
 @query("SELECT o_orderkey AS k, count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 1 AS seen FROM orders")
 def seen_before(spark, sf):
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    return t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), (F.row_number().over(w) > 1).alias("seen"))
+    orders = t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey")
+    return M.seen_before(orders, "o_custkey", "k").select("k", "seen")
 
 
 @query(f"SELECT a.n_name AS a, b.n_name AS b, contains({FOLD.format(c='a.n_name')}, {FOLD.format(c='b.n_name')}) OR contains({FOLD.format(c='b.n_name')}, {FOLD.format(c='a.n_name')}) AS compatible FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey")

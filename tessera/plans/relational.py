@@ -90,7 +90,8 @@ def completeness_ranked(spark, sf):
 
 @query("SELECT n_duplicated, count(*) AS n FROM (SELECT count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS n_duplicated FROM lineitem) GROUP BY 1")
 def duplicated_keys(spark, sf):
-    return t(spark, sf, "lineitem").select(M.duplicated(None, ["l_orderkey", "l_linenumber"]).alias("n_duplicated")).groupBy("n_duplicated").agg(F.count(F.lit(1)).alias("n"))
+    rows = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return M.duplicated(rows, ["l_orderkey", "l_linenumber"], "n_duplicated").groupBy("n_duplicated").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT n_regionkey AS region, arg_max(c_custkey, (c_acctbal, -c_custkey)) AS survivor, max(c_acctbal) AS surface, string_agg(DISTINCT c_mktsegment, '; ' ORDER BY c_mktsegment) AS kinds, count(*) AS merged FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
