@@ -131,3 +131,22 @@ def term_index(spark, sf):
     """Index of long words: documents that hold each, and the first of them."""
     d = t(spark, sf, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{7,}"), 0))).alias("term"))
     return d.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+#: Worded datings with what the open and the strict policy make of them.
+_NONE = (vocab.UNKNOWN, None, None, None)
+_TRANSITION = ("Hallstatt", "Ha D3 / LT A", -500, -400)
+POLICIES = {
+    "Ha D1": (("Hallstatt", "Ha D1", -620, -540),) * 2, "premier âge du Fer": (("Hallstatt", None, -800, -450),) * 2, "LT C1 tardif": (("La Tène", "LT C1", -260, -200),) * 2, "Ha C et LT B1": (_TRANSITION, ("Hallstatt", "LT B1", -800, -450)), "Ha D3 - LT A": (_TRANSITION,) * 2,
+    "Hallstatt D2": (("Hallstatt", None, -800, -450), ("Hallstatt", "Ha D2", -540, -500)), "LTB": (("La Tène", "LT B", -450, -25), ("La Tène", "LT B1", -380, -320)), "laténien": (("La Tène", None, -450, -25),) * 2, "bronze final": (_NONE, ("Bronze final", None, None, None)), "-": (_NONE,) * 2, "sans rien": (_NONE,) * 2,
+    "Ha D1 puis Ha D3": (("Hallstatt", "Ha D3", -500, -450),) * 2,
+}
+_POLICY = ", ".join(f"({_lit(k)}, {', '.join(map(_lit, (*a, *b)))})" for k, (a, b) in POLICIES.items())
+
+
+@query(f"WITH p(c, p1, s1, a1, b1, p2, s2, a2, b2) AS (VALUES {_POLICY}), d AS (SELECT doc_id, {_sql_pick(tuple(POLICIES))} AS c FROM documents) SELECT doc_id, p1 AS period, s1 AS sub, CAST(a1 AS INT) AS start_year, CAST(b1 AS INT) AS end_year, p2 AS strict_period, s2 AS strict_sub, CAST(a2 AS INT) AS strict_start, CAST(b2 AS INT) AS strict_end FROM d JOIN p USING (c)")
+def worded_dating(spark, sf):
+    """Two more dialects of dating: by wording with the last sub-period, openly and strictly."""
+    c = _pick(tuple(POLICIES))
+    d = t(spark, sf, "documents").select("doc_id", rules.worded_dating(c).alias("o"), rules.worded_dating(c, strict=True, bronze=True).alias("s"))
+    return d.select("doc_id", "o.period", "o.sub", F.col("o.start").alias("start_year"), F.col("o.end").alias("end_year"), F.col("s.period").alias("strict_period"), F.col("s.sub").alias("strict_sub"), F.col("s.start").alias("strict_start"), F.col("s.end").alias("strict_end"))
