@@ -136,7 +136,7 @@ def display_cells(spark, sf):
 
 
 NOTICES = (
-    "avant\n001 - ALTKIRCH\nUn tumulus.\n(004 AH) fouille du Hallstatt D, Zehner, 1998\n002 — Colmar\n(123 AP) (124 AE) mur\n(123 AP) encore",
+    "avant\n001 - ALTKIRCH\nUn tumulus.\n(004 AH) fouille du Hallstatt D, Dupont, 1998\n002 — Colmar\n(123 AP) (124 AE) mur\n(123 AP) encore",
     "rien du tout",
     "067 - BENFELD\nvilla gallo-romaine (001 AF)\n068 - Thann \n  habitat\n",
 )
@@ -178,7 +178,7 @@ def index_entries(spark, sf):
     return e.select("doc_id", "term", F.array_join("refs", ",").alias("refs"), F.array_join("cross", ";").alias("crossed"))
 
 
-BLOCKS = ("Un mur; long texte sur le site et ses abords.\n\nZehner 1998, p. 12", "Court; p. 3", "Sans rien de cela", "Un paragraphe bien long pour le début; suite.\n\nfin sans rien")
+BLOCKS = ("Un mur; long texte sur le site et ses abords.\n\nDupont 1998, p. 12", "Court; p. 3", "Sans rien de cela", "Un paragraphe bien long pour le début; suite.\n\nfin sans rien")
 
 
 @query(f"""WITH d AS (SELECT doc_id, {_sql_pick(BLOCKS)} AS b FROM documents) SELECT doc_id, CASE WHEN contains(b, chr(10) || chr(10)) AND regexp_matches(split_part(b, chr(10) || chr(10), 2), '[0-9]{{4}}') THEN split_part(b, chr(10) || chr(10), 1) ELSE b END AS body, CASE WHEN regexp_matches(split_part(b, chr(10) || chr(10), 2), '[0-9]{{4}}') THEN split_part(b, chr(10) || chr(10), 2) ELSE '' END AS bibliography,

@@ -117,12 +117,12 @@ def test_exchange_source(spark, tmp_path):
 
 
 def test_texts_and_catalogues(spark, tmp_path):
-    (tmp_path / "n.txt").write_text("intro\n001 - ALTKIRCH\nRien ici.\n (004 AH) Au lieu-dit Berg, un tumulus du Hallstatt. Zehner, 1998\n (005 AH, 006 AH) - mur romain\n002 — COLMAR\nHabitat protohistorique.\n", encoding="utf-8")
+    (tmp_path / "n.txt").write_text("intro\n001 - ALTKIRCH\nRien ici.\n (004 AH) Au lieu-dit Berg, un tumulus du Hallstatt. Dupont, 1998\n (005 AH, 006 AH) - mur romain\n002 — COLMAR\nHabitat protohistorique.\n", encoding="utf-8")
     rows = readers.read_source(spark, str(tmp_path / "n.txt"), "cag").collect()
     got = {(r.commune, r.extra.get("lieu_dit")): r for r in rows}
     assert set(got) == {("ALTKIRCH", "004 AH"), ("COLMAR", None)}
     a = got["ALTKIRCH", "004 AH"]
-    assert a.periode_mention == "Hallstatt / tumulus" and a.extra["bibliographie"] == "Zehner, 1998" and a.type_mention == "tumulus"
+    assert a.periode_mention == "Hallstatt / tumulus" and a.extra["bibliographie"] == "Dupont, 1998" and a.type_mention == "tumulus"
     (tmp_path / "m.json").write_text('{"documents": [{"ark": "ark:/1", "title": "T", "geographic_scope": "Colmar, Haut (Thann)", "communes_mentioned": [], "mentions_found": ["oppidum de Thann"], "categories": ["Bronzes"], "relevance": "r", "year": 1900}, {"ark": "ark:/2", "title": "U", "geographic_scope": "", "communes_mentioned": ["Basel"], "mentions_found": [], "categories": [], "relevance": "", "year": null}]}')
     cat = by(readers.read_source(spark, str(tmp_path / "m.json"), "gallica_metadata"), "commune")
     assert {k: v.type_mention for k, v in cat.items()} == {"Colmar": "dépôt", "Thann": "oppidum", "Basel": None}
