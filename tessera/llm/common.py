@@ -61,6 +61,11 @@ def alnum_words(text: bytes | None) -> list[bytes]:
     return text.translate(_ALNUM).split() if text else []
 
 
+def alnum_bytes(text: bytes) -> bytes:
+    """The text with A-Z lowered and all that parts words as blanks."""
+    return text.translate(_ALNUM)
+
+
 def space_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; null has none."""
     return text.lower().split() if text else []

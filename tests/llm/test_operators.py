@@ -386,6 +386,22 @@ def test_passages_repeated_in_one_text(spark):
     assert all(r.class_id == i for i, r in got.items())
 
 
+def test_word_hashes(monkeypatch):
+    """Equal words have equal hashes wherever they stand, in one text or several, in one piece or more; others differ."""
+    rng = random.Random(4)
+    texts_ = [prose(rng, 300), "Ünï; A-b c", "", "  ", "one", "x" * 500 + " y", prose(rng, 40).upper()]
+    want = [[w.encode() for w in words(t)] for t in texts_]
+    whole = [passages.hash_words(t.encode()) for t in texts_]
+    many = passages.hash_texts([t.encode() for t in texts_])
+    monkeypatch.setattr(passages, "CHUNK_BYTES", 97)
+    cut = [passages.hash_words(t.encode()) for t in texts_]
+    seen = {}
+    for w, a, b, c in zip(want, whole, many, cut):
+        assert len(w) == len(a) and (a == b).all() and (a == c).all()
+        assert all(seen.setdefault(x, h) == h for x, h in zip(w, a.tolist()))
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_run_hashes_know_no_position():
     s = np.random.default_rng(2).integers(0, 2**63, 300).astype(np.uint64)
     at = passages.run_hashes(np.concatenate((s[200:], s)), 46)
