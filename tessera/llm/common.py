@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +67,19 @@ def alnum_bytes(text: bytes) -> bytes:
     return text.translate(_ALNUM)
 
 
+def pieces(text: bytes, most: int) -> Iterator[bytes]:
+    """The text in pieces of about ``most`` bytes, cut at blanks; a longer word stays whole."""
+    at = 0
+    while at < len(text):
+        to = min(len(text), at + most)
+        if to < len(text):  # up to the last blank; a longer word ends at the next one
+            cut = text.rfind(b" ", at, to)
+            to = cut if cut > at else text.find(b" ", to)
+            to = len(text) if to < 0 else to
+        yield text[at:to]
+        at = to + 1
+
+
 def space_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; null has none."""
     return text.lower().split() if text else []

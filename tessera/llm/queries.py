@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_sort, decontaminate, langid, licenses, mixing, passages, secrets, shard_pack, simhash_bk, toxicity
+from . import content_sort, decontaminate, fingerprints, langid, lexical, licenses, mixing, passages, secrets, shard_pack, simhash_bk, toxicity, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,28 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def whitening_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitening, the columns that SQL can say again."""
+    return whitening.deviations(table(spark, sf_dir, "embeddings"))
+
+
+def fingerprint_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints, the columns that SQL can say again."""
+    return fingerprints.compare(table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
 def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence scan, the columns that SQL can say again."""
     return licenses.scan(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
@@ -82,11 +104,13 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_exact_dedup, op3_mix_sources, op4_license_scan, op5_toxicity, op6_shard, op7_language_id, language_id_pages,
-        op8_substring_dedup, op9_simhash_near_dedup, op10_secret_scan, license_base, secret_base, shard_base,
+        op8_substring_dedup, op9_simhash_near_dedup, op10_secret_scan, op11_whitening, op12_fingerprints, op13_lexical_search,
+        license_base, secret_base, shard_base, whitening_base, fingerprint_base,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": decontaminate.SQL, "op2_exact_dedup": content_sort.SQL, "op3_mix_sources": mixing.SQL, "license_base": licenses.BASE_SQL, "secret_base": secrets.BASE_SQL,
+    "op13_lexical_search": lexical.SQL, "whitening_base": whitening.BASE_SQL, "fingerprint_base": fingerprints.BASE_SQL,
     "shard_base": "SELECT CAST(40 AS BIGINT) AS shards, CAST(sum(coalesce(strlen(text), 0) + 16) AS BIGINT) AS bytes, count(*) AS rows, true AS gapless, true AS even FROM documents",
 }

@@ -54,7 +54,7 @@ def test_stages(spark):
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_queries_equal_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
