@@ -114,16 +114,19 @@ class Templates:
         """Chain maximal matches (document end, template, its end, length), in order of their ends, into covered spans.
 
         A match goes on with the best chain of its template that ends at most MAX_GAP words before it in
-        both texts, or overlaps it by as much in both; of those that cover as much the earliest. Only
-        chains that a later match may still reach are held, so the work grows with the matches near.
+        both texts, or overlaps it by as much in both; of those that cover as much the earliest. A later
+        match may be longer and start earlier, but is no longer than its template: chains that end before
+        that reach are let go, so the work grows with the matches near.
         """
         best: dict[str, float] = {}
         spans: dict[tuple[str, int], int] = {}
         open_: dict[int, list[tuple[int, int, int, int]]] = {}  # template -> (document end, template end, covered, first word)
         for end, t, at, n in found:
-            held = [c for c in open_.get(t, ()) if c[0] >= end - n - MAX_GAP]
+            held = [c for c in open_.get(t, ()) if c[0] >= end - self.sizes[t] - MAX_GAP]
             chained = (end, at, n, end - n)
             for d, x, covered, first in held:
+                if d < end - n - MAX_GAP:
+                    continue
                 gap, skip = end - n - d, at - n - x
                 if 0 <= gap <= MAX_GAP and 0 <= skip <= MAX_GAP:
                     more = n
