@@ -16,6 +16,7 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import binary, materialise, space_words
 from .components import components
@@ -48,13 +49,13 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def _fingerprints(shingle: int, text_col: str):
+def _fingerprints(shingle: int, text_col: str, carried: tuple[str, ...]):
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             out = np.array([fingerprint(t, shingle) for t in binary(batch, text_col)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), pa.array(out)], [*carried, "fp"])
 
     return run
 
@@ -214,6 +215,17 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, most: int
     return edges.union(more.select("a", "b"))
 
 
+def _rooted(rows: DataFrame, carried: dict[str, str], radius: int, shingle: int, blocks: int) -> DataFrame:
+    """``rows`` (doc_id, text and the other columns ``carried``) without the text, with fp and component_id."""
+    shape = ", ".join([*(f"{c} {kind}" for c, kind in carried.items()), "fp long"])
+    fps = materialise(rows.mapInArrow(_fingerprints(shingle, "text", tuple(carried)), shape), "fingerprints")
+    held = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-reps")
+    found = components(links(held, radius, blocks))
+    rooted = held.join(found, held["fp"] == found["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return fps.join(rooted.join(least, "root").select("fp", "component_id"), "fp")
+
+
 def near_dedup(docs: DataFrame, *, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -222,23 +234,29 @@ def near_dedup(docs: DataFrame, *, radius: int = RADIUS, shingle: int = SHINGLE,
     (null only where no id is); equal fingerprints and repeated rows share a component; a very long text
     is hashed as a whole; an empty table gives an empty result; further columns are ignored.
     """
-    fps = materialise(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(_fingerprints(shingle, "text"), "doc_id long, fp long"), "fingerprints")
-    held = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-reps")
-    found = components(links(held, radius, blocks))
-    rooted = held.join(found, held["fp"] == found["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    return _rooted(rows, {"doc_id": "long"}, radius, shingle, blocks).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+def keep_first(docs: DataFrame, *, radius: int = RADIUS, shingle: int = SHINGLE, blocks: int = BLOCKS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component: the one with the least id, once.
 
-    Rows without an id have no place in the order and stay.
+    Rows are told apart by id and text, so texts that share an id but no component both stay; of texts
+    that share the least id of their component the one with the least hash stays, of rows that share id and text the
+    one with the least hash of all columns. Rows without an id have no place in the order and stay.
     """
-    found = materialise(near_dedup(docs, text=text, key=key, **options), "near-dedup")
-    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(dropped, docs[key] == dropped["__id"], "left_anti")
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.withColumn("__row", F.when(F.col(key).isNull(), F.monotonically_increasing_id())).dropDuplicates([key, "__row"]).drop("__row")
+    h = F.xxhash64(text)
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), h.alias("h"))
+    found = materialise(_rooted(rows, {"doc_id": "long", "h": "long"}, radius, shingle, blocks).where("doc_id is not null"), "near-dedup")
+    first = found.where("doc_id = component_id")
+    tied = first.groupBy("doc_id").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("doc_id", "least")
+    dropped = found.where("doc_id != component_id").select("doc_id", "h").unionByName(first.join(tied, "doc_id").where("h != least").select("doc_id", "h"))
+    dropped = dropped.distinct().select(F.col("doc_id").alias("__id"), F.col("h").alias("__of"))
+    kept = docs.withColumn("__h", h).join(dropped, (F.col(key) == F.col("__id")) & (F.col("__h") == F.col("__of")), "left_anti")
+    repeated = found.groupBy("doc_id", "h").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("h").alias("__of"))
+    if repeated.isEmpty():
+        return kept.drop("__h")
+    same = (F.col(key) == F.col("__id")) & (F.col("__h") == F.col("__of"))
+    place = F.row_number().over(Window.partitionBy(key, "__h").orderBy(F.xxhash64(*docs.columns)))
+    one = kept.join(repeated, same, "left_semi").withColumn("__at", place).where("__at = 1").drop("__at")
+    return kept.join(repeated, same, "left_anti").unionByName(one).drop("__h")
