@@ -12,7 +12,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +24,8 @@ SHINGLE = 5
 SIZE = 128
 #: Bytes of a text that are hashed at once.
 PIECE_BYTES = 1_000_000
+#: Rows whose fingerprints are made at once.
+STEP_ROWS = 512
 #: Sampled keys per range of the order of documents, which set the ranges' bounds.
 SAMPLED = 64
 _LAST = 2**63 - 1
@@ -110,8 +112,6 @@ def sketches(docs: DataFrame, *, text: str = "text", key: str = "doc_id", size:
     """key and sketch of each row, narrow. Null and wordless texts have an empty sketch."""
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             made = [sketch(t, size, shingle) for t in binary(batch, "text")]
             ends = np.concatenate(([0], np.cumsum([len(m) for m in made], dtype=np.int64))).astype(np.int32)
@@ -138,16 +138,16 @@ def _place(bounds: list[tuple[int, int]]) -> Callable:
     """Number of the range that a key (down, h) lies in: how many bounds are not above it."""
     first, second = (np.array(x, dtype=np.int64) for x in (zip(*bounds) if bounds else ((), ())))
 
-    def run(down: pd.Series, h: pd.Series) -> pd.Series:
+    def run(down: pa.Array, h: pa.Array) -> pa.Array:
         a, b = down.to_numpy(), h.to_numpy()
         low, high = np.searchsorted(first, a, "left"), np.searchsorted(first, a, "right")
         out = low.copy()
         for x, y in {(int(x), int(y)) for x, y in zip(low[low < high], high[low < high])}:
             tied = (low == x) & (high == y)
             out[tied] = x + np.searchsorted(second[x:y], b[tied], "right")
-        return pd.Series(out.astype(np.int32))
+        return pa.array(out.astype(np.int32))
 
-    return F.pandas_udf(run, "int")
+    return F.arrow_udf(run, "int")
 
 
 def in_order(docs: DataFrame, *, text: str = "text", key: str = "doc_id", ranges: int | None = None) -> DataFrame:
@@ -180,9 +180,9 @@ def _compare(size: int, shingle: int) -> Callable:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "contained", "n_shingles"]
 
     def pairs(batches) -> Iterator[list]:
-        """(id, text, sketch, next text, next sketch) of the rows of a batch and the one before."""
+        """(id, text, sketch, next text, next sketch) of some rows and the one before."""
         before = None
-        for batch in batches:
+        for batch in (whole.slice(at, STEP_ROWS) for whole in batches for at in range(0, whole.num_rows, STEP_ROWS)):
             out = []
             for part, peek, doc, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 same = before is not None and before[2] == text
@@ -193,8 +193,6 @@ def _compare(size: int, shingle: int) -> Callable:
             yield out
 
     def run(batches):
-        import pyarrow as pa
-
         kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 4]
         for rows in pairs(batches):
             out = []
