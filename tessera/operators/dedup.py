@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geo
-from ..functions.similarity import sorted_tokens, token_sort_ratio, unordered_ratio
+from ..functions.similarity import sorted_tokens, token_sort_ratio
+from .match import radius_join
+from .qgram import similar_texts
 
 MERGE, REVIEW = 0.85, 0.70
 #: Fields that a merged record takes from the lesser one where its own are missing.
 SCALARS = ("description", "surface_m2", "altitude_m", "statut_fouille", "commentaire_qualite")
 #: Fields of a phase that say nothing of its content.
 PHASE_IDS = ("phase_id", "site_id", "date_creation", "date_maj")
-#: Commune similarity from which a pair is found by its communes; below it, by its names.
-COMMUNE_SPLIT = 0.5
+#: Commune similarity from which a pair is found by its communes; below it, by its names or nearness.
+COMMUNE_SPLIT = 0.6
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -58,6 +60,11 @@ def composite(name: Column, commune: Column, a_geo: Column, b_geo: Column, metre
     )
 
 
+def shared_id() -> Column:
+    """Whether a_ids and b_ids hold the same known id at one place."""
+    return F.coalesce(F.exists(F.arrays_zip(F.col("a_ids").alias("l"), F.col("b_ids").alias("r")), lambda p: (p["l"] == p["r"]) & (p["l"] != "")), F.lit(False))
+
+
 def score_pairs(pairs: DataFrame, least: float = REVIEW) -> DataFrame:
     """pairs: a_/b_ columns name, commune, x, y, centroid, ids (array of external ids) -> those scoring ``least``.
 
@@ -68,8 +75,7 @@ def score_pairs(pairs: DataFrame, least: float = REVIEW) -> DataFrame:
     floor = F.when(has("a") & has("b"), (least - 0.6) / 0.4).when(~has("a") & ~has("b"), (least - 0.3) / 0.7).otherwise((least * 0.7 - 0.3) / 0.4)
     la, lb = F.length(sorted_tokens(F.col("a_name"))), F.length(sorted_tokens(F.col("b_name")))
     bound = F.when(la + lb > 0, 2 * F.least(la, lb) / (la + lb)).otherwise(1.0)
-    same = F.coalesce(F.exists(F.arrays_zip(F.col("a_ids").alias("l"), F.col("b_ids").alias("r")), lambda p: (p["l"] == p["r"]) & (p["l"] != "")), F.lit(False))
-    open_ = pairs.withColumn("same_id", same).where((bound >= floor) | F.col("same_id"))
+    open_ = pairs.withColumn("same_id", shared_id()).where((bound >= floor) | F.col("same_id"))
     scored = open_.withColumn("name_sim", token_sort_ratio(F.col("a_name"), F.col("b_name"))).withColumn("commune_sim", token_sort_ratio(F.col("a_commune"), F.col("b_commune")))
     metres = geo.distance(F.col("a_x"), F.col("a_y"), F.col("b_x"), F.col("b_y"))
     total = composite(F.col("name_sim"), F.col("commune_sim"), has("a"), has("b"), metres, F.col("a_centroid") | F.col("b_centroid"), F.col("same_id"))
@@ -83,47 +89,53 @@ def self_pairs(sites: DataFrame, order: str, block: str) -> DataFrame:
     return a.join(b, (F.col(f"a_{block}") == F.col(f"b_{block}")) & (F.col(f"a_{order}") < F.col(f"b_{order}")))
 
 
-def similar_texts(texts: DataFrame, text: str, least: float) -> DataFrame:
-    """All pairs (v, w) of distinct texts, equal ones included, whose sorted-token ratio reaches ``least``.
+def bag(text: Column) -> Column:
+    """The characters of a text's sorted tokens, each with its count so far: common elements are common characters."""
+    held = F.split(sorted_tokens(text), "")
+    marks = F.transform(F.filter(held, lambda c: c != ""), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+    return F.transform(marks, lambda x: F.concat(x["c"], F.size(F.filter(F.slice(held, F.lit(1), x["i"]), lambda y: y == x["c"])).cast("string")))
 
-    A prefix filter without loss: a ratio of at least r needs that many common characters, so of each
-    text's characters, rarest first, a prefix must meet the other's. Texts meet by equi-join on it.
-    """
-    known = texts.select(F.col(text).alias("v")).where("v is not null").distinct().withColumn("k", sorted_tokens(F.col("v")))
-    chars = known.select("k").distinct().withColumn("n", F.length("k"))
-    marks = F.expr("transform(split(k, ''), (c, i) -> concat(c, size(filter(slice(split(k, ''), 1, i + 1), x -> x = c))))")
-    marked = checkpointed(chars.select("k", "n", F.posexplode_outer(F.when(F.col("n") > 0, marks)).alias("i", "m")).drop("i"))
-    rare = marked.groupBy("m").agg(F.count(F.lit(1)).alias("f"))
-    need = F.col("n") - F.ceil(F.col("n") * least / (2 - least)) + 1
-    ordered = marked.join(rare, "m").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("f", "m"))).alias("ms"))
-    dealt = checkpointed(ordered.select("k", "n", F.explode(F.transform(F.slice("ms", F.lit(1), need.cast("int")), lambda x: x["m"])).alias("m")))
-    other = dealt.select(F.col("k").alias("k2"), F.col("n").alias("n2"), "m")
-    met = dealt.join(other, "m").where((F.col("k") < F.col("k2")) & (2 * F.least("n", "n2") >= least * (F.col("n") + F.col("n2")))).select("k", "k2").distinct()
-    near = met.where(unordered_ratio(F.col("k"), F.col("k2")) >= least)
-    near = near.union(near.select("k2", "k")).union(chars.select("k", F.col("k").alias("k2")))
-    return near.join(known, "k").select("k2", "v").join(known.select(F.col("k").alias("k2"), F.col("v").alias("w")), "k2").select("v", "w")
 
+def most_alike(a: Column, b: Column) -> Column:
+    """Upper bound of the ratio of two texts from their bags."""
+    both = F.size(a) + F.size(b)
+    return F.when(both > 0, 2 * F.size(F.array_intersect(a, b)) / both).otherwise(1.0)
 
-def candidates(sites: DataFrame, least: float = REVIEW) -> DataFrame:
-    """Pairs i < j that can score ``least``: by an external id, by similar communes, or by similar names.
 
-    With a commune similarity under COMMUNE_SPLIT the name alone must reach a level that the weights
-    give, so the union loses no pair. Every step is an equi-join. sites: ord, name, commune, ids and more.
+def candidates(sites: DataFrame, least: float = REVIEW) -> DataFrame:
+    """Pairs i < j that can score ``least``: by an external id, by alike communes, by alike names, or by nearness.
+
+    With a commune similarity under COMMUNE_SPLIT, what a pair without both positions needs of its names
+    is a level that the weights give; a pair with both and names below that level must lie within a
+    distance that they give too. So the union of the routes loses no pair, and every route is an equi-join: texts meet
+    through the q-gram index, positions through cells. What is left out again by bounds (common
+    characters for the names, the communes' similarity or the split, the distance) cannot score ``least``.
+    sites: ord, name, commune, x, y, centroid, ids.
     """
-    half = 0.3 * COMMUNE_SPLIT
-    level = min((least - half - 0.3) / 0.4, (least - half) / 0.7, (0.7 * least - half) / 0.4)
-    if level <= 0:
-        raise ValueError("the threshold is too low for candidates by name")
+    rest = 0.3 * COMMUNE_SPLIT
+    level = min((least - rest) / 0.7, (0.7 * least - rest) / 0.4)
+    near = (least - rest - 0.4 * level) / 0.3
+    if level <= 0 or near <= 0:
+        raise ValueError("the threshold is too low for candidates by name and distance")
     ids = sites.select("ord", F.posexplode("ids").alias("kind", "id")).where("id is not null and id <> ''")
-    found = ids.join(ids.select(F.col("ord").alias("o2"), "kind", "id"), ["kind", "id"]).select("ord", "o2")
-    for c, r in (("name", level), ("commune", COMMUNE_SPLIT)):
-        like = checkpointed(similar_texts(sites, c, r))
-        other = sites.select(F.col("ord").alias("o2"), F.col(c).alias("w"))
-        found = found.union(sites.select("ord", F.col(c).alias("v")).join(like, "v").join(other, "w").select("ord", "o2"))
-    pairs = found.where("ord < o2").distinct()
-    a = sites.select(*[F.col(c).alias("a_" + c) for c in sites.columns])
-    b = sites.select(*[F.col(c).alias("b_" + c) for c in sites.columns])
-    return pairs.join(a, F.col("ord") == F.col("a_ord")).join(b, F.col("o2") == F.col("b_ord")).drop("ord", "o2")
+    found = ids.join(ids.select(F.col("ord").alias("o2"), "kind", "id"), ["kind", "id"]).select("ord", "o2", F.lit(1.0).alias("c"))
+    for column, ratio in (("name", level), ("commune", COMMUNE_SPLIT)):
+        other = sites.select(F.col("ord").alias("o2"), F.col(column).alias("w"))
+        like = similar_texts(sites, column, ratio).withColumn("c", F.col("score") if column == "commune" else F.lit(COMMUNE_SPLIT))
+        found = found.union(sites.select("ord", F.col(column).alias("v")).join(like, "v").join(other, "w").select("ord", "o2", "c"))
+    located = sites.where("x is not null and y is not null").select("ord", "x", "y", bag(F.col("name")).alias("bag"))
+    by = radius_join(located, located, 50_000 * (1 - near)).where("ord < r_ord")
+    by = by.where(0.4 * most_alike(F.col("bag"), F.col("r_bag")) + rest + 0.3 * (1 - F.col("distance") / 50_000) >= least - 1e-9)
+    found = found.union(by.select("ord", F.col("r_ord").alias("o2"), F.lit(COMMUNE_SPLIT)))
+    pairs = found.where("ord < o2").groupBy("ord", "o2").agg(F.max("c").alias("c"))
+    held = sites.withColumn("bag", bag(F.col("name")))
+    a = held.select(*[F.col(c).alias("a_" + c) for c in held.columns])
+    b = held.select(*[F.col(c).alias("b_" + c) for c in held.columns])
+    wide = pairs.join(a, F.col("ord") == F.col("a_ord")).join(b, F.col("o2") == F.col("b_ord"))
+    has = lambda s: F.col(f"{s}_x").isNotNull() & F.col(f"{s}_y").isNotNull()
+    metres = geo.distance(F.col("a_x"), F.col("a_y"), F.col("b_x"), F.col("b_y"))
+    upto = composite(most_alike(F.col("a_bag"), F.col("b_bag")), F.col("c"), has("a"), has("b"), metres, F.col("a_centroid") | F.col("b_centroid"), shared_id())
+    return wide.where((upto >= least - 1e-9) | F.col("a_bag").isNull() | F.col("b_bag").isNull()).drop("ord", "o2", "c", "a_bag", "b_bag")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import chrono, geo, similarity, text
 from ..operators import dedup as D
 from ..operators import match as M
 from ..operators import rows as R
+from ..operators.qgram import similar_texts
 from .common import LAT, LON, XY, lat, lon, metre_x, metre_y, t
 from .relational import query
 
@@ -207,9 +208,9 @@ sc AS (SELECT a, b, 2.0::DOUBLE * row[len(row)] / (length(x) + length(y)) AS sco
 
 @query(f"WITH {_LCS} SELECT a, b, round(score, 6) AS score FROM sc WHERE score >= 0.6::DOUBLE AND a IN (SELECT p_name FROM part) AND b IN (SELECT p_name FROM part)")
 def token_sort_similarity(spark, sf):
-    """Distinct names whose ratio reaches 0.6; they meet by common characters, not all by all."""
-    near = D.similar_texts(t(spark, sf, "part"), "p_name", 0.6).where("v < w")
-    return near.select(F.col("v").alias("a"), F.col("w").alias("b"), F.round(similarity.token_sort_ratio(F.col("v"), F.col("w")), 6).alias("score"))
+    """Distinct names whose ratio reaches 0.6; they meet through the q-gram index, not all by all."""
+    near = similar_texts(t(spark, sf, "part"), "p_name", 0.6).where("v < w")
+    return near.select(F.col("v").alias("a"), F.col("w").alias("b"), F.round("score", 6).alias("score"))
 
 
 def _named_sites(spark, sf):
