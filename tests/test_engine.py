@@ -131,9 +131,22 @@ def test_guarded_sql(spark):
         "DROP TABLE sites", "CREATE VIEW v AS SELECT 1", "SET x = 1", "SHOW TABLES", "SELECT reflect('java.lang.System', 'currentTimeMillis')", "SELECT (SELECT java_method('java.lang.System', 'getenv', 'HOME'))",
         "SELECT * FROM parquet.`/tmp/x`", "SELECT * FROM sites WHERE id IN (SELECT id FROM csv.`/etc/passwd`)", "WITH a AS (SELECT * FROM text.`/etc/passwd`) SELECT * FROM a", "SELECT * FROM other", "INSERT INTO sites VALUES (1)",
     )
-    for bad in bad_:
-        with pytest.raises(api.NotAQuery):
-            api.guarded_sql(spark, bad)
+    bad_ += (
+        "SELECT * FROM secret WHERE EXISTS (WITH secret AS (SELECT 1 a) SELECT * FROM secret)", "WITH a AS (SELECT * FROM b), b AS (SELECT 1 x) SELECT * FROM a", "SELECT * FROM (WITH c AS (SELECT 1 x) SELECT * FROM c) JOIN c",
+        "SELECT current_database()", "SELECT current_catalog()", "SELECT current_user", "SELECT user() FROM sites", "SELECT version()", "SELECT input_file_name() FROM sites", "SELECT spark_catalog.default.f(1)", "SELECT mine(1)",
+        "SELECT * FROM IDENTIFIER('secret')", "SELECT id FROM sites WHERE id > (SELECT count(*) FROM secret)", "WITH RECURSIVE r AS (SELECT 1 x UNION ALL SELECT x FROM secret) SELECT * FROM r",
+    )
+    spark.udf.register("mine", lambda x: x)
+    spark.sql("CREATE TABLE IF NOT EXISTS secret USING parquet AS SELECT 'hidden' AS v")
+    try:
+        for bad in bad_:
+            with pytest.raises(api.NotAQuery):
+                api.guarded_sql(spark, bad)
+    finally:
+        spark.sql("DROP TABLE secret")
+    good = "WITH a AS (SELECT id FROM sites), b AS (SELECT id FROM a WHERE id > 0) SELECT upper(cast(max(id) AS string)) AS m, sum(CASE WHEN id = 1 THEN 1 END) AS n, array_sort(collect_list(id)) AS x, current_date() AS d FROM b"
+    assert api.guarded_sql(spark, good).first()[:3] == ("2", 1, [1, 2])
+    assert api.guarded_sql(spark, "SELECT id, row_number() OVER (ORDER BY id) AS r, date_add(DATE'2024-01-01', 1) AS d FROM sites WHERE EXISTS (WITH sites2 AS (SELECT 1 a) SELECT * FROM sites2)").count() == 3
 
 
 def test_sources_and_sinks(spark, tmp_path):
