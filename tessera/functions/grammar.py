@@ -32,11 +32,11 @@ def notices(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 def sub_notices(found: DataFrame) -> DataFrame:
     """found (number, commune, body, ...) by coded parts: code ('' for what stands before the first), part."""
-    code = r"^\s*\((\d{3}\s*[A-Z]{2}(?:,\s*\d{3}\s*[A-Z]{2})*)\)"
-    # A mark before each coded line start keeps the code with its part.
-    parts = F.split(F.regexp_replace(F.concat(F.lit("\n"), F.col("body")), r"\n(?=\s*\(\d{3}\s*[A-Z]{2}(?:,\s*\d{3}\s*[A-Z]{2})*\))", "\u0001"), "\u0001")
+    # A mark before each coded line keeps the code with its part.
+    marked = F.regexp_replace(F.concat(F.lit("\n"), F.col("body")), f"(?={vocab.SUB_NOTICE})", "\u0001")
+    parts = F.split(marked, "\u0001")
     exploded = found.select(*found.columns, F.posexplode(parts).alias("part_no", "part")).where(F.trim(F.regexp_replace("part", r"\s+", " ")) != "")
-    return exploded.withColumn("code", F.regexp_extract("part", code, 1)).withColumn("part", F.trim(F.regexp_replace("part", r"^\s+|\s+$", "")))
+    return exploded.withColumn("code", F.regexp_extract("part", "^" + vocab.SUB_NOTICE, 1)).withColumn("part", F.trim(F.regexp_replace("part", r"^\s+|\s+$", "")))
 
 
 def notice_records(parts: DataFrame) -> DataFrame:
@@ -83,19 +83,11 @@ def split_bibliography(block: Column) -> Column:
     return F.struct(F.when(good, F.regexp_replace(F.substring(block, F.lit(1), at), r"^\s+|\s+$", "")).otherwise(block).alias("text"), F.when(good, tail).otherwise("").alias("bibliography"))
 
 
-_CAPITAL = "[A-ZÀÂÄÉÈÊËÏÎÔÙÛÜÇŒÆ]"
-_WORD = r"[\wÀ-ÿ'\-]+"
-#: A place name, site words and finding verbs of the running-text grammar.
-_PLACE = rf"({_CAPITAL}{_WORD}(?:\s*[-–]\s*{_WORD})?(?:\s+(?:de|d'|du|la|le|les|sur|sous|am|bei|im)\s+{_WORD}){{0,2}}(?:\s+{_CAPITAL}{_WORD}){{0,2}})"
-_SITE = (
-    r"(habitat|oppidum|nécropole|necropole|tumulus|enceinte|établissement|etablissement|sépulture|sepulture|nécropoles|necropoles|site\s+archéologique|site\s+archeologique|"
-    r"tumuli|oppida|habitats|sanctuaire|atelier|dépôt|depot|fortification|fossé|fosse|camp|castellum|villa|vicus|ferme|grange|four|fourneau|mine|carrière|rempart|murus)"
-)
-_FOUND = r"(?:fouill[eé]s?|découvert[es]?|trouvé[es]?|mis\s+au\s+jour|exhumé[es]?).{0,60}?(?:à|de|près\s+de)\s+"
+#: (grammar, pattern, group of the place, group of the kind): place then kind, kind then place, a finding verb before a place.
 MENTION_PATTERNS = (
-    ("place_first", rf"(?is){_PLACE}.{{0,160}}?\b{_SITE}\b", 1, 2),
-    ("type_first", rf"(?is)\b{_SITE}\b(?:\s+(?:de|du|d'|des|à|a|près\s+de|near|bei|von|in)\s+)?.{{0,80}}?{_PLACE}", 2, 1),
-    ("found", rf"(?is){_FOUND}{_PLACE}", 1, 0),
+    ("place_first", rf"(?is){vocab.PLACE_NAME}.{{0,160}}?\b({vocab.SITE_WORDS})\b", 1, 2),
+    ("type_first", rf"(?is)\b({vocab.SITE_WORDS})\b{vocab.BEFORE_PLACE}.{{0,80}}?{vocab.PLACE_NAME}", 2, 1),
+    ("found", rf"(?is){vocab.FINDING}{vocab.PLACE_NAME}", 1, 0),
 )
 
 

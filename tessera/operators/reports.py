@@ -7,6 +7,7 @@ from collections.abc import Collection, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .. import vocab
 from ..functions import rules
@@ -115,14 +116,20 @@ def source_context(path: Column, database: Column) -> Column:
 
 
 def enum_columns(df: DataFrame, k: int = 30) -> list[str]:
-    """Columns whose first k values (by content) are oui, non, probable or indeterminate; a bounded look at the metadata."""
-    skip = ("genre", "sexe", "datation", "mobilier", "c14", "phase", "site", "n_st", "nmi", "individu", "dpt")
+    """Columns whose first k values (by content) are oui, non, probable or indeterminate.
+
+    A window's limit keeps k values a column before the shuffle and after it: no more reach the driver.
+    """
     known = {"oui", "non", "probable", "indéterminé", "indetermine", "*", ""}
-    open_ = [c for c, t in df.dtypes if t == "string" and not any(s in c.lower() for s in skip)]
+    open_ = [c for c, t in df.dtypes if t == "string" and not any(s in c.lower() for s in vocab.NOT_ENUMS)]
     if not open_:
         return []
-    row = df.agg(*[F.slice(F.array_sort(F.collect_set(F.lower(F.trim(F.col(f"`{c}`"))))), 1, k).alias(c) for c in open_]).first()
-    return [c for c in open_ if row[c] and (set(row[c]) <= known or (len(row[c]) <= 6 and set(row[c]) & {"oui", "non", "probable", "indéterminé"}))]
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lower(F.trim(F.col(f"`{c}`"))).alias("v")) for c in open_])).alias("x")).select("x.*")
+    first = cells.where("v is not null").distinct().withColumn("at", F.row_number().over(Window.partitionBy("c").orderBy("v"))).where(F.col("at") <= k)
+    held: dict[str, set[str]] = {}
+    for c, v in first.select("c", "v").collect():
+        held.setdefault(c, set()).add(v)
+    return [c for c in open_ if (h := held.get(c)) and (h <= known or (len(h) <= 6 and h & {"oui", "non", "probable", "indéterminé"}))]
 
 
 def normalise_enums(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from .. import vocab
 from ..functions import grammar
 from ..operators import aggregate as A
 from ..operators import reports as P
+from ..operators.dedup import checkpointed
 from .common import t
 from .domain import _pick, _sql_pick
 from .relational import query
@@ -46,8 +47,8 @@ def sample_rows(spark, sf):
 
 @query("SELECT c_custkey AS id, CAST(row_number() OVER (ORDER BY c_name NULLS LAST, c_custkey) AS INT) AS place FROM customer")
 def ordered_by_name(spark, sf):
-    """Names in order, with their places: ranges are sorted apart and numbered by the rows before each."""
-    named = t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name").orderBy(F.asc_nulls_last("c_name"), "id").withColumn("p", F.spark_partition_id())
+    """Names in order, with their places: ranges are sorted apart, written once and numbered by the rows before each."""
+    named = checkpointed(t(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name").orderBy(F.asc_nulls_last("c_name"), "id").withColumn("p", F.spark_partition_id()))
     sizes = named.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.alias("a").join(F.broadcast(sizes.alias("b")), F.col("b.p") < F.col("a.p"), "left").groupBy("a.p").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
     from pyspark.sql.window import Window

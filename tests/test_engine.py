@@ -1,13 +1,14 @@
 """Value tables of the domain functions, dedup scenarios, sinks and the query door."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera import api, vocab
-from tessera.functions import chrono, geo, similarity, text
-from tessera.operators import dedup, match
+from tessera.functions import chrono, geo, rules, similarity, text
+from tessera.operators import dedup, match, qgram, reports
 from tessera.sources import readers, writers
 
 
@@ -123,6 +124,53 @@ def test_plans(spark, tmp_path):
     assert joined.count() == a.alias("l").crossJoin(a.alias("r")).where("sqrt(pow(l.x - r.x, 2) + pow(l.y - r.y, 2)) <= 5").count()
 
 
+@pytest.mark.parametrize("most", [10_000, 40, 7])
+def test_radius_join_over_quadtrees(spark, most):
+    """Every pair once, however far hot cells are split; points of one spot and without a position included."""
+    rng = random.Random(4)
+    points = [(i, rng.uniform(0, 300), rng.uniform(0, 300)) for i in range(150)] + [(150 + i, 100 + rng.gauss(0, 4), 100 + rng.gauss(0, 4)) for i in range(200)] + [(350 + i, 55.0, 55.0) for i in range(60)] + [(500, None, 1.0), (501, 1.0, None)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    want = {(a[0], b[0]) for a in points for b in points if None not in a + b and math.dist(a[1:], b[1:]) <= 30}
+    joined = match.radius_join(df, df, 30.0, most=most)
+    got = [(r.id, r.r_id) for r in joined.select("id", "r_id").collect()]
+    assert len(got) == len(want) and set(got) == want and "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_cell_is_many_keys(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 141).cast("double").alias("x"), (F.col("id") % 139).cast("double").alias("y"), F.lit(0).cast("long").alias("__cx"), F.lit(0).cast("long").alias("__cy"))
+    leaves = match._quadrants(df, 150.0, "x", "y", 500).first()["__leaves"]
+    assert 40 <= sum(q.salts for q in leaves) < 400 and len({q.code for q in leaves}) == len(leaves)
+    spot = df.withColumns({"x": F.lit(3.0), "y": F.lit(3.0)})
+    assert [q.salts for q in match._quadrants(spot, 150.0, "x", "y", 500).first()["__leaves"]] == [40]
+
+
+def test_similar_texts_lose_no_pair(spark):
+    """The q-gram index against all pairs, over short, long, empty, equal and accented texts."""
+    rng = random.Random(9)
+    names = {" ".join("".join(rng.choices("abcdeéilnorst", k=rng.randint(1, 9))) for _ in range(rng.randint(1, 4))) for _ in range(160)}
+    for x in sorted(names)[:60]:
+        y = list(x)
+        for _ in range(rng.randint(1, 4)):
+            i = rng.randrange(len(y) + 1)
+            y[i : i + rng.randrange(2)] = rng.choice(["", "x", "a", "st"])
+        names.add("".join(y))
+    names |= {"", " ", "a", "b a", "a b", "ab" * 60, "ab" * 59 + "ba"}
+    key = lambda t: " ".join(sorted(t.split()))
+    df = spark.createDataFrame([(n,) for n in names] + [(None,), ("a b",)], "t string")
+    for least in (0.55, 0.72, 0.85, 0.95):
+        got = {(r.v, r.w): r.score for r in qgram.similar_texts(df, "t", least).collect()}
+        want = {(a, b): s for a in names for b in names if (s := similarity.ratio(key(a), key(b))) >= least}
+        assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-12 for p in want)
+
+
+def test_candidates_of_varied_names_are_few(spark):
+    """Over 3,000 names of syllables, no candidate list grows near the number of names."""
+    rng = random.Random(4)
+    parts = [a + b for a in "bcdfghjklmnprstvz" for b in ("a", "e", "i", "o", "u", "an", "er", "in")]
+    names = {" ".join(sorted("".join(rng.choices(parts, k=rng.randint(2, 4))) for _ in range(rng.randint(1, 3)))) for _ in range(3000)}
+    assert qgram.met(spark.createDataFrame([(n,) for n in names], "k string"), 0.85).count() < 2 * len(names)
+
+
 def test_guarded_sql(spark):
     spark.range(3).createOrReplaceTempView("sites")
     assert api.guarded_sql(spark, "WITH a AS (SELECT id FROM sites) SELECT count(*) FROM a WHERE id > 0").first()[0] == 2
@@ -159,3 +207,20 @@ def test_sources_and_sinks(spark, tmp_path):
     sites = spark.createDataFrame([("s1", "n", "FR", "c", "habitat", 1e6, 6.8e6, "exact", [("Hallstatt", None, None, None), ("La Tène", None, None, None)], [("ref",)]), ("s2", "m", "FR", "c", "habitat", None, None, "approx", [], [])], "site_id string, nom_site string, pays string, commune string, type_site string, x_l93 double, y_l93 double, precision_localisation string, phases array<struct<periode:string,sous_periode:string,datation_debut:int,datation_fin:int>>, sources array<struct<reference:string>>")
     assert writers.denormalised(sites).count() == 3 and writers.features(sites).count() == 1
     assert {k: v.count() for k, v in writers.relational(sites).items()} == {"sites": 2, "phases": 2, "sources": 1}
+
+
+def test_two_headers_leave_equal_rows(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("Site;;Date\nname;code;\nx;1;2\nname;code;\nSite;;Date\n", encoding="utf-8")
+    df = readers.read_two_headers(spark, str(tmp_path / "t.csv"))
+    assert df.columns == ["Site.name", "Site.code", "Date"] and sorted(tuple(r)[:2] for r in df.collect()) == [("Site", None), ("name", "code"), ("x", "1")]
+
+
+def test_spelling_of_sub_periods(spark):
+    told = {"ltb": "LT B", "LTB2": "LT B2", " Ha D 3 ": "Ha D3", "HaC": "Ha C", "ha d1 / lta": "Ha D1 / LT A", "LT   C1-ltd": "LT C1-LT D", "Ha D 4": "Ha D 4", "Ha d": "Ha d", "": "", "LT": "LT"}
+    df = spark.createDataFrame([(k,) for k in told], "c string")
+    assert {r.c: r.t for r in df.select("c", rules.sub_period_spelling(F.col("c")).alias("t")).collect()} == told
+
+
+def test_columns_of_yes_and_no(spark):
+    df = spark.createDataFrame([("oui", "Oui ", "x", "oui"), ("non", None, "y", "non")] * 3 + [("probable", "*", "oui", "non")], "a string, b string, c string, site string")
+    assert reports.enum_columns(df) == ["a", "b", "c"] and reports.enum_columns(df.select("site")) == []
