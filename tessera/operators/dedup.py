@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +10,7 @@ from ..functions import geo
 from ..functions.similarity import sorted_tokens, token_sort_ratio
 from .match import radius_join
 from .qgram import similar_texts
+from .shared import checkpointed
 
 MERGE, REVIEW = 0.85, 0.70
 #: Fields that a merged record takes from the lesser one where its own are missing.
@@ -25,26 +21,6 @@ PHASE_IDS = ("phase_id", "site_id", "date_creation", "date_maj")
 COMMUNE_SPLIT = 0.6
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Written to the shared checkpoint folder (spark.checkpoint.dir) and read back.
-
-    Only a session on one machine gets a folder of its own where none is set.
-    """
-    spark = df.sparkSession
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    root = spark.conf.get("spark.checkpoint.dir", None) or (held.get() if held.isDefined() else None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        made = tempfile.mkdtemp(prefix="tessera-")
-        atexit.register(shutil.rmtree, made, ignore_errors=True)
-        root = "file://" + made
-        spark.sparkContext.setCheckpointDir(root)
-    path = f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def nearness(metres: Column, centroid: Column) -> Column:
     """1 - d / 50 km, 0 beyond; halved where either position is a centroid."""
     return (1 - F.least(metres / 1000, F.lit(50.0)) / 50) * F.when(centroid, 0.5).otherwise(1.0)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import geo
+from ..functions import geo, scanner
 from ..functions.text import slug
+from .shared import checkpointed
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -125,12 +127,37 @@ def decision(n: Column) -> Column:
     return F.when(n == 0, "new").when(n == 1, "merge").otherwise("review")
 
 
-def longest_contained(left: DataFrame, text: str, needles: DataFrame, needle: str, *, prefix: bool = False) -> DataFrame:
-    """Each left row with the longest needle its text contains (or starts with); the needles are a vocabulary."""
-    test = F.col(text).startswith(F.col(needle)) if prefix else F.contains(F.col(text), F.col(needle))
-    keyed = left.withColumn("__k", F.monotonically_increasing_id())
-    best = keyed.join(F.broadcast(needles.select(needle)), test).groupBy("__k").agg(F.max_by(needle, F.struct(F.length(needle), F.col(needle))).alias("found"))
-    return keyed.join(best, "__k", "left").drop("__k")
+def _blocks(words: DataFrame, word: str, most: int) -> Iterator[list[str]]:
+    """A vocabulary in order, by its first symbols, in blocks of about ``most`` characters; the driver holds one."""
+    block, size = [], 0
+    for (w,) in words.select(word).orderBy(word).toLocalIterator():
+        if block and size + len(w) > most:
+            yield block
+            block, size = [], 0
+        block.append(w)
+        size += len(w)
+    if block:
+        yield block
+
+
+def longest_contained(left: DataFrame, text: str, needles: DataFrame, needle: str, *, prefix: bool = False, most: int = scanner.BLOCK_CHARS) -> DataFrame:
+    """Each left row with the longest needle its text contains (or starts with) as ``found``; null without any.
+
+    One pass of an Aho-Corasick automaton over each text, no join. A vocabulary of over ``most`` characters
+    is broadcast in blocks, one at a time, each of which reads the texts again; of what they find, the rows keep the longest.
+    """
+    spark = left.sparkSession
+    words = needles.select(F.col(needle).alias("w")).where("w is not null").distinct()
+    if (words.agg(F.sum(F.length("w"))).first()[0] or 0) <= most:
+        held = spark.sparkContext.broadcast(scanner.Scanner([w for (w,) in words.collect()]))
+        return left.withColumn("found", scanner.longest(F.col(text), held, prefix))
+    rows, parts = checkpointed(left.withColumn("__k", F.monotonically_increasing_id())), []
+    for block in _blocks(words, "w", most):
+        held = spark.sparkContext.broadcast(scanner.Scanner(block))
+        parts.append(checkpointed(rows.select("__k", scanner.longest(F.col(text), held, prefix).alias("found")).where("found is not null")))
+        held.destroy()
+    best = reduce(DataFrame.union, parts).groupBy("__k").agg(F.max_by("found", F.struct(F.length("found"), F.col("found"))).alias("found"))
+    return rows.join(best, "__k", "left").drop("__k")
 
 
 def upsert_by_source(old: DataFrame, new: DataFrame, source: str) -> DataFrame:

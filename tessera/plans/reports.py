@@ -8,7 +8,7 @@ from .. import vocab
 from ..functions import grammar
 from ..operators import aggregate as A
 from ..operators import reports as P
-from ..operators.dedup import checkpointed
+from ..operators.shared import checkpointed
 from .common import t
 from .domain import _pick, _sql_pick
 from .relational import query

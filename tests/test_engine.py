@@ -224,3 +224,20 @@ def test_spelling_of_sub_periods(spark):
 def test_columns_of_yes_and_no(spark):
     df = spark.createDataFrame([("oui", "Oui ", "x", "oui"), ("non", None, "y", "non")] * 3 + [("probable", "*", "oui", "non")], "a string, b string, c string, site string")
     assert reports.enum_columns(df) == ["a", "b", "c"] and reports.enum_columns(df.select("site")) == []
+
+
+def test_vocabulary_scan(spark):
+    """The longest word against plain search, with one automaton and with blocks; ties, empty words, nulls, no join."""
+    rng = random.Random(2)
+    words = {"".join(rng.choices("abcé ", k=rng.randint(1, 5))) for _ in range(80)} | {"ab", "ba"}
+    rows = [(i, "".join(rng.choices("abcdé ", k=rng.randint(0, 40)))) for i in range(200)] + [(900, None), (901, ""), (901, "")]
+    df, v = spark.createDataFrame(rows, "id int, t string"), spark.createDataFrame([(w,) for w in words] * 2 + [(None,)], "w string")
+    for prefix in (False, True):
+        want = sorted((i, t, None if t is None else max((w for w in words if (t.startswith(w) if prefix else w in t)), key=lambda w: (len(w), w), default=None)) for i, t in rows)
+        for most in (10**6, 40):
+            got = match.longest_contained(df, "t", v, "w", prefix=prefix, most=most)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+        assert "Join" not in match.longest_contained(df, "t", v, "w", prefix=prefix)._jdf.queryExecution().executedPlan().toString()
+    blank = match.longest_contained(df, "t", v.union(spark.createDataFrame([("",)], "w string")), "w")
+    assert blank.where("t is not null and found is null").count() == 0
+    assert match.longest_contained(df, "t", v.limit(0), "w").where("found is not null").count() == 0
