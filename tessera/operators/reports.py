@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +47,9 @@ def samples(df: DataFrame, order: Sequence[Column], k: int = 20) -> DataFrame:
 def column_report(df: DataFrame, k: int = 3) -> DataFrame:
     """Profile with the type of each column, its share of nulls in percent and its k least values as text."""
     kinds = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
-    least = [F.array_join(F.slice(F.array_sort(F.collect_set(F.substring(F.col(f"`{c}`").cast("string"), 1, 100))), 1, k), "; ").alias(c) for c in df.columns]
-    held = df.agg(*least).select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("sample_values")) for c in df.columns])).alias("s")).select("s.*")
-    return profile(df).join(held, "column_name").withColumn("dtype", F.try_element_at(kinds, F.col("column_name"))).withColumn("null_pct", F.when(F.col("n_rows") > 0, F.round(100 * F.col("n_null") / F.col("n_rows"), 1)))
+    least = [df.select(F.lit(c).alias("column_name"), F.substring(F.col(f"`{c}`").cast("string"), 1, 100).alias("v")).where("v is not null").distinct().orderBy("v").limit(k) for c in df.columns]
+    held = reduce(DataFrame.union, least).groupBy("column_name").agg(F.array_join(F.array_sort(F.collect_list("v")), "; ").alias("sample_values"))
+    return profile(df).join(held, "column_name", "left").withColumn("sample_values", F.coalesce("sample_values", F.lit(""))).withColumn("dtype", F.try_element_at(kinds, F.col("column_name"))).withColumn("null_pct", F.when(F.col("n_rows") > 0, F.round(100 * F.col("n_null") / F.col("n_rows"), 1)))
 
 
 def lowest_filled(profile_rows: DataFrame, k: int = 5) -> DataFrame:

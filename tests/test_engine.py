@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera import api, vocab
 from tessera.functions import chrono, geo, rules, similarity, text
-from tessera.operators import dedup, match, qgram, reports
+from tessera.operators import aggregate, dedup, match, qgram, reports
 from tessera.sources import readers, writers
 
 
@@ -241,3 +241,19 @@ def test_vocabulary_scan(spark):
     blank = match.longest_contained(df, "t", v.union(spark.createDataFrame([("",)], "w string")), "w")
     assert blank.where("t is not null and found is null").count() == 0
     assert match.longest_contained(df, "t", v.limit(0), "w").where("found is not null").count() == 0
+
+
+def test_profile_without_expand(spark):
+    df = spark.createDataFrame([(i % 5 if i % 4 else None, f"v{i % 300}", float(i)) for i in range(4000)], "a int, b string, c double").repartition(6)
+    exact, told = aggregate.profile(df), aggregate.estimates(aggregate.sketches(df), 2)
+    for made in (exact, told):
+        assert "Expand" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {r.column_name: (r.n_null, r.n_distinct, r.n_rows) for r in exact.collect()} == {"a": (1000, 5, 4000), "b": (0, 300, 4000), "c": (0, 4000, 4000)}
+    parts = aggregate.estimates(aggregate.merged_sketches(aggregate.sketches(df.withColumn("p", F.spark_partition_id() % 3), ["p"])), 2)
+    for made in (told, parts):
+        got = {r.column_name: r for r in made.collect()}
+        assert {c: (r.n_rows, r.n_null) for c, r in got.items()} == {"a": (4000, 1000), "b": (4000, 0), "c": (4000, 0)}
+        assert got["a"].n_distinct == 5 and abs(got["b"].n_distinct - 300) <= 15 and abs(got["c"].n_distinct - 4000) <= 200
+        assert got["b"].median is None and abs(got["c"].median - 2000) <= 140 and {x.value for x in got["a"].top} <= set("01234")
+    none = spark.createDataFrame([], "a int, b string")
+    assert [tuple(r)[1:4] for r in aggregate.profile(none).collect()] == [(0, 0, 0)] * 2 and aggregate.estimates(aggregate.sketches(none)).count() == 2
