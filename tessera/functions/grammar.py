@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import vocab
+from ..operators.machine import running_count
 from .text import mentions, site_type
 
 
 def islands(lines: DataFrame, doc: str, order: str, line: str, start: Column) -> DataFrame:
     """lines with ``island``: the number of start lines up to each (0 before the first)."""
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("island", F.sum(F.when(start, 1).otherwise(0)).over(w))
+    return running_count(lines, doc, order, start, "island")
 
 
 def lines_of(docs: DataFrame, doc: str, text: str) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import vocab
 from ..functions import chrono, geo, text
+from .machine import running_count, states
 
 
 def area_ok(country: Column, department: Column, departments: Sequence[int] | None = (67, 68), countries: Sequence[str] | None = ("FR", "DE", "CH")) -> Column:
@@ -64,14 +64,11 @@ def normalise(raw: DataFrame) -> DataFrame:
 
 def sections(lines: DataFrame, doc: str, order: str, line: str, header: str) -> DataFrame:
     """Lines grouped into sections: from a header match to the next (lines before the first are section 0)."""
-    n = F.sum(F.when(F.col(line).rlike(header), 1).otherwise(0)).over(Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return lines.withColumn("section", n).groupBy(doc, "section").agg(F.array_sort(F.collect_list(F.struct(order, line))).alias("l")).select(doc, "section", F.array_join(F.transform("l", lambda s: s[line]), "\n").alias("body"), F.size("l").alias("n_lines"))
+    marked = running_count(lines, doc, order, F.col(line).rlike(header), "section")
+    return marked.groupBy(doc, "section").agg(F.array_sort(F.collect_list(F.struct(order, line))).alias("l")).select(doc, "section", F.array_join(F.transform("l", lambda s: s[line]), "\n").alias("body"), F.size("l").alias("n_lines"))
 
 
 def blank_cutoff(pages: DataFrame, doc: str, page: str, blank: Column, run: int = 3) -> DataFrame:
-    """Pages up to the end of the first run of ``run`` blank ones."""
-    w = Window.partitionBy(doc).orderBy(page)
-    marked = pages.withColumn("__b", blank.cast("int")).withColumn("__i", F.sum(1 - F.col("__b")).over(w))
-    marked = marked.withColumn("__r", F.sum("__b").over(Window.partitionBy(doc, "__i").orderBy(page)))
-    stop = F.sum(F.when((F.col("__b") == 1) & (F.col("__r") >= run), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return marked.withColumn("__s", F.coalesce(stop, F.lit(0))).where("__s = 0").drop("__b", "__i", "__r", "__s")
+    """Pages up to the end of the first run of ``run`` blank ones: a machine that counts them and stops there."""
+    table = [[0, i + 1] for i in range(run)] + [[run, run]]
+    return states(pages, doc, page, F.coalesce(blank, F.lit(False)).cast("int"), table).where(F.col("before") < run).drop("before", "after")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera import api, vocab
 from tessera.functions import chrono, geo, rules, similarity, text
-from tessera.operators import aggregate, dedup, match, qgram, reports
+from tessera.operators import aggregate, dedup, machine, match, qgram, reports
 from tessera.sources import readers, writers
 
 
@@ -257,3 +257,24 @@ def test_profile_without_expand(spark):
         assert got["b"].median is None and abs(got["c"].median - 2000) <= 140 and {x.value for x in got["a"].top} <= set("01234")
     none = spark.createDataFrame([], "a int, b string")
     assert [tuple(r)[1:4] for r in aggregate.profile(none).collect()] == [(0, 0, 0)] * 2 and aggregate.estimates(aggregate.sketches(none)).count() == 2
+
+
+@pytest.mark.parametrize("piece", [1, 7, 4096])
+def test_machines_over_pieces(spark, piece):
+    """Counts and states equal a plain run over each document, in pieces of any length."""
+    rng = random.Random(piece)
+    lines = [(d, i, rng.randrange(3), f"t{i}") for d in (1, 2, None) for i in range(60)] + [(3, 5, 1, None)]
+    rng.shuffle(lines)
+    df = spark.createDataFrame(lines, "d long, i int, y int, t string").repartition(5)
+    table = [[0, 1, 2], [2, 1, 0], [2, 2, 1]]
+    want, counts = {}, {}
+    for d in (1, 2, None, 3):
+        state, n = 1, 0
+        for _, i, y, t in sorted((x for x in lines if x[0] == d), key=lambda x: x[1]):
+            before, state, n = state, table[state][y], n + (y == 2)
+            want[d, i], counts[d, i] = (t, before, state), n
+    got = {(r.d, r.i): (r.t, r.before, r.after) for r in machine.states(df, "d", "i", F.col("y"), table, start=1, piece=piece).collect()}
+    assert got == want
+    counted = machine.running_count(df, "d", "i", F.col("y") == 2, "n", piece)
+    assert counted.columns == [*df.columns, "n"] and {(r.d, r.i): r.n for r in counted.collect()} == counts
+    assert machine.states(df.limit(0), "d", "i", F.col("y"), table, piece=piece).count() == 0
