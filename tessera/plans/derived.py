@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import rules
 from ..operators import match as M
 from ..operators import rows as R
+from ..operators import search as S
+from ..operators.shared import shared_dir
 from ..sources import typed
+from ..sources.keyed import KeyedTable
 from .common import t
 from .domain import _pick, _sql_pick
 from .relational import query
@@ -133,6 +138,38 @@ def term_index(spark, sf):
     return d.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
+_WORDS = "list_distinct(regexp_extract_all(lower(text), '[a-z]{7,}'))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), q AS (SELECT item_id, list_sort({_WORDS})[1:3] AS ts FROM benchmark)
+SELECT item_id AS query, doc_id AS doc FROM q JOIN d ON len(ts) > 0 AND list_has_all(w, ts)""")
+def search_all_words(spark, sf):
+    """Documents that hold the first three long words, in order, of each benchmark item."""
+    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(S.WORD), 0)))
+    asked = t(spark, sf, "benchmark").select(F.col("item_id").alias("query"), F.slice(words, 1, 3).alias("terms"))
+    return S.all_of(S.postings(t(spark, sf, "documents"), "doc_id", "text"), asked)
+
+
+@query("""SELECT id, CASE WHEN id % 3 = 0 THEN 'late' ELSE 'early' END AS state, total FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS total FROM orders) WHERE id % 2 = 0 OR id % 3 = 0""")
+def keyed_upserts(spark, sf):
+    """A keyed table after two writes, read back: every second order, then every third in a later state."""
+    o = t(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.lit("early").alias("state"), F.col("o_totalprice").alias("total"))
+    table = KeyedTable(spark, f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}")
+    table.replace(o.where("id % 2 = 0"), ["id"])
+    table.replace(o.where("id % 3 = 0").withColumns({"state": F.lit("late"), "total": F.col("total") * 2}), ["id"])
+    return table.read()
+
+
+@query("""SELECT c_mktsegment AS source, CAST(c_custkey AS VARCHAR) AS ref FROM customer WHERE c_mktsegment <> 'BUILDING' UNION ALL SELECT 'BUILDING', 's' || s_suppkey FROM supplier""")
+def keyed_by_source(spark, sf):
+    """A keyed table whose rows of one source were written again, read back."""
+    c = t(spark, sf, "customer").select(F.col("c_mktsegment").alias("source"), F.col("c_custkey").cast("string").alias("ref"))
+    table = KeyedTable(spark, f"{shared_dir(spark)}/keyed-{uuid.uuid4().hex}")
+    table.replace(c, ["source"])
+    table.replace(t(spark, sf, "supplier").select(F.lit("BUILDING").alias("source"), F.concat(F.lit("s"), "s_suppkey").alias("ref")), ["source"])
+    return table.read()
+
+
 #: Worded datings with what the open and the strict policy make of them.
 _NONE = (vocab.UNKNOWN, None, None, None)
 _TRANSITION = ("Hallstatt", "Ha D3 / LT A", -500, -400)

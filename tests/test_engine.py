@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera import api, vocab
 from tessera.functions import chrono, geo, rules, similarity, text
-from tessera.operators import aggregate, dedup, machine, match, qgram, reports
+from tessera.operators import aggregate, dedup, fuzzy, machine, match, qgram, reports, search
 from tessera.sources import readers, writers
 
 
@@ -278,3 +278,69 @@ def test_machines_over_pieces(spark, piece):
     counted = machine.running_count(df, "d", "i", F.col("y") == 2, "n", piece)
     assert counted.columns == [*df.columns, "n"] and {(r.d, r.i): r.n for r in counted.collect()} == counts
     assert machine.states(df.limit(0), "d", "i", F.col("y"), table, piece=piece).count() == 0
+
+
+def test_search_for_all_words(spark):
+    rng = random.Random(3)
+    words = [f"wordabc{chr(97 + i)}" for i in range(12)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randrange(9))) + " common WORDABCA"[: 7 if i % 5 else 16]) for i in range(80)] + [(None, "wordabca"), (90, None)]
+    asked = [(i, rng.sample(words, rng.randrange(5))) for i in range(30)] + [(50, ["absentword"]), (51, ["wordabca", "absentword"]), (52, None), (53, ["wordabca", "wordabca", None])]
+    index = search.postings(spark.createDataFrame(docs, "id int, t string"), "id", "t")
+    got = [tuple(r) for r in search.all_of(index, spark.createDataFrame(asked, "query int, terms array<string>")).collect()]
+    held = {i: set((t or "").lower().split()) for i, t in docs if i is not None}
+    want = {(q, i) for q, ts in asked if ts for i, w in held.items() if {x for x in ts if x} <= w}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def plain_weighted(a, b):
+    """The weighted ratio from its definition: longest common subsequences by table, every window tried."""
+
+    def ratio(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            out = [0]
+            for j, d in enumerate(y):
+                out.append(row[j] + 1 if c == d else max(row[j + 1], out[j]))
+            row = out
+        return 2 * row[-1] / (len(x) + len(y)) if x or y else 1.0
+
+    def partial(x, y):
+        x, y = sorted((x, y), key=len)
+        n = len(x)
+        windows = {y[i : i + n] for i in range(len(y) - n + 1)} | {y[:k] for k in range(1, n)} | {y[-k:] for k in range(1, n)}
+        return max((ratio(x, w) for w in windows), default=0.0)
+
+    if not a or not b:
+        return 0.0
+    ta, tb = a.split(), b.split()
+    sa, sb = " ".join(sorted(ta)), " ".join(sorted(tb))
+    both, only_a, only_b = (sorted(x) for x in (set(ta) & set(tb), set(ta) - set(tb), set(tb) - set(ta)))
+    factor = max(len(a), len(b)) / min(len(a), len(b))
+    if factor < 1.5:
+        if both and not (only_a and only_b):
+            together = 1.0
+        else:
+            left, right = " ".join(both + only_a), " ".join(both + only_b)
+            together = max([ratio(left, right)] + ([ratio(" ".join(both), left), ratio(" ".join(both), right)] if both else []))
+        return max(ratio(a, b), 0.95 * max(ratio(sa, sb), together))
+    scale = 0.9 if factor <= 8 else 0.6
+    return max(ratio(a, b), scale * partial(a, b), 0.95 * scale * (1.0 if both else partial(sa, sb)))
+
+
+def test_likest_against_every_choice(spark):
+    """The weighted ratio and the join that takes the likest, against a version from the definitions."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcde", k=rng.randint(1, 6)))
+    names = [" ".join(word() for _ in range(rng.randint(1, 4))) for _ in range(40)] + ["", "a", "abc abc", "a b", "b a"]
+    for a in names:
+        for b in names:
+            assert similarity.weighted(a, b) == pytest.approx(plain_weighted(a, b)), (a, b)
+    left = [(i, i % 3, n) for i, n in enumerate(names)]
+    choices = [(i % 3, n, i) for i, n in enumerate(dict.fromkeys(rng.sample(names, 20)))]
+    got = {r.id: (r.choice, r.score) for r in fuzzy.likest(spark.createDataFrame(left, "id int, g int, t string"), spark.createDataFrame(choices, "g int, choice string, ord int"), ["g"], "t", "choice", 0.6).collect()}
+    want = {}
+    for i, g, t in left:
+        scored = [(plain_weighted(t, c), -o, c) for h, c, o in choices if h == g]
+        if scored and max(scored)[0] >= 0.6:
+            want[i] = (max(scored)[2], pytest.approx(max(scored)[0]))
+    assert got == want
