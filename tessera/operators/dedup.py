@@ -188,20 +188,69 @@ def merge(first: Column, second: Column, schema: T.StructType) -> Column:
     return F.struct(*[c.alias(f) for f, c in out.items()])
 
 
+def _gathered(members: DataFrame, cluster: str, items: Column, key, leads: DataFrame, keep: Column | None = None) -> DataFrame:
+    """(cluster, items): what the members but the leader bring, each key once by its first place, in order of members and places.
+
+    members: cluster, __rank, the record's columns; items: an array; leads: the leader's columns as __lead. First places are
+    partly aggregated before the shuffle, so a large cluster is reduced in many tasks; one row holds what is distinct.
+    """
+    placed = members.select(cluster, "__rank", F.posexplode(items).alias("__i", "__e")).join(leads, cluster).where(F.col("__rank") != F.col("__lead_rank"))
+    placed = placed.where(keep) if keep is not None else placed
+    # A null key equals none, not even another.
+    k = key(F.col("__e"))
+    placed = placed.withColumn("__k", F.struct(k.alias("k"), F.when(k.isNull(), F.struct("__rank", "__i")).alias("at")))
+    first = placed.groupBy(cluster, "__k").agg(F.min_by(F.struct(F.struct("__rank", "__i").alias("at"), F.col("__e").alias("e")), F.struct("__rank", "__i")).alias("x"))
+    return first.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("x.at", "x.e"))), lambda x: x["e"]).alias("__more"))
+
+
 def merge_clusters(sites: DataFrame, cluster: str, order: str) -> DataFrame:
-    """One record a cluster, folded from the fullest member on, ties in input order; also ``n_members``.
+    """One record a cluster, as if its members were merged one after the other, the fullest first, ties in input order; also ``n_members``.
 
-    The columns beside ``cluster`` and ``order`` are the record. A cluster of one is passed through.
+    The columns beside ``cluster`` and ``order`` are the record. As the leader stays the fullest, the fold is
+    associative: scalars and the region are those of the first member that has them, of a key of the
+    external ids the last member's value counts, names, sources and phases are appended by first place. So all of it is aggregates
+    that combine before the shuffle, and no task folds a cluster. A cluster of one is passed through; null
+    arrays count as empty where something is appended. ``order`` names one row of a cluster.
     """
     fields = [f for f in sites.schema.fields if f.name not in (cluster, order)]
+    kinds = {f.name: f.dataType for f in fields}
     schema = T.StructType(fields)
     record = F.struct(*[f.name for f in fields])
-    member = F.struct(filled(record, schema).alias("f"), F.col(order).alias("o"), record.alias("r"))
-    rank = lambda x, y: F.when(x["f"] > y["f"], -1).when(x["f"] < y["f"], 1).when(x["o"] < y["o"], -1).when(x["o"] > y["o"], 1).otherwise(0)
-    grouped = sites.groupBy(cluster).agg(F.collect_list(member).alias("m"))
-    sorted_ = grouped.select(cluster, F.size("m").alias("n_members"), F.transform(F.array_sort("m", rank), lambda x: x["r"]).alias("m"))
-    folded = F.aggregate(F.slice("m", F.lit(2), F.greatest(F.size("m") - 1, F.lit(0))), F.get("m", F.lit(0)), lambda acc, r: merge(acc, r, schema))
-    return sorted_.select(cluster, "n_members", F.when(F.col("n_members") > 1, folded).otherwise(F.get("m", F.lit(0))).alias("r")).select(cluster, "n_members", "r.*")
+    ranked = sites.withColumn("__rank", F.struct((-filled(record, schema)).alias("f"), F.col(order).alias("o")))
+    first = lambda c, known: F.min_by(c, F.when(known, F.col("__rank")))
+    held = {f: first(F.col(f), F.col(f).isNotNull()) for f in SCALARS if f in kinds}
+    if "region_admin" in kinds:
+        held["region_admin"] = first(F.col("region_admin"), F.col("region_admin") != "")
+    lead = ranked.groupBy(cluster).agg(F.count(F.lit(1)).cast("int").alias("n_members"), F.min("__rank").alias("__lead_rank"), F.min_by(record, "__rank").alias("r"), *[c.alias(f"__{f}") for f, c in held.items()])
+    lead = checkpointed(lead)
+    several = lead.where("n_members > 1").select(cluster, "__lead_rank", *([F.col("r.nom_site").alias("__lead_name")] if "nom_site" in kinds else []))
+    members = ranked.join(several.select(cluster), cluster, "left_semi")
+    out = lead
+    parts: dict[str, Column] = {f: F.coalesce(f"__{f}", f"r.{f}") for f in held}
+    if "identifiants_externes" in kinds:
+        entries = members.select(cluster, "__rank", F.explode("identifiants_externes").alias("k", "v")).groupBy(cluster, "k").agg(F.max_by(F.struct("v"), "__rank").alias("v"))
+        ids = entries.groupBy(cluster).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", F.col("v.v").alias("v"))))).alias("__ids"))
+        out = out.join(ids, cluster, "left")
+        parts["identifiants_externes"] = F.coalesce("__ids", "r.identifiants_externes")
+    none = F.array().cast("array<string>")
+    if "variantes_nom" in kinds:
+        # A member's name comes after its variants; the leader's own name is no variant because another bears it.
+        told = F.concat(F.transform(F.coalesce("variantes_nom", none), lambda v: F.struct(v.alias("v"), F.lit(False).alias("name"))), F.array(F.struct(F.col("nom_site").alias("v"), F.lit(True).alias("name"))))
+        keep = (F.col("__e.v") != "") & ~(F.col("__e.name") & (F.col("__e.v") == F.col("__lead_name")))
+        more = _gathered(members, cluster, told, lambda e: e["v"], several, keep).withColumnRenamed("__more", "__names")
+        out = out.join(more, cluster, "left")
+        mine = F.coalesce("r.variantes_nom", none)
+        parts["variantes_nom"] = F.when(F.col("__names").isNull(), F.col("r.variantes_nom")).otherwise(F.concat(mine, F.array_except(F.transform("__names", lambda x: x["v"]), mine)))
+    for field, key in (("sources", lambda e: e["source_id"]), ("phases", lambda e: phase_key(e, kinds["phases"].elementType))):
+        if field in kinds:
+            more = _gathered(members, cluster, F.col(field), key, several).withColumnRenamed("__more", f"__more_{field}")
+            out = out.join(more, cluster, "left")
+            mine = F.coalesce(F.col(f"r.{field}"), F.array().cast(kinds[field]))
+            known = F.transform(mine, key)
+            moved = F.transform(F.filter(f"__more_{field}", lambda e: ~F.coalesce(F.array_contains(known, key(e)), F.lit(False))), lambda e: e.withField("site_id", F.col("r.site_id")))  # noqa: B023
+            parts[field] = F.when(F.col(f"__more_{field}").isNull(), F.col(f"r.{field}")).otherwise(F.concat(mine, moved))
+    whole = F.col("n_members") == 1
+    return out.select(cluster, "n_members", *[(F.when(whole, F.col(f"r.{f}")).otherwise(parts[f]) if f in parts else F.col(f"r.{f}")).alias(f) for f in kinds])
 
 
 def clusters(sites: DataFrame, *, merge: float = MERGE, review: float = REVIEW) -> tuple[DataFrame, DataFrame, DataFrame]:

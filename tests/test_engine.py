@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera import api, vocab
 from tessera.functions import chrono, geo, rules, similarity, text
@@ -344,3 +345,35 @@ def test_likest_against_every_choice(spark):
         if scored and max(scored)[0] >= 0.6:
             want[i] = (max(scored)[2], pytest.approx(max(scored)[0]))
     assert got == want
+
+
+def test_clusters_merge_like_a_fold(spark):
+    """Whole clusters against the merge of two records, applied member by member; one cluster has most of the rows."""
+    kind = "c long, o long, site_id string, nom_site string, variantes_nom array<string>, commune string, region_admin string, description string, surface_m2 double, identifiants_externes map<string,string>, phases array<struct<phase_id:string,site_id:string,periode:string,sous_periode:string>>, sources array<struct<source_id:string,site_id:string,reference:string>>"
+    rng = random.Random(11)
+    some = lambda *x: rng.choice(x)
+    rows = []
+    for i in range(44):
+        sid = f"s{i}"
+        names = [some("A", "B", "C", "", None) for _ in range(rng.randrange(3))]
+        phases = [(f"p{i}{j}", sid, some("Ha", "LT"), some(None, "D1")) for j in range(rng.randrange(3))]
+        sources = [(some("x", "y", "z", f"q{i}", None), sid, f"r{i}{j}") for j in range(rng.randrange(3))]
+        rows.append((some(1, 1, 1, 2, 3, i + 10), i, sid, some("A", "B", "N"), some(names, names, []), some(None, "K"), some(None, "", "R"), some(None, f"d{i}"), some(None, float(i)), some({}, {some("k", "m"): f"{i}"}, {"k": None}), phases, sources))
+    df = spark.createDataFrame(rows, kind).repartition(4)
+    got = {r.c: r for r in dedup.merge_clusters(df, "c", "o").collect()}
+    record = [f for f in df.schema.fields if f.name not in ("c", "o")]
+    schema = T.StructType(record)
+    both = lambda a, b: spark.createDataFrame([(a, b)], T.StructType([T.StructField("a", schema), T.StructField("b", schema)])).select(dedup.merge(F.col("a"), F.col("b"), schema).alias("m")).first().m
+    full = lambda r: sum((len(v) > 0 if isinstance(v, (list, dict)) else v is not None) for f, v in zip(record, r) if f.name not in ("phases", "sources"))
+    held = {}
+    for r in rows:
+        held.setdefault(r[0], []).append(r)
+    assert got.keys() == held.keys() and len(held[1]) > 12
+    for c, members in held.items():
+        members.sort(key=lambda r: (-full(r[2:]), r[1]))
+        at = T.Row(*[f.name for f in record])(*members[0][2:])
+        for m in members[1:]:
+            at = both(tuple(at), m[2:])
+        assert got[c].n_members == len(members)
+        for f in (f.name for f in record):
+            assert getattr(got[c], f) == getattr(at, f), (c, f)
