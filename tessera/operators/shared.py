@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import tempfile
 import uuid
@@ -29,3 +30,45 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, in any store that Spark writes to; it replaces an older one."""
+    at, fs = _fs(spark, path)
+    stream = fs.create(at, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None where there is none."""
+    at, fs = _fs(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def stamp(spark: SparkSession, *paths: str) -> str:
+    """Digest of the names, lengths and times of all files under the paths; no file is opened. What is missing counts as such."""
+    leaves = []
+    for path in paths:
+        at, fs = _fs(spark, path)
+        if not fs.exists(at):
+            leaves.append(f"{path} missing")
+            continue
+        it = fs.listFiles(at, True)
+        files = []
+        while it.hasNext():
+            f = it.next()
+            files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        leaves.append(hashlib.md5("\n".join(sorted(files)).encode()).hexdigest())
+    return hashlib.md5("\n".join(leaves).encode()).hexdigest()

@@ -5,15 +5,18 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions import chrono
 from .operators import dedup, match, rows
 from .operators.aggregate import union_all
+from .operators.shared import read_text, stamp, write_text
 from .sources.readers import UnsupportedFormatError, read_source
 from .sources.writers import export
 
@@ -53,10 +56,24 @@ class MissingCheckpointError(FileNotFoundError):
     """A step before the requested start has not been run."""
 
 
+def _content(df: DataFrame):
+    """Aggregates that make an order-insensitive hash of the rows."""
+    return F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("decimal(38,0)")).alias("h")
+
+
+def _mark(n, h) -> str:
+    return hashlib.md5(json.dumps([str(n), str(h)]).encode()).hexdigest()
+
+
 def fingerprint(df: DataFrame) -> str:
     """Order-insensitive content hash."""
-    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(F.to_json(F.struct("*"))).cast("decimal(38,0)"))).first()
-    return hashlib.md5(json.dumps([str(x) for x in row]).encode()).hexdigest()
+    return _mark(*df.agg(*_content(df)).first())
+
+
+def table_mark(df: DataFrame) -> str:
+    """Of a table over files the digest of their names, lengths and times and of its plan, of any other its content hash."""
+    files = df.inputFiles()
+    return f"{stamp(df.sparkSession, *sorted(files))}{df.semanticHash()}" if files else fingerprint(df)
 
 
 def raw_records(df: DataFrame) -> DataFrame:
@@ -117,57 +134,73 @@ def _review(rows_: DataFrame, step: str, subject: str, reason) -> DataFrame:
 
 
 class Runner:
-    """Runs the steps; each result is a checkpoint with a manifest of its input's hash."""
+    """Runs the steps; each result is a checkpoint with a manifest of its input's and its own hash."""
 
     def __init__(self, spark: SparkSession, config: Config):
         self.spark, self.config = spark, config
         self.reviews: list[DataFrame] = []
+        self.changed = False
 
     def path(self, name: str) -> str:
         return f"{self.config.out}/checkpoints/{name}"
 
     def log(self, step: str, event: str, **facts) -> None:
-        """Append one line to the event log."""
+        """Add one line to the event log, as a file of its own."""
         line = json.dumps({"step": step, "event": event, "ts": round(time.time(), 3), **facts}, sort_keys=True, default=str)
-        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{self.config.out}/log")
+        write_text(self.spark, f"{self.config.out}/log/{time.time_ns()}-{uuid.uuid4().hex}.txt", line + "\n")
 
-    def manifest(self, step: str) -> str | None:
-        try:
-            return self.spark.read.text(self.path(f"{step}.manifest")).first()["value"]
-        except Exception as e:  # the file system says a missing path in its own classes
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-
-    def step(self, name: str, source: str, make: Callable[[], DataFrame]) -> tuple[DataFrame, str]:
-        """The step's result and its hash; made anew unless its last input had the hash ``source``."""
-        known = json.dumps({"input": source, "config": self.config.digest(name)}, sort_keys=True)
-        skip = self.manifest(name) == known
+    def manifest(self, step: str) -> dict | None:
+        """input, config, output and files of the step's last run, and what it noted beside."""
+        held = read_text(self.spark, self.path(f"{step}.manifest"))
+        return json.loads(held) if held else None
+
+    def step(self, name: str, source: str, make: Callable[[], DataFrame], note: Callable[[], dict] = dict) -> tuple[DataFrame, str]:
+        """The step's result and its content hash; made anew unless its last input had the hash ``source``.
+
+        The hash is taken while the rows are written and kept in the manifest beside a digest of the files, so
+        a step that is skipped reads no rows.
+        """
+        held, own = self.manifest(name), self.config.digest(name)
+        skip = held is not None and (held["input"], held["config"]) == (source, own)
         self.log(name, "start", input=source)
-        if not skip:
-            make().write.mode("overwrite").parquet(self.path(name))
-            self.spark.createDataFrame([(known,)], "value string").coalesce(1).write.mode("overwrite").text(self.path(f"{name}.manifest"))
-        out = self.spark.read.parquet(self.path(name))
-        mark = fingerprint(out)
+        if skip:
+            out, mark = self.held(name)
+        else:
+            made, seen = make(), Observation()
+            made.observe(seen, *_content(made)).write.mode("overwrite").parquet(self.path(name))
+            out, mark = self.spark.read.parquet(self.path(name)), _mark(seen.get["n"], seen.get["h"])
+            self.changed = True
+            write_text(self.spark, self.path(f"{name}.manifest"), json.dumps({"input": source, "config": own, "output": mark, "files": stamp(self.spark, self.path(name)), "schema": out.schema.json(), **note()}))
         self.log(name, "skipped" if skip else "end", output=mark)
         return out, mark
 
+    def table(self, name: str, schema: str) -> DataFrame:
+        """A stored table under its known schema, so that no file is opened for it."""
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(self.path(name))
+
     def held(self, name: str) -> tuple[DataFrame, str]:
-        if self.manifest(name) is None:
+        """A step's result and content hash from its checkpoint; rows are read only if its files are not those it wrote."""
+        held = self.manifest(name)
+        if held is None:
             raise MissingCheckpointError(self.path(name))
-        out = self.spark.read.parquet(self.path(name))
-        return out, fingerprint(out)
+        out = self.table(name, held["schema"])
+        return out, held["output"] if held["files"] == stamp(self.spark, self.path(name)) else fingerprint(out)
 
     def run(self, start: str = STEPS[0]) -> dict[str, DataFrame]:
         config, at = self.config, STEPS.index(start)
-        do = lambda name, source, make: self.step(name, source, make) if STEPS.index(name) >= at else self.held(name)
+        do = lambda name, *how: self.step(name, *how) if STEPS.index(name) >= at else self.held(name)
+
+        failed: list[tuple[str, str]] = []
+
+        def ingested() -> DataFrame:
+            frames, bad_ = _ingest(self.spark, config)
+            failed.extend(bad_)
+            return retained(union_all(frames), config) if frames else self.spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in RAW))
 
-        frames, failed = _ingest(self.spark, config) if at == 0 else ([], [])
-        source = fingerprint(union_all(frames)) if frames else "none"
-        empty = self.spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in RAW))
-        raw, mark = do("INGEST", source, lambda: retained(union_all(frames), config) if frames else empty)
-        if failed:
-            self.reviews.append(self.spark.createDataFrame([("INGEST", *f) for f in failed], "step string, subject string, reason string"))
+        source = stamp(self.spark, *[s["path"] for s in config.sources]) if at == 0 else ""
+        raw, mark = do("INGEST", source, ingested, lambda: {"failed": failed})
+        if told := self.manifest("INGEST")["failed"]:  # also where a run starts later
+            self.reviews.append(self.spark.createDataFrame([("INGEST", *f) for f in told], "step string, subject string, reason string"))
 
         blank = F.array(F.when((F.trim(F.coalesce("raw_text", F.lit(""))) == "") & (F.coalesce("commune", F.lit("")) == ""), "empty raw_text and commune"))
         kept, rejected = rows.split_rejects(raw, blank)
@@ -186,12 +219,14 @@ class Runner:
             told.write.mode("overwrite").parquet(self.path("DEDUPLICATE.report"))
             return out
 
-        sites, mark = do("DEDUPLICATE", mark, merged)
-        pairs = self.spark.read.parquet(self.path("DEDUPLICATE.review"))
+        side = ("DEDUPLICATE.review", "DEDUPLICATE.report")
+        sites, mark = do("DEDUPLICATE", mark, merged, lambda: {x: self.spark.read.parquet(self.path(x)).schema.json() for x in side})
+        beside = self.manifest("DEDUPLICATE")
+        pairs, told_ = (self.table(x, beside[x]) for x in side)
         self.reviews.append(pairs.select(F.lit("DEDUPLICATE").alias("step"), F.concat_ws("|", "site_id_a", "site_id_b").alias("subject"), F.concat_ws(":", F.lit("similarity_review"), F.col("score").cast("string")).alias("reason")))
 
         tables = [(c, x) for c, many in config.providers.items() for x in many] + ([(None, config.gazetteer)] if config.gazetteer is not None else [])
-        known = "".join([mark, *(f"{c}{fingerprint(x)}" for c, x in tables)])
+        known = "".join([mark, *(f"{c}{table_mark(x)}" for c, x in tables)])
         sites, mark = do("GEOCODE", known, lambda: geocode(sites, tables))
         lost = sites.where("(x_l93 is null or y_l93 is null) and trim(commune) <> ''")
         self.reviews.append(_review(lost, "GEOCODE", "site_id", F.lit("lookup_failed")))
@@ -202,11 +237,15 @@ class Runner:
         self.reviews.append(_review(placed, "VALIDATE", "site_id", F.concat_ws(":", F.lit("geo"), "w")))
         sites, mark = do("VALIDATE", mark, lambda: sites)
 
-        export(sites, f"{config.out}/export")
-        self.log("EXPORT", "end", input=mark)
-        union_all(self.reviews).write.mode("overwrite").json(f"{config.out}/review")
+        # What depends on the steps alone is written again only if one of them was made, or if it is not whole.
+        done = read_text(self.spark, self.path("EXPORT.manifest"))
+        if self.changed or done != mark:
+            export(sites, f"{config.out}/export")
+            union_all(self.reviews).write.mode("overwrite").json(f"{config.out}/review")
+            write_text(self.spark, self.path("EXPORT.manifest"), mark)
+        self.log("EXPORT", "kept" if not self.changed and done == mark else "end", input=mark)
         review = self.spark.read.schema("step string, subject string, reason string").json(f"{config.out}/review")
-        return {"sites": sites, "review": review, "report": self.spark.read.parquet(self.path("DEDUPLICATE.report")), "log": self.spark.read.text(f"{config.out}/log")}
+        return {"sites": sites, "review": review, "report": told_, "log": self.spark.read.text(f"{config.out}/log")}
 
 
 def run(spark: SparkSession, config: Config, start: str = STEPS[0]) -> dict[str, DataFrame]:

@@ -1,6 +1,7 @@
 """The batch pipeline end to end, on a small file of records."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,26 @@ def test_geocode_by_country(spark):
     got = {r.site_id: (r.x_l93, r.precision_localisation) for r in pipeline.geocode(sites, [("FR", table(("aa", 10.0, 1.0))), ("DE", table(("Zz", 0.0, 0.0))), (None, table(("AA", 20.0, 1.0)))]).collect()}
     assert got == {"a": (10.0, "centroïde"), "b": (20.0, "centroïde"), "c": (None, "approx"), "d": (1.0, "exact"), "e": (None, "approx")}
     assert pipeline.geocode(sites, []).where(F.col("x_l93").isNotNull()).count() == 1
+
+
+def test_nothing_changed_reads_no_rows(spark, config, tmp_path):
+    """Checkpoints whose bytes are spoilt, but not their lengths and times: a run that skips every step does not see it."""
+    (tmp_path / "sites.csv").write_text(CSV, encoding="utf-8")
+    own = pipeline.Config([{"path": str(tmp_path / "sites.csv"), "type": "csv"}, {"path": "x.zzz"}], str(tmp_path / "out"), gazetteer=config.gazetteer)
+    first = pipeline.run(spark, own)
+    assert first["sites"].count() == 4
+    spoilt = [*(tmp_path / "out/checkpoints").glob("*/part-*.parquet"), tmp_path / "sites.csv"]
+    saved = {f: (f.read_bytes(), f.stat()) for f in spoilt}
+    for f, (data, at) in saved.items():
+        f.write_bytes(b"\0" * len(data))
+        os.utime(f, ns=(at.st_atime_ns, at.st_mtime_ns))
+    again = pipeline.run(spark, own)
+    events = [json.loads(r.value) for r in again["log"].collect()]
+    assert sum(e["event"] == "kept" for e in events) == 1 and sum(e["event"] == "end" for e in events) == len(pipeline.STEPS)
+    for f, (data, _) in saved.items():
+        f.write_bytes(data)
+    # New times, equal rows: the sources are read again, what follows is not made anew.
+    touched = sorted((json.loads(r.value) for r in pipeline.run(spark, own)["log"].collect()), key=lambda e: e["ts"])[len(events) :]
+    assert {(e["step"], e["event"]) for e in touched if e["event"] == "end"} <= {("INGEST", "end"), ("EXPORT", "end")}
+    late = pipeline.run(spark, own, "VALIDATE")["review"]
+    assert late.where("step = 'INGEST'").count() == 1  # an unreadable source is still told
