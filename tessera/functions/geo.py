@@ -78,6 +78,20 @@ def reproject(x: Column, y: Column, epsg: int) -> tuple[Column, Column]:
     return F.when(sound, out[0]), F.when(sound, out[1])
 
 
+#: Where Lambert-93 coordinates are plausible (x from, x to, y from, y to).
+LAMBERT_BOUNDS = (100_000.0, 1_200_000.0, 6_000_000.0, 7_200_000.0)
+
+
+def reprojected(x: Column, y: Column, epsg: Column) -> Column:
+    """struct(x, y, in_bounds) in Lambert-93, by the system of each row; what cannot be placed is null and out of bounds."""
+    known = {code: reproject(x, y, code) for code in (2154, 4326, 25832)}
+    pick = lambda i: F.coalesce(*[F.when(epsg == code, at[i]) for code, at in known.items()])
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+    px, py = finite(pick(0)), finite(pick(1))
+    whole = px.isNotNull() & py.isNotNull()
+    return F.struct(F.when(whole, px).alias("x"), F.when(whole, py).alias("y"), F.coalesce(whole & in_box(px, py, LAMBERT_BOUNDS), F.lit(False)).alias("in_bounds"))
+
+
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Metres between projected points."""
     return F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))

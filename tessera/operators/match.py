@@ -104,6 +104,11 @@ def nearest(pairs: DataFrame, key: str, order: Sequence[str], k: int = 1) -> Dat
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= k)
 
 
+def nearest_where(left: DataFrame, right: DataFrame, radius: float, accept: Column, key: str, ties: Sequence[str], k: int = 1) -> DataFrame:
+    """The k nearest right rows of each left row within ``radius`` that a predicate over both accepts, as a toponym one; ties by ``ties``."""
+    return nearest(radius_join(left, right, radius).where(accept), key, ["distance", *ties], k)
+
+
 def cascade(left: DataFrame, on: str, tables: Sequence[tuple[str, DataFrame]], columns: Sequence[str]) -> DataFrame:
     """Values from the first table that knows the key, with its name as ``strategy`` ('none' without any)."""
     out = left

@@ -110,6 +110,14 @@ def lambert93_forward(spark, sf):
     return t(spark, sf, "customer").select(k.alias("id"), F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
 
 
+@query(f"WITH {_FWD} SELECT id, CASE WHEN id % 5 <> 0 THEN round(x, 3) END AS x, CASE WHEN id % 5 <> 0 THEN round(y, 3) END AS y, id % 5 <> 0 AND x BETWEEN 100000 AND 1200000 AND y BETWEEN 6000000 AND 7200000 AS in_bounds FROM xy")
+def reprojection_bounds(spark, sf):
+    """Positions in degrees brought to Lambert-93 with a flag of plausibility; null island has none."""
+    k = F.col("c_custkey")
+    placed = geo.reprojected(F.when(k % 5 == 0, 0.0).otherwise(lon(k)), F.when(k % 5 == 0, 0.0).otherwise(lat(k)), F.lit(4326))
+    return t(spark, sf, "customer").select(k.alias("id"), placed.alias("p")).select("id", F.round("p.x", 3).alias("x"), F.round("p.y", 3).alias("y"), "p.in_bounds")
+
+
 @query(f"SELECT c_custkey AS id, round({LON.format(k='c_custkey')}, 7) AS lon, round({LAT.format(k='c_custkey')}, 7) AS lat FROM customer")
 def lambert93_inverse(spark, sf):
     k = F.col("c_custkey")

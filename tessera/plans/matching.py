@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..operators import fuzzy as Z
 from ..operators import match as M
+from ..operators import positions as P
 from .common import FOLD, XY, metre_x, metre_y, t
 from .relational import query
 
@@ -123,6 +125,45 @@ def coordinate_choice(spark, sf):
     return r.groupBy("g").agg(F.min_by("x", F.struct("prio", "late", "o")).alias("x"), (F.count_distinct("x") > 1).alias("conflict"))
 
 
+@query(f"""WITH l AS (SELECT c_custkey AS id, n_name AS place, {XY.format(k='c_custkey')} FROM customer JOIN nation ON c_nationkey = n_nationkey), r AS (SELECT s_suppkey AS ref, n_name AS place, {XY.format(k='(s_suppkey * 31)')} FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+j AS (SELECT id, ref, sqrt((l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y)) AS d FROM l JOIN r ON contains(l.place, r.place) OR contains(r.place, l.place)) SELECT id, arg_min(ref, (d, ref)) AS ref, round(min(d), 3) AS metres FROM j WHERE d <= 5000 GROUP BY 1""")
+def nearest_in_place(spark, sf):
+    """The nearest reference within five kilometres whose place name holds the other's."""
+    n = t(spark, sf, "nation")
+    c, s = t(spark, sf, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")), t(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    left = c.select(F.col("c_custkey").alias("id"), F.col("n_name").alias("place"), metre_x(F.col("c_custkey")).alias("x"), metre_y(F.col("c_custkey")).alias("y"))
+    right = s.select(F.col("s_suppkey").alias("ref"), F.col("n_name").alias("place"), metre_x(F.col("s_suppkey") * 31).alias("x"), metre_y(F.col("s_suppkey") * 31).alias("y"))
+    found = M.nearest_where(left, right, 5000.0, Z.compatible(F.col("place"), F.col("r_place")), "id", ["r_ref"])
+    return found.select("id", F.col("r_ref").alias("ref"), F.round("distance", 3).alias("metres"))
+
+
+_PLACED = """r AS (SELECT o_custkey AS g, o_orderkey AS o, 5 + (o_orderkey % 50) / 10.0::DOUBLE AS x, CASE WHEN o_orderkey % 11 <> 0 THEN 47 + (o_orderkey % 7) / 2.0::DOUBLE END AS y, CASE o_orderkey % 3 WHEN 1 THEN 4326 WHEN 2 THEN 2154 END AS epsg, o_orderdate AS d FROM orders),
+k AS (SELECT *, (epsg IS NULL, NOT coalesce(epsg = 4326 AND x BETWEEN 6 AND 9 AND y BETWEEN 47 AND 49.5, false), -epoch_us(d), o) AS k, CASE WHEN y IS NULL THEN 'missing' ELSE round(x / 0.00001) || ' ' || round(y / 0.00001) END || ' ' || coalesce(epsg, 0) AS sig FROM r)"""
+
+
+def _placed(spark, sf):
+    o = F.col("o_orderkey")
+    r = t(spark, sf, "orders").select(F.col("o_custkey").alias("g"), o.alias("o"), (5 + (o % 50) / 10).alias("x"), F.when(o % 11 != 0, 47 + (o % 7) / 2).alias("y"), F.when(o % 3 == 1, 4326).when(o % 3 == 2, 2154).alias("epsg"), F.col("o_orderdate").alias("date"))
+    return r, P.chosen(r, "g", (6.0, 9.0, 47.0, 49.5), "o")
+
+
+@query(f"WITH {_PLACED} SELECT g, arg_min(o, k) % 50 AS x10, arg_min(epsg, k) AS epsg, count(*) AS n, count(DISTINCT sig) > 1 AS conflict FROM k GROUP BY 1")
+def position_choice(spark, sf):
+    """The preferred position of each group, by system, box and date, and whether its positions differ."""
+    _, best = _placed(spark, sf)
+    return best.select("g", F.round((F.col("x") - 5) * 10).cast("long").alias("x10"), "epsg", "n", "conflict")
+
+
+@query(f"WITH {_PLACED}, c AS (SELECT g, count(*) AS n, arg_min(x, k) AS bx FROM k GROUP BY 1 HAVING count(DISTINCT sig) > 1) SELECT c.g, n, round(bx, 6) AS chosen_x, round(sum(r.x), 3) AS sum_x, count(r.y) AS known_y, strftime(min(d), '%Y-%m-%dT%H:%M:%S') AS first_date FROM c JOIN r ON r.g = c.g GROUP BY ALL")
+def position_conflicts(spark, sf):
+    """Details of the groups whose positions differ, read back from their JSON."""
+    r, best = _placed(spark, sf)
+    at = "struct<x:double,y:double,epsg:int,date:string>"
+    told = P.conflict_details(r, best, "g", "o").select("g", F.from_json("details", f"chosen {at}, rows array<{at}>").alias("d"))
+    each = told.select("g", F.size("d.rows").cast("long").alias("n"), F.round("d.chosen.x", 6).alias("chosen_x"), F.explode("d.rows").alias("r"))
+    return each.groupBy("g", "n", "chosen_x").agg(F.round(F.sum("r.x"), 3).alias("sum_x"), F.count("r.y").alias("known_y"), F.min("r.date").alias("first_date"))
+
+
 @query("SELECT source, min(y) AS earliest, max(y) AS latest, round(100.0::DOUBLE * count(*) FILTER (y IS NULL) / count(*), 4) AS undetermined FROM (SELECT source, CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id % 900 - 900 AS BIGINT) END AS y FROM documents) GROUP BY 1")
 def chronology_extent(spark, sf):
     y = F.when(F.col("doc_id") % 5 != 0, (F.col("doc_id") % 900 - 900).cast("long"))

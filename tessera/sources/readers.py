@@ -234,7 +234,15 @@ def read_source(spark: SparkSession, path: str, kind: str | None = None, *, mapp
     if kind and kind not in READERS and kind not in SOURCES:
         raise UnsupportedFormatError(f"no reader for {path!r} ({kind})")
     df = (SOURCES.get(kind) or READERS[kind])(spark, path, **options) if kind else read_by_suffix(spark, path, **options)
-    return df.withColumnsRenamed(mapping) if mapping else df
+    df = df.withColumnsRenamed(mapping) if mapping else df
+    return placed_rows(df) if (kind or PurePosixPath(path).suffix.lstrip(".").lower()) == "ods" else df
+
+
+def placed_rows(df: DataFrame) -> DataFrame:
+    """Rows with a commune or an x (not zero); where neither column is there, all."""
+    named = {c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in ("commune", "x_l93") if c in df.columns}
+    x = F.coalesce(F.replace(named["x_l93"], F.lit(","), F.lit(".")).try_cast("double"), F.lit(0.0)) != 0 if "x_l93" in named else F.lit(False)
+    return df.where((named["commune"] != "" if "commune" in named else F.lit(False)) | x) if named else df
 
 
 def flatten_header(groups: list[str | None], subs: list[str | None]) -> list[str]:

@@ -377,3 +377,16 @@ def test_clusters_merge_like_a_fold(spark):
         assert got[c].n_members == len(members)
         for f in (f.name for f in record):
             assert getattr(got[c], f) == getattr(at, f), (c, f)
+
+
+def test_reprojection_by_row(spark):
+    rows = [(7.75, 48.58, 4326), (1e6, 6.8e6, 2154), (5.0, 5.0, 2154), (0.0, 0.0, 4326), (None, 1.0, 4326), (7.0, 48.0, None), (7.0, 48.0, 9999), (float("nan"), 1.0, 2154), (410_000.0, 5_380_000.0, 25832)]
+    got = [r.p for r in spark.createDataFrame(rows, "x double, y double, e int").coalesce(1).select(geo.reprojected(F.col("x"), F.col("y"), F.col("e")).alias("p")).collect()]
+    assert [p.in_bounds for p in got] == [True, True, False, False, False, False, False, False, True]
+    assert (got[1].x, got[2].x) == (1e6, 5.0) and all(p.x is None and p.y is None for p in got[3:8])
+
+
+def test_rows_without_a_place_go(spark):
+    df = spark.createDataFrame([("a", "1"), ("", "0"), (None, None), (" ", "12,5"), (None, "x")], "commune string, x_l93 string")
+    assert sorted((r.commune or "", r.x_l93) for r in readers.placed_rows(df).collect()) == [(" ", "12,5"), ("a", "1")]
+    assert readers.placed_rows(df.select("commune")).count() == 1 and readers.placed_rows(spark.range(3)).count() == 3
