@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from . import typed
+from .dbase import Header, read_dbase
 
 
 class UnsupportedFormatError(ValueError):
@@ -148,7 +149,18 @@ def _wide(held: DataFrame) -> DataFrame:
 
 
 def read_dbf(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a dBASE table as columns, with their number ``ord``, parsed where the file is."""
+    """Rows of a dBASE table as columns, with the number of their record ``ord``.
+
+    Read in ranges of records where Arrow can open the file; a file in another store is one row of
+    Spark's binary source and parsed whole where it is read (``ord`` then counts what is not deleted).
+    """
+    try:
+        Header.read(path)
+    except (OSError, ValueError) as e:
+        if "://" not in path:
+            raise FileNotFoundError(path) from e
+    else:
+        return read_dbase(spark, path)
 
     def run(batches):
         import pandas as pd

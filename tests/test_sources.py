@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera import pipeline
 from tessera.operators import reports
-from tessera.sources import readers, typed, workbook
+from tessera.sources import dbase, readers, typed, workbook
 
 XLSX = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -152,3 +152,22 @@ def test_reading_helpers(spark):
     for bad in ({"columns": ["a"]}, {"rows": 3}):
         with pytest.raises(reports.SchemaError):
             reports.expect(df, **bad)
+
+
+def test_dbase_in_ranges(spark, tmp_path):
+    """Every range of records in a task of its own; deleted records, blanks and other letters; the whole equals the parsed file."""
+    cells = [[str(i), f"é{i % 7}"] for i in range(3000)] + [["", ""]]
+    path = write_dbf(tmp_path / "r.dbf", ["A", "B"], cells)
+    data = bytearray((tmp_path / "r.dbf").read_bytes())
+    start, width = 32 + 32 * 2 + 1, 41
+    data[start + 5 * width] = ord("*")
+    (tmp_path / "r.dbf").write_bytes(data)
+    for size in (5_000, 1 << 24):
+        got = dbase.read_dbase(spark, path, range_bytes=size)
+        assert got.columns == ["ord", "A", "B"] and got.rdd.getNumPartitions() == (25 if size == 5_000 else 1)
+        assert sorted(map(tuple, got.collect())) == [(i, a or None, b or None) for i, (a, b) in enumerate(cells) if i != 5]
+    names, parsed = readers.parse_dbf(bytes(data))
+    assert names == ["A", "B"] and parsed == [c for i, c in enumerate(cells) if i != 5]
+    assert by(readers.read_source(spark, path), "A")["7"]["B"] == "é0" and dbase.read_dbase(spark, write_dbf(tmp_path / "e.dbf", ["A"], [])).count() == 0
+    with pytest.raises(FileNotFoundError):
+        readers.read_dbf(spark, str(tmp_path / "none.dbf"))
