@@ -46,13 +46,15 @@ def _code(level: Column, i: Column, j: Column) -> Column:
     return (level * (1 << 2 * CELL_DEPTH) + i * (1 << CELL_DEPTH) + j).cast("long")
 
 
-def _quadrants(mine: DataFrame, radius: float, x: str, y: str, most: int) -> DataFrame:
-    """Cells with over ``most`` left points, as quadtrees: __cx, __cy, split (codes), leaves (code, level, i, j, salts).
+def _quadrants(mine: DataFrame, radius: float, x: str, y: str, most: int) -> DataFrame | None:
+    """Cells with over ``most`` left points, as quadtrees: __cx, __cy, __leaves (code, level, i, j, salts); None where there is no such cell.
 
     A quadrant that holds over ``most`` points is split, down to CELL_DEPTH; a leaf that still does gets salts.
     One row a cell, and in it no more quadrants than a few times its points over ``most``.
     """
     hot = mine.groupBy("__cx", "__cy").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("__cx", "__cy")
+    if hot.isEmpty():
+        return None
     at = lambda c, cell, level: F.least(F.floor((F.col(c) / radius - F.col(cell)) * (1 << level)), F.lit((1 << level) - 1)).cast("long")
     nodes = F.array(*[F.struct(F.lit(level).alias("level"), at(x, "__cx", level).alias("i"), at(y, "__cy", level).alias("j")) for level in range(CELL_DEPTH + 1)])
     held = mine.select("__cx", "__cy", x, y).join(hot, ["__cx", "__cy"]).select("__cx", "__cy", F.explode(nodes).alias("q")).groupBy("__cx", "__cy", "q").agg(F.count(F.lit(1)).alias("n"))
@@ -67,13 +69,21 @@ def _quadrants(mine: DataFrame, radius: float, x: str, y: str, most: int) -> Dat
 def radius_join(left: DataFrame, right: DataFrame, radius: float, *, x: str = "x", y: str = "y", prefix: str = "r_", most: int = CELL_POINTS) -> DataFrame:
     """All pairs within ``radius``: right rows are copied to the cells that they reach, then joined by cell.
 
-    Cells are as wide as the radius. One with over ``most`` left points is a quadtree: its left points go
-    to their quadrants, those of one spot are dealt by salts, and right points are copied to the quadrants that their radius
-    meets. So a hot cell is many tasks, and what is joined is the same.
+    Cells are as wide as the radius; a count tells first whether any is hot. One with over ``most`` left
+    points is a quadtree: its left points go to their quadrants, those of one spot are dealt by salts, and
+    right points are copied to the quadrants that their radius meets. So a hot cell is many tasks, and what
+    is joined is the same.
     """
     cell = lambda c: F.floor(F.col(c) / radius).cast("long")
     placed = left.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("__cx", cell(x)).withColumn("__cy", cell(y))
+    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    near = right.select(*[F.col(c).alias(prefix + c) for c in right.columns]).where(F.col(prefix + x).isNotNull() & F.col(prefix + y).isNotNull()).withColumn("__o", F.explode(offsets))
+    near = near.withColumn("__cx", cell(prefix + x) + F.col("__o.i")).withColumn("__cy", cell(prefix + y) + F.col("__o.j")).drop("__o")
+    d = geo.distance(F.col(x), F.col(y), F.col(prefix + x), F.col(prefix + y))
+    within_reach = lambda joined: joined.withColumn("distance", d).where(F.col("distance") <= radius).drop("__cx", "__cy", "__q", "__s")
     trees = _quadrants(placed, radius, x, y, most)
+    if trees is None:
+        return within_reach(placed.join(near, ["__cx", "__cy"]))
     # Left: the leaf that holds the point; without a tree the whole cell.
     part = lambda c, side: (F.col(c) / radius - F.col(side))
     across = lambda leaf: F.pow(F.lit(2.0), leaf["level"])
@@ -82,9 +92,7 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, *, x: str = "x
     salt = F.when(F.col("__leaf.salts") > 1, F.pmod(F.monotonically_increasing_id(), F.col("__leaf.salts")))
     mine = mine.withColumn("__q", F.coalesce("__leaf.code", F.lit(-1))).withColumn("__s", F.coalesce(salt, F.lit(0)).cast("int")).drop("__leaves", "__leaf")
     # Right: every cell around, in it the leaves within reach, each of their salts.
-    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    near = right.select(*[F.col(c).alias(prefix + c) for c in right.columns]).where(F.col(prefix + x).isNotNull() & F.col(prefix + y).isNotNull()).withColumn("__o", F.explode(offsets))
-    near = near.withColumn("__cx", cell(prefix + x) + F.col("__o.i")).withColumn("__cy", cell(prefix + y) + F.col("__o.j")).drop("__o").join(trees, ["__cx", "__cy"], "left")
+    near = near.join(trees, ["__cx", "__cy"], "left")
 
     def off(v: Column, leaf: Column, k: str) -> Column:
         """How far a place lies beside a quadrant, in radii."""
@@ -95,8 +103,7 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float, *, x: str = "x
     met = F.flatten(F.transform(F.filter("__leaves", reach), lambda q: F.transform(F.sequence(F.lit(0), q["salts"] - 1), lambda s: F.struct(q["code"].alias("q"), s.alias("s")))))
     whole = F.array(F.struct(F.lit(-1).cast("long").alias("q"), F.lit(0).alias("s")))
     near = near.withColumn("__to", F.explode(F.when(F.col("__leaves").isNull(), whole).otherwise(met))).withColumn("__q", F.col("__to.q")).withColumn("__s", F.col("__to.s")).drop("__leaves", "__to")
-    d = geo.distance(F.col(x), F.col(y), F.col(prefix + x), F.col(prefix + y))
-    return mine.join(near, ["__cx", "__cy", "__q", "__s"]).withColumn("distance", d).where(F.col("distance") <= radius).drop("__cx", "__cy", "__q", "__s")
+    return within_reach(mine.join(near, ["__cx", "__cy", "__q", "__s"]))
 
 
 def nearest(pairs: DataFrame, key: str, order: Sequence[str], k: int = 1) -> DataFrame:
