@@ -257,6 +257,6 @@ def keep_first(docs: DataFrame, *, radius: int = RADIUS, shingle: int = SHINGLE,
     if repeated.isEmpty():
         return kept.drop("__h")
     same = (F.col(key) == F.col("__id")) & (F.col("__h") == F.col("__of"))
-    place = F.row_number().over(Window.partitionBy(key, "__h").orderBy(F.xxhash64(*docs.columns)))
+    place = F.row_number().over(Window.partitionBy(key, "__h").orderBy(F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))))
     one = kept.join(repeated, same, "left_semi").withColumn("__at", place).where("__at = 1").drop("__at")
     return kept.join(repeated, same, "left_anti").unionByName(one).drop("__h")

@@ -114,5 +114,7 @@ def test_clashing_ids_keep_their_texts(spark):
     for _ in range(2):
         assert sorted(map(tuple, simhash_bk.keep_first(df.repartition(5)).collect()), key=str) == kept
     assert [(r[0], r[1]) for r in kept] == sorted([(1, a), (5, b), (9, "alone here"), (None, a), (None, a)], key=str)
+    mapped = spark.createDataFrame([(3, a, {"k": 1}), (3, a, {"k": 1}), (3, a, {"k": 2})], "doc_id long, text string, m map<string,long>")
+    assert simhash_bk.keep_first(mapped).count() == 1
     tied = spark.createDataFrame([(3, a, 1), (3, near, 2), (4, a, 3)], "doc_id long, text string, x int")
     assert [r.doc_id for r in simhash_bk.keep_first(tied).collect()] == [3]
