@@ -87,7 +87,7 @@ class KeyedTable:
             brought = rows.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
             same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
             new = old.join(brought, [same[0], *same[1:]], "left_anti").unionByName(rows, allowMissingColumns=True)
-        dealt = new.withColumn("__bucket", bucket).withColumn("__salt", F.pmod(F.xxhash64(*new.columns), F.lit(SALTS)))
+        dealt = new.withColumn("__bucket", bucket).withColumn("__salt", F.pmod(F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in new.columns]))), F.lit(SALTS)))
         folder = f"data/{now + 1:012d}-{uuid.uuid4().hex}"
         dealt.repartition("__bucket", "__salt").drop("__salt").write.partitionBy("__bucket").parquet(f"{self.path}/{folder}")
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema.fields)  # old columns first

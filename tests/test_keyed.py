@@ -37,6 +37,9 @@ def test_replace_by_source(spark, tmp_path):
     t.replace(spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1)], "source string, n long"), ["source"])
     t.replace(spark.createDataFrame([("a", 900), ("c", 3)], "source string, n long"), ["source"])
     assert rows(t) == [("a", 900), ("b", 1), ("c", 3)]
+    nested = keyed.KeyedTable(spark, f"file://{tmp_path}/n")
+    nested.replace(spark.createDataFrame([("a", {"k": 1}, [1, 2])], "source string, m map<string,long>, l array<long>"), ["source"])
+    assert nested.read().first().m == {"k": 1}
 
 
 def test_a_dead_write_and_a_late_one(spark, tmp_path, monkeypatch):
