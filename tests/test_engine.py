@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -390,3 +392,8 @@ def test_rows_without_a_place_go(spark):
     df = spark.createDataFrame([("a", "1"), ("", "0"), (None, None), (" ", "12,5"), (None, "x")], "commune string, x_l93 string")
     assert sorted((r.commune or "", r.x_l93) for r in readers.placed_rows(df).collect()) == [(" ", "12,5"), ("a", "1")]
     assert readers.placed_rows(df.select("commune")).count() == 1 and readers.placed_rows(spark.range(3)).count() == 3
+
+
+def test_fixed_values_have_one_name_each():
+    names = re.findall(r"^([A-Z_0-9]+)\s*[:=]", Path(vocab.__file__).read_text(encoding="utf-8"), re.M)
+    assert len(names) == len(set(names)) > 20
