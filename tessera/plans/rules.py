@@ -268,6 +268,15 @@ def mojibake_repair(spark, sf):
     return t(spark, sf, "supplier").select(k.alias("id"), text.repair_mojibake(F.when(k % 3 == 0, "for\u00c3\u00aat").when(k % 3 == 1, "œuvre").otherwise("plain")).alias("fixed"))
 
 
+@query(r"SELECT doc_id, length(text) AS n, CASE WHEN regexp_matches(text, '[\x{80}-\x{FF}]') OR NOT regexp_matches(text, '[^\x00-\x7F]') THEN md5(text) END AS repaired FROM documents")
+def mojibake_texts(spark, sf):
+    """Whole texts of the table, their UTF-8 read as Latin-1 and repaired: those with a letter of Latin-1, or plain ones, are as they were."""
+    d = t(spark, sf, "documents")
+    repaired = text.repair_mojibake(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"))
+    known = F.col("text").rlike(r"[\x{80}-\x{FF}]") | ~F.col("text").rlike(r"[^\x00-\x7F]")
+    return d.select("doc_id", F.length("text").cast("long").alias("n"), F.when(known, F.md5(repaired)).alias("repaired"))
+
+
 @query("""SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN '800 – 450 av. J.-C.' ELSE '620 – 540 av. J.-C.' END AS label, CASE WHEN s_suppkey % 2 = 0 THEN 'indéterminé' ELSE 'Hallstatt' END AS period, CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'Ha D1' END AS sub FROM supplier""")
 def date_pair_phases(spark, sf):
     """A range that starts in one 'a:b' cell and ends in the other, its label and its phase."""
