@@ -80,6 +80,20 @@ def tightest_sub_period(spark, sf):
     return t(spark, sf, "orders").select(k.alias("k"), chrono.within(F.lit(-850) + k % 850, F.lit(-850) + k % 850 + k % 40)["sub"].alias("sub"))
 
 
+@query(f"""WITH sp(o, n, a, b) AS (VALUES {_SUB_ROWS}), pe(o, n, a, b) AS (VALUES {_PERIOD_ROWS}),
+d AS (SELECT o_orderkey AS k, -950 + o_orderkey % 900 AS s, -950 + o_orderkey % 900 + o_orderkey % 30 + o_orderkey % 20 + o_orderkey % 70 AS e FROM orders), x AS (SELECT k, arg_min(n, (b - a, o)) AS sub FROM d JOIN sp ON a <= s AND e <= b GROUP BY 1), y AS (SELECT k, arg_min(n, o) AS period FROM d JOIN pe ON s <= b AND e >= a GROUP BY 1)
+SELECT d.k, sub, CASE WHEN sub LIKE 'Ha%' THEN 'Hallstatt' WHEN sub IS NOT NULL THEN 'La Tène' ELSE coalesce(period, '{vocab.UNKNOWN}') END AS period, CAST(s AS INT) AS start_year, CAST(e AS INT) AS end_year, abs(s) || ' – ' || abs(e) || ' av. J.-C.' AS label FROM d LEFT JOIN x ON x.k = d.k LEFT JOIN y ON y.k = d.k""")
+def date_pair_spans(spark, sf):
+    """Ranges from the start of one 'a:b' cell to the end of another, made of each order's key: phase, years and label."""
+    k = F.col("o_orderkey")
+    a = F.lit(-950) + k % 900
+    b, c = a + k % 30, a + k % 30 + k % 20
+    cell = lambda x, y: F.concat(x.cast("string"), F.lit(":"), y.cast("string"))
+    p = F.get(chrono.parse_pair(cell(a, b), cell(c, c + k % 70)), F.lit(0))
+    rows = t(spark, sf, "orders").select(k.alias("k"), p.alias("p")).select("k", "p.sub", "p.period", F.col("p.start").alias("start_year"), F.col("p.end").alias("end_year"))
+    return rows.withColumn("label", chrono.label(F.col("start_year"), F.col("end_year")))
+
+
 _RANGES = ("Ha D1 - LT A", "LT B", "LT C1-D2", "Ha C")
 _RANGE_BOUNDS = ((1, 4), (5, 6), (7, 10), (0, 0))
 
