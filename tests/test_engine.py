@@ -411,3 +411,30 @@ def test_records_of_one_name_and_commune_are_one_class(spark):
     nodes = spark.range(300).withColumnRenamed("id", "node")
     forest = dedup.spanning(edges)
     assert forest.count() < 300 and {*map(tuple, dedup.components(nodes, edges).collect())} == {*map(tuple, dedup.components(nodes, forest).collect())}
+
+
+def test_searches_by_rounds_equal_all_pairs(spark):
+    """Nearest by growing circles, first by prefixes, counts and pairs over spots against every pair; most rows share a spot."""
+    rng = random.Random(8)
+    spot = [(float(rng.randrange(200)), float(rng.randrange(200))) for _ in range(60)] + [(None, 1.0)]
+    left, right = ([(i, rng.choice("ab"), *rng.choice(spot)) for i in range(n)] for n in (150, 400))
+    l, r = (spark.createDataFrame(x, f"{n} long, k string, x double, y double") for x, n in ((left, "id"), (right, "ref")))
+    d = lambda a, b: math.dist(a[2:], b[2:]) if a[2] is not None and b[2] is not None else math.inf
+    assert match._rounds(match.spots(l, ["x", "y", "k"]), match.spots(r, ["x", "y", "k"]), 100.0, ["k"]) > 0
+    for k in (1, 3):
+        got = sorted((x.id, x["rank"], x.r_ref) for x in match.nearest_where(l, r, 100.0, F.lit(True), "id", ["r_ref"], k, on=["k"]).collect())
+        want = [(a[0], n + 1, b[0]) for a in left for n, b in enumerate(sorted((b for b in right if b[1] == a[1] and d(a, b) <= 100), key=lambda b: (d(a, b), b[0]))[:k])]
+        assert got == sorted(want)
+    first = {(x.x, x.y, x.k): x.r_ref for x in match.first_where(l, r, 30.0, "ref", ["k"]).collect()}
+    want = {a[2:] + a[1:2]: min((b[0] for b in right if b[1] == a[1] and d(a, b) <= 30), default=None) for a in left}
+    assert first == {k: v for k, v in want.items() if v is not None}
+    assert {x.id: x.n for x in match.counts_within(l, r, 30.0).collect()} == {a[0]: sum(d(a, b) <= 30 for b in right) for a in left}
+    assert sorted((x.id, x.r_ref) for x in match.radius_pairs(l, r, 30.0, "id", "ref").collect()) == sorted((a[0], b[0]) for a in left for b in right if d(a, b) <= 30)
+
+
+def test_compatible_texts_lose_no_pair(spark):
+    names = ["", " ", "a", "Ab", "abc", "xabcx", "É", "eb", "b", "ABCD", None, "cd"]
+    df = spark.createDataFrame([(n,) for n in names], "commune string")
+    pairs = df.withColumnRenamed("commune", "v").crossJoin(df.withColumnRenamed("commune", "w"))
+    want = {tuple(x) for x in pairs.where(fuzzy.compatible(F.col("v"), F.col("w"))).collect()}
+    assert {tuple(x) for x in fuzzy.compatible_texts(df, df).collect()} == want != set()
