@@ -45,3 +45,24 @@ def test_texts_of_one_line():
     doc, rep = (np.array(line * n, dtype=np.uint32) for n in (400, 6))
     got = passages.around(doc, rep, np.array(line, dtype=np.uint32))
     assert got and all(set(doc[a : b + 1].tolist()) == set(rep[c : d + 1].tolist()) for a, b, c, d in got)
+
+
+def test_steps_run_once_in_small_batches(spark, monkeypatch):
+    """What makes the rows of a shared key stands once in its step's plan, and texts come in batches of BATCH_ROWS."""
+    plans, sizes, materialise = {}, set(), passages.materialise
+
+    def told(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes.add(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return materialise(df, name)
+
+    monkeypatch.setattr(passages, "materialise", told)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rng = random.Random(7)
+    passage = prose(rng, 97).split()
+    rows = [(i, " ".join([prose(rng, 30), *p, prose(rng, 30)])) for i, p in enumerate((passage, passage, edited(rng, passage, 2)))]
+    passages.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert plans["passage-windows"].count("_windows(") == 1
+    assert plans["passage-runs"].count("_anchors(") == 2  # _anchors and _around_anchors
+    assert plans["passage-rarest"].count("_near_meetings(") == 1 and plans["passage-rarest"].count("_rarest(") == 1
+    assert sizes == {str(passages.BATCH_ROWS)} and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
